@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberwave.llm import common, neardup, quality
+from emberwave.llm import common, decontam, mixing, neardup, quality, tokenfile
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +21,27 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return neardup.keep_one(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold ten consecutive words of a benchmark item go."""
+    return decontam.keep_uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, repeats included, and each document's place in them."""
+    return tokenfile.through_files(docs, "byte_bpe_50k.json", end_id=2)
+
+
 STAGES = [
     ("quality_rules", quality_stage),
     ("minmax_near_dedup", near_dedup_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("source_mixing", mixing_stage),
+    ("token_files", token_stage),
 ]
 
 #: Suffix arrays and tokenizers have no SQL; a brute-force version checks the stages in tests/llm.
