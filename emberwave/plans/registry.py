@@ -5,13 +5,456 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-FLAGSHIP = "best_redetection"
+from emberwave.functions import coords, names
+from emberwave.operators import candidates, catalogue, cluster, crossbeam, dedisperse, detrend, diag, matched, prep, rfi, runs
+from emberwave.plans import oracle, settings, views
+
+FLAGSHIP = "labelled_detections"
+BLOCK = 50
+TSAMP = settings.Settings().tsamp
+#: Widths that the 64-sample series are filtered with, and the threshold there.
+SERIES_WIDTHS, SERIES_DT, SERIES_THRESHOLD = (1, 2, 3, 4, 6, 9, 14), 0.05, 2.5
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _rounded(frame: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Columns at a precision at which sums in any order agree; -0 is 0."""
+    return frame.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
+
+
+# Candidates.
+
+
+@_query
+def best_redetection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top five per dm, gate, catalogue match, best per source."""
+    top = candidates.gate(candidates.top_per_dm(views.candidates(spark, sf_dir)), 10.0, 7.0)
+    return catalogue.best_redetections(catalogue.redetections(top, views.catalogue(spark, sf_dir)))
+
+
+@_query
+def plan_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(candidates.with_plan(views.candidates(spark, sf_dir)), 6, "dm_scaled")
+
+
+@_query
+def dm_grid_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settings.dm_grid(spark).select("seg", "i", F.round("dm", 6).alias("dm"), "downsample", "dm_name")
+
+
+@_query
+def dm_trials_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settings.distinct_trials(settings.dm_grid(spark)).select("dm_name", "seg", "i", "downsample")
+
+
+@_query
+def width_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settings.width_grid(settings.plan_table(spark).withColumn("tsamp", F.lit(TSAMP))).select("seg", "downsample", "width")
+
+
+@_query
+def topk_per_dm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.top_per_dm(views.candidates(spark, sf_dir))
+
+
+@_query
+def gate_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.gate(views.candidates(spark, sf_dir), *settings.Settings().main_gate)
+
+
+@_query
+def gate_post(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.gate(views.candidates(spark, sf_dir), *settings.Settings().post_gate)
+
+
+@_query
+def catalog_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.redetections(views.candidates(spark, sf_dir), views.catalogue(spark, sf_dir))
+
+
+@_query
+def new_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.new_candidates(views.candidates(spark, sf_dir), views.catalogue(spark, sf_dir))
+
+
+@_query
+def labelled_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = candidates.gate(candidates.top_per_dm(views.candidates(spark, sf_dir)), 10.0, 7.0)
+    return catalogue.labelled(top, views.catalogue(spark, sf_dir))
+
+
+@_query
+def cone_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = views.catalogue(spark, sf_dir)
+    met = catalogue.cone_match(sources.select(F.col("ord").alias("centre"), "ra_deg", "dec_deg"), sources)
+    return _rounded(met.select("centre", "psrj", "sep_deg"), 5, "sep_deg")
+
+
+@_query
+def catalogue_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.preview(views.catalogue(spark, sf_dir)).select("psrj", "dm", "n_more")
+
+
+@_query
+def sn_by_dm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(candidates.sn_by_dm(views.candidates(spark, sf_dir)), 4, "sum_sn")
+
+
+@_query
+def collect_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.collected(views.candidates(spark, sf_dir))
+
+
+@_query
+def beam_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.beam_summary(views.candidates(spark, sf_dir))
+
+
+@_query
+def top_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.top_detection(views.candidates(spark, sf_dir))
+
+
+@_query
+def rounded_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = candidates.rounded(views.candidates(spark, sf_dir))
+    return frame.withColumn("time_sample", candidates.sample_index(TSAMP))
+
+
+@_query
+def sn_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(diag.histogram(views.candidates(spark, sf_dir), "sn", 20), 6, "low", "high")
+
+
+@_query
+def dm_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(diag.histogram(views.candidates(spark, sf_dir), "dm", 100), 6, "low", "high")
+
+
+@_query
+def central_beams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.candidates(spark, sf_dir).where(names.is_central(F.col("beam"))).groupBy("beam").agg(F.count("*").alias("n"), F.sum("sample").alias("samples"))
+
+
+# Clusters.
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.cluster(views.candidates(spark, sf_dir).where("sn >= 5"), "beam")
+
+
+@_query
+def cluster_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _clustered(spark, sf_dir).where("cluster >= 0")
+    return _rounded(found.groupBy("beam", "cluster").agg(F.count("*").alias("n"), F.min("sample").alias("first_sample"), F.max("sn").alias("max_sn"), F.sum("sn").alias("sum_sn")).drop("cluster"), 4, "sum_sn")
+
+
+@_query
+def cluster_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster.representatives(_clustered(spark, sf_dir), "beam")
+    return found.select("beam", "dm", "sn", "time", "sample", "filter_width", (F.col("cluster") >= 0).alias("clustered"))
+
+
+# Spectra.
+
+
+@_query
+def normalise_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(prep.normalised(views.samples(spark, sf_dir)), 6, "x")
+
+
+@_query
+def scrunch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(prep.scrunched(prep.without_dc(views.samples(spark, sf_dir)), 4, 16), 9, "x")
+
+
+@_query
+def block_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(prep.block_mean(prep.zapped(views.samples(spark, sf_dir), [3, 5]), 4, 16), 9, "x")
+
+
+def _beams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen channels as four beams of four channels, numbered from 13."""
+    return views.samples(spark, sf_dir).select((F.col("chan") % 4 + 13).alias("beam"), F.expr("chan div 4").alias("chan"), "t", "x")
+
+
+@_query
+def flatfield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    beams = _beams(spark, sf_dir)
+    return _rounded(prep.flat_fielded(beams, prep.mean_beam(beams)), 6, "x")
+
+
+@_query
+def block_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(rfi.block_moments(views.samples(spark, sf_dir), BLOCK), 5, *rfi.STATISTICS)
+
+
+def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfi.with_bad_channel(rfi.rfi_mask(rfi.block_moments(views.samples(spark, sf_dir), BLOCK), low=2.0, high=2.0), 7)
+
+
+@_query
+def rfi_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfi.rfi_mask(rfi.block_moments(views.samples(spark, sf_dir), BLOCK), low=2.0, high=2.0).select("chan", "block", "n", "masked")
+
+
+@_query
+def rfi_mask_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfi.rfi_mask_rounds(rfi.block_moments(views.samples(spark, sf_dir), BLOCK), low=2.0, high=2.0, rounds=8).select("chan", "block", "n", "masked")
+
+
+@_query
+def masked_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(rfi.masked_fraction(_mask(spark, sf_dir), "chan"), 6, "masked_frac")
+
+
+@_query
+def flag_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = views.samples(spark, sf_dir)
+    return _rounded(diag.flag_fraction(rfi.expanded(samples, _mask(spark, sf_dir), BLOCK), "t"), 6, "flag_frac")
+
+
+@_query
+def noise_fill_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = views.samples(spark, sf_dir)
+    found = rfi.fill_statistics(rfi.expanded(samples, _mask(spark, sf_dir), BLOCK))
+    return _rounded(found, 6, "mean_x", "std_x")
+
+
+@_query
+def mean_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = views.samples(spark, sf_dir)
+    return _rounded(diag.mean_spectrum(rfi.expanded(samples, _mask(spark, sf_dir), BLOCK)), 6, "mean_x", "mean_kept")
+
+
+@_query
+def detrend_poly2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(detrend.detrended(views.samples(spark, sf_dir), "chan"), 5, "x")
+
+
+@_query
+def detrend_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(detrend.linear_detrended(views.samples(spark, sf_dir), "chan"), 5, "x")
+
+
+@_query
+def time_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(diag.time_averaged(views.samples(spark, sf_dir), 16, "chan"), 6, "x")
+
+
+@_query
+def percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = {"p01": 0.01, "p05": 0.05, "p20": 0.2, "p99": 0.99, "p999": 0.999}
+    return _rounded(diag.percentiles(views.samples(spark, sf_dir), "x", levels), 6, *levels)
+
+
+@_query
+def z_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(diag.z_scored(views.samples(spark, sf_dir)).select("chan", "t", "z"), 5, "z")
+
+
+@_query
+def time_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diag.cropped(views.samples(spark, sf_dir), 100, 65)
+
+
+@_query
+def sn_rescaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(diag.rescaled(views.samples(spark, sf_dir), F.lit(7.56), "chan", least=1e-6), 6, "x")
+
+
+# Series.
+
+
+def _long(series: DataFrame) -> DataFrame:
+    return series.select("series_id", "beam", F.posexplode("x").alias("t", "x")).withColumn("t", F.col("t").cast("long"))
+
+
+@_query
+def dedisperse_dm0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trial 0 through the Fourier domain: the sum of all channels (series) of each beam (label)."""
+    spectrum = views.series(spark, sf_dir).select("beam", (F.lit(150.0) - F.col("series_id") * 0.01).alias("nu"), "x")
+    grid = spark.createDataFrame([(0.0, 1)], "dm double, downsample int")
+    found = dedisperse.dedisperse(spectrum, grid, TSAMP, "beam", chunk=8)
+    return _rounded(found.select("beam", F.posexplode("x").alias("t", "x")).withColumn("t", F.col("t").cast("long")), 4, "x")
+
+
+@_query
+def dedisperse_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spectrum = _long(views.series(spark, sf_dir)).withColumn("nu", F.lit(150.0) - F.col("series_id") * 0.01)
+    return _rounded(dedisperse.shifted_sum(spectrum, TSAMP, 60.7, "beam"), 4, "x")
+
+
+@_query
+def spectrum_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedisperse.fold_series(views.series(spark, sf_dir), 4, "series_id")
+    return _rounded(found.select("series_id", F.posexplode("x").alias("t", "x")).withColumn("t", F.col("t").cast("long")), 5, "x")
+
+
+@_query
+def matched_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(matched.response_rows(views.series(spark, sf_dir), SERIES_DT, list(SERIES_WIDTHS), "series_id"), 4, "sn")
+
+
+@_query
+def matched_filter_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = views.series(spark, sf_dir).select("series_id", "x", F.col("series_id").cast("double").alias("dm"), F.lit(1).alias("downsample"))
+    found = matched.find_pulses(series, SERIES_DT, settings.Settings(detection_threshold=SERIES_THRESHOLD), "series_id", fixed_widths=SERIES_WIDTHS)
+    return found.groupBy("series_id", "filter_width").agg(F.count("*").alias("n"), F.round(F.max("sn"), 4).alias("max_sn"))
+
+
+@_query
+def peak_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crossbeam.peak_window(_long(views.series(spark, sf_dir)), 40, "series_id")
+
+
+@_query
+def nearest_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = _long(views.series(spark, sf_dir)).withColumn("time", F.col("t") * F.lit(0.25))
+    return crossbeam.nearest_sample(timed, 7.375, "series_id")
+
+
+# Beams.
+
+
+@_query
+def nearest_beams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crossbeam.nearest_beams(views.candidates(spark, sf_dir), 30, 20)
+
+
+@_query
+def beam_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sn = views.candidates(spark, sf_dir).groupBy("beam").agg(F.max("sn").alias("sn"))
+    positions = views.catalogue(spark, sf_dir).select((F.col("ord") / 10).cast("long").alias("beam"), "ra_deg", "dec_deg")
+    return _rounded(crossbeam.beam_map(sn, positions), 4, "x_arcmin", "y_arcmin", "level")
+
+
+# Scalars.
+
+
+@_query
+def packed_to_sexagesimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ra = F.col("o_orderkey") % 24 * 10000 + F.col("o_custkey") % 60 * 100 + F.col("o_orderkey") % 59 + 0.25
+    dec = (F.col("o_orderkey") % 90 * 10000 + F.col("o_custkey") % 60 * 100 + F.col("o_orderkey") % 59 + 0.5) * F.when(F.col("o_custkey") % 2 == 0, 1).otherwise(-1)
+    frame = views.table(spark, sf_dir, "orders").select("o_orderkey", ra.alias("ra"), dec.alias("dec"))
+    out = frame.select(
+        "o_orderkey",
+        coords.packed_ra_text(F.col("ra")).alias("ra_text"),
+        coords.packed_dec_text(F.col("dec")).alias("dec_text"),
+        coords.packed_degrees(F.col("ra"), True).alias("ra_deg"),
+        coords.packed_degrees(F.col("dec"), False).alias("dec_deg"),
+        coords.packed_radians(F.col("dec"), False).alias("dec_rad"),
+    )
+    return _rounded(out, 6, "ra_deg", "dec_deg", "dec_rad")
+
+
+@_query
+def sexagesimal_to_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    text = F.format_string("%s%02d:%02d:%02d", F.when(key % 2 == 0, "+").otherwise("-"), key % 90, key % 60, key % 59)
+    return _rounded(views.table(spark, sf_dir, "customer").select("c_custkey", text.alias("text"), coords.text_degrees(text, False).alias("deg")), 6, "deg")
+
+
+@_query
+def galactic_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lon, lat = coords.galactic(F.col("ra_deg"), F.col("dec_deg"))
+    return _rounded(views.catalogue(spark, sf_dir).select("ord", lon.alias("l_deg"), lat.alias("b_deg")), 5, "l_deg", "b_deg")
+
+
+@_query
+def mjd_to_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mjd = F.col("o_orderkey") % 20000 * 1.0 + 40587 + F.col("o_custkey") % 8 / 8
+    return views.table(spark, sf_dir, "orders").select("o_orderkey", coords.mjd_text(F.when(F.col("o_orderkey") % 50 == 0, 0.0).otherwise(mjd)).alias("iso"))
+
+
+@_query
+def iso_to_mjd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(views.table(spark, sf_dir, "orders").select("o_orderkey", coords.mjd_of(F.col("o_orderdate")).alias("mjd")), 6, "mjd")
+
+
+@_query
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    name = F.format_string("downsampled_L%d_SAP%d_BEAM%d_32bit_ff.fil", key, key % 3, key % 74)
+    short = F.format_string("L%d_SAP%03d_B%03d__8bit_x", key, key % 3, key % 74)
+    plain = F.format_string("L%d_SAP%d_BEAM%d_%dbit", key, key % 3, key % 74, key % 8)
+    dm = F.format_string("x_DM%d.%d.dat", key % 9000, key % 10)
+    seen = names.observation_of(plain)
+    return views.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        names.beam_of(name).alias("beam"),
+        names.beam_of(short).alias("beam_short"),
+        names.clean_name(short).alias("clean"),
+        names.dm_of(dm).alias("dm"),
+        names.trigger_beam_of(F.concat(F.lit("/a/B"), F.lpad((key % 1200).cast("string"), 3, "0"), F.lit("/x"))).alias("trigger"),
+        names.is_searched(name).alias("searched"),
+        seen["obsid"].alias("obsid"),
+        seen["sap"].alias("sap"),
+        seen["beam"].alias("obs_beam"),
+    )
+
+
+@_query
+def unpack_2bit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = views.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 256).cast("int").alias("byte"))
+    scaled = prep.scaled("raw", "scl", "offs", "wts")
+    frame = prep.unpacked(raw, 2).withColumn("scl", F.lit(0.5)).withColumn("offs", F.col("k") * 1.0).withColumn("wts", F.when(F.col("o_orderkey") % 7 == 0, 0.0).otherwise(1.0))
+    return frame.select("o_orderkey", "k", "raw", scaled.alias("x"), prep.clipped(F.col("raw") * 3 - 100, 8).alias("clipped"))
+
+
+@_query
+def output_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    raw = views.table(spark, sf_dir, "part").select(
+        "p_partkey", (F.lit(130.0) + F.col("p_size")).alias("obsfreq"), (F.lit(0.1953125) / (key % 16 + 1) + 0.00001).alias("chan_bw"), (F.col("p_size") * 16).alias("nchan"), (F.lit(5.12e-6) * (key % 100 + 1)).alias("tbin")
+    )
+    out = diag.observation_info(prep.output_header(raw, 4, 16).withColumn("nspec", key))
+    return _rounded(out.select("p_partkey", "foff", "fch1", "tsamp", "nchans", "freq_min", "freq_max", "duration_s", "bandwidth_mhz"), 6, "foff", "fch1", "tsamp", "freq_min", "freq_max", "duration_s", "bandwidth_mhz")
+
+
+# Control tables.
+
+
+@_query
+def run_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest event of each run; an order's lines are its run's events."""
+    key = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    events = views.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.struct(*key).alias("seq"), F.col("l_linestatus").alias("outcome"), F.col("l_quantity").alias("highest_snr"))
+    return runs.latest(events).select("id", "outcome", "highest_snr")
+
+
+@_query
+def header_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = views.table(spark, sf_dir, "part")
+    left = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("key"), F.col("p_size").alias("value"))
+    right = part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("key"), F.when(F.col("p_partkey") % 7 == 0, F.col("p_size") + 1).otherwise(F.col("p_size")).alias("value"))
+    return runs.header_differences(left, right)
+
+
+@_query
+def spectrum_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = views.samples(spark, sf_dir)
+    return _rounded(runs.spectrum_differences(samples, detrend.linear_detrended(samples, "chan"), "chan", "t"), 5, "max_diff", "mean_diff")
+
+
+@_query
+def staging_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON walk on the events' properties: value of k, and how many rows share it."""
+    parsed = views.table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k long").alias("p"))
+    return parsed.where(~F.col("event_type").eqNullSafe(F.lit("view"))).groupBy("event_type", F.col("p.k").alias("k")).agg(F.count("*").alias("n"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in oracle.sql().items() if k in _QUERIES}
