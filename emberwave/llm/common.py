@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The documents table, which the stages of the pipeline hand on.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -40,6 +41,15 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Keys that joins broadcast, some tens of bytes each; with more, both sides of a join shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def few(keys: DataFrame, most: int | None = None) -> DataFrame:
+    """``keys``, a written table, marked for broadcast if its rows are counted to be few."""
+    return F.broadcast(keys) if keys.count() <= (BROADCAST_KEYS if most is None else most) else keys
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts record batches where the bytes of ``column`` reach ``most``; no row is cut or lost."""
     for batch in batches:

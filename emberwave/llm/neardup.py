@@ -5,11 +5,13 @@ functions: two unbiased matches for one evaluation, so half the evaluations give
 same length whose estimate varies less. Bands of ``rows`` values, minima apart from maxima, give the
 buckets that propose pairs; every proposed pair is confirmed on the full sets.
 
-Equal sets are one node from the start, so copies never meet in a bucket. In a bucket no list of all
-pairs is made: rounds of stars compare each member with one centre of its bucket, confirmed links join
-components, and a bucket whose members have all come together is done. When the pairs left between
-different components are few (or stars no longer join anything), they are compared directly. So every
-proposed pair is either compared or inside one component already.
+Equal sets are one node from the start, so copies never meet in a bucket. A large bucket is first thinned
+by a star: each member is compared with one centre, confirmed links join components, and a bucket whose
+members have all come together is done. What shares a bucket that is still open, directly or in a chain,
+is a group, and a group is dealt to cells: it is cut into blocks of bounded size, and a cell holds two of
+its blocks (or one), so that every two members meet in one cell. (A group that chains have made too large
+is dealt bucket by bucket instead.) A cell counts the common shingles of all its sets at once. So every
+proposed pair is compared or inside one component already, and no list of pairs is ever made.
 """
 
 from __future__ import annotations
@@ -21,11 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import LOWER, encoded, mixed, saved, slices, word_ids
+from emberwave.llm.common import LOWER, encoded, few, mixed, saved, slices, word_ids
+from emberwave.operators.graph import components
 
 PERMUTATIONS, ROWS = 126, 6
-#: Stars go on while the pairs left between components are more than this many for each member left.
-STARS_ABOVE, MAX_STARS = 4, 6
+#: Members of a block. Buckets above it are thinned by a star first, and by more while one is above
+#: STAR_MEMBERS, MAX_STARS at most.
+BLOCK_MEMBERS, STAR_MEMBERS, MAX_STARS = 128, 2048, 4
+#: Members of a group that is dealt as a whole.
+GROUP_MEMBERS = 8192
 
 _SIGNED = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -112,110 +118,174 @@ def _sign(size: int, permutations: int, rows: int):
     return run
 
 
+def _close(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are linked."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    found = np.searchsorted(y, x)
+    common = int(np.count_nonzero(y[np.minimum(found, len(y) - 1)] == x)) if len(y) else 0
+    return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _sets_of(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """The set of each text; equal texts share theirs."""
+    distinct = list(dict.fromkeys(texts))
+    values, bounds = shingle_sets(distinct, size)
+    own = {x: values[bounds[k] : bounds[k + 1]] for k, x in enumerate(distinct)}
+    return [own[x] for x in texts]
+
+
 def _confirm(size: int, percent: int):
     """Keeps the pairs whose full sets are close enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in slices(iter([whole]), "text_a"):
-                texts = encoded(part.column("text_a")) + encoded(part.column("text_b"))
-                distinct = list(dict.fromkeys(texts))
-                place = {x: k for k, x in enumerate(distinct)}
-                values, bounds = shingle_sets(distinct, size)
-                sets = [values[s:e] for s, e in zip(bounds, bounds[1:], strict=False)]
-                keep = []
-                for k in range(part.num_rows):
-                    x, y = sets[place[texts[k]]], sets[place[texts[part.num_rows + k]]]
-                    if len(x) > len(y):
-                        x, y = y, x
-                    found = np.searchsorted(y, x)
-                    common = int(np.count_nonzero(y[np.minimum(found, len(y) - 1)] == x)) if len(y) else 0
-                    keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_pydict({"a": part.column("a"), "b": part.column("b")}).filter(pa.array(keep, pa.bool_()))
+        for part in slices(batches, "text_a"):
+            sets = _sets_of(encoded(part.column("text_a")) + encoded(part.column("text_b")), size)
+            keep = [_close(sets[k], sets[part.num_rows + k], percent) for k in range(part.num_rows)]
+            yield pa.RecordBatch.from_pydict({"a": part.column("a"), "b": part.column("b")}).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the smallest node reachable over ``links``, for nodes that have a link.
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from the shingles that two or more of the sets hold."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    first = np.r_[True, values[1:] != values[:-1]]
+    place = np.cumsum(first) - 1
+    shared = np.bincount(place)[place] > 1
+    owner, place = owner[shared], place[shared]
+    place = np.cumsum(np.r_[False, place[1:] != place[:-1]]) if len(place) else place
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = 16_384
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, width):
+        a, b = np.searchsorted(place, [start, start + width])
+        held = np.zeros((len(sets), min(width, int(place[-1]) + 1 - start)), np.float32)
+        held[owner[a:b], place[a:b] - start] = 1
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
+def _cell_pairs(nodes: list[int], own: list[int], block: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """The links of a cell's members that join what is not joined yet."""
+    if len(set(own)) < 2:
+        return
+    common, size = _common(sets), np.array([len(x) for x in sets])
+    linked = (common > 0) & (100 * common >= percent * (size[:, None] + size[None, :] - common))
+    blocks, owns = np.array(block), np.array(own)
+    linked &= owns[:, None] != owns[None, :]
+    if len(set(block)) > 1:
+        linked &= blocks[:, None] != blocks[None, :]
+    parent = {x: x for x in own}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(*(x.tolist() for x in np.nonzero(np.triu(linked, 1))), strict=True):
+        if root(own[a]) != root(own[b]):
+            parent[root(own[b])] = root(own[a])
+            yield nodes[a], nodes[b]
+
+
+def _compare_cells(size: int, percent: int):
+    """Compares cell by cell; rows come sorted by cell, and a cell may go on in the next batch."""
 
-    Alternates linking every larger neighbour to the smallest one and every smaller neighbour to it,
-    until the links are stars. No step gathers a node's neighbours: minima are aggregated, and each
-    round is a written table.
-    """
-    links = saved(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "links")
-    before = None
-    while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(least, "u")
-        small = small.select("u", F.col("low").alias("v")).unionByName(small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")))
-        links = saved(small.where("u <> v").distinct(), "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    nodes = links.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return nodes.unionByName(nodes.select(F.col("component").alias("node"), "component").distinct())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+
+        def compared(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+            nodes, own, block = (table.column(c).to_pylist() for c in ("node", "own", "block"))
+            sets = _sets_of(encoded(table.column("text").combine_chunks()), size)
+            links = [x for s, e in zip(cuts, cuts[1:], strict=False) for x in _cell_pairs(nodes[s:e], own[s:e], block[s:e], sets[s:e], percent)]
+            return pa.RecordBatch.from_pydict({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+
+        for part in slices(batches):
+            table = pa.Table.from_batches([part])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            keys = np.array([table.column(c).to_numpy() for c in ("key", "low", "high")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+            rest = table.slice(cuts[-1])
+            if cuts[-1]:
+                yield compared(table, cuts)
+        if rest is not None:
+            yield compared(rest, [0, rest.num_rows])
+
+    return run
 
 
 def _texts(own: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """(node, text): one text for each node that meets another in a bucket."""
-    wanted = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
+    wanted = sets.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = few(saved(wanted.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "wanted"))
     found = own.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(wanted, F.expr("text_key = rep_key AND doc_id <=> rep_id"))
     return saved(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that full sets confirm. Members come first, as centres repeat."""
-    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return saved(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(size, percent), "a long, b long"), "confirmed")
-
-
 def _open_members(members: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """(node, bucket, own): the members of buckets that hold more than one component."""
+    """(node, bucket, own, m): members of buckets with several components, and how many the bucket has."""
     own = F.col("node")
     if groups is not None:
         members, own = members.join(groups, "node", "left"), F.coalesce("component", "node")
-    state = members.select("node", "bucket", own.alias("own"))
-    several = state.groupBy("bucket").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
-    return saved(state.join(several.select("bucket"), "bucket"), "open")
-
-
-def _groups(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """(node, component) of the nodes that are linked, or None if no bucket proposed a pair."""
-    links = tested = groups = None
-    for turn in range(MAX_STARS + 1):
-        members = _open_members(members, groups).select("node", "bucket", "own")
-        parts = members.groupBy("bucket", "own").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        left = parts.agg(F.sum("n").alias("n"), F.sum(F.expr("(n * n - same) div 2")).alias("pairs")).first()
-        if not left["n"]:
+    state = members.select("node", "bucket", own.alias("own")).repartition("bucket")
+    several = state.groupBy("bucket").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("m")).where("low <> high")
+    return saved(state.join(several.select("bucket", "m"), "bucket"), "open")
+
+
+def _star_links(members: DataFrame, texts: DataFrame, turn: int, size: int, percent: int) -> DataFrame:
+    """Links of the members of large buckets to one centre each; the hash that picks it is the turn's."""
+    large = members.where(F.col("m") > BLOCK_MEMBERS)
+    centres = large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "own")).alias("c"))
+    centres = saved(centres.select("bucket", F.col("c.node").alias("a"), F.col("c.own").alias("own_a")), "centres")
+    pairs = large.withColumnRenamed("node", "b").join(centres, "bucket").where("own <> own_a").select("a", "b").distinct()
+    # Members bring their texts first, as they are many and centres few.
+    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    return saved(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(size, percent), "a long, b long"), "stars")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """(key, node, own, m): the open members by group, or by bucket where their group is too large."""
+    lowest = members.groupBy("bucket").agg(F.min("node").alias("low"))
+    chained = components(members.join(lowest, "bucket").select("node", "low"), "node", "low").withColumnRenamed("component", "group")
+    sizes = chained.groupBy("group").agg(F.count("*").alias("size"))
+    grouped = saved(chained.join(sizes, "group"), "groups")
+    whole = grouped.where(F.col("size") <= GROUP_MEMBERS).join(members.select("node", "own").distinct(), "node")
+    parts = members.join(grouped.where(F.col("size") > GROUP_MEMBERS).select("node"), "node", "left_semi")
+    return whole.select(F.col("group").alias("key"), "node", "own", F.col("size").alias("m")).unionByName(parts.select(F.col("bucket").alias("key"), "node", "own", "m"))
+
+
+def _cell_links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between all members that share a bucket and are in different components."""
+    dealt = _dealt(members).withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cells = dealt.select("key", "node", "own", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    cells = cells.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    full = cells.join(texts, "node").select("key", "low", "high", "node", "own", "block", "text")
+    sorted_ = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return saved(sorted_.mapInArrow(_compare_cells(size, percent), "a long, b long").distinct(), "cells")
+
+
+def _groups(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, component) of the nodes that are linked."""
+    links = groups = None
+    rest = _open_members(members, None)
+    for turn in range(MAX_STARS):
+        largest = rest.agg(F.max("m")).first()[0] or 0
+        if largest <= (STAR_MEMBERS if turn else BLOCK_MEMBERS):
             break
-        direct = turn == MAX_STARS or left["pairs"] <= STARS_ABOVE * left["n"]
-        if direct:
-            other = members.select("bucket", F.col("node").alias("b"), F.col("own").alias("own_b"))
-            pairs = members.withColumnRenamed("node", "a").join(other, "bucket").where("own <> own_b AND a < b")
-        else:
-            rank = F.struct(F.xxhash64(F.lit(turn), "node"), "node", "own")
-            centres = members.groupBy("bucket").agg(F.min(rank).alias("c")).select("bucket", F.col("c.node").alias("a"), F.col("c.own").alias("own_a"))
-            pairs = members.withColumnRenamed("node", "b").join(centres, "bucket").where("own <> own_a")
-        pairs = pairs.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        found = _compared(pairs, texts, size, percent)
+        found = _star_links(rest, texts, turn, size, percent)
         links = found if links is None else links.unionByName(found)
         groups = components(links)
-        if direct:
-            break
-        turned = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tested = turned if tested is None else tested.unionByName(turned)
-        members = members.drop("own")
-    return groups
+        rest = _open_members(rest.select("node", "bucket"), groups)
+    found = _cell_links(rest, texts, size, percent)
+    links = found if links is None else links.unionByName(found)
+    return components(links)
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
@@ -236,16 +306,14 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, perm
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("bands").alias("bands")
     )
     sets = saved(sets.withColumnRenamed("set_a", "node"), "sets")
-    buckets = sets.select("node", F.explode("bands").alias("bucket"))
+    # One shuffle serves both the count of a bucket's sets and the join with it.
+    buckets = sets.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     members = saved(buckets.join(shared.select("bucket"), "bucket").select("node", "bucket"), "members")
     groups = _groups(members, _texts(own, sets, members), size, percent)
     named = sets.select("node", "set_b", "first_id")
-    if groups is None:
-        named = named.withColumn("group", F.col("node")).withColumnRenamed("first_id", "component_id")
-    else:
-        named = saved(named.join(groups, "node", "left").select("node", "set_b", "first_id", F.coalesce("component", "node").alias("group")), "named")
-        named = named.join(named.groupBy("group").agg(F.min("first_id").alias("component_id")), "group").drop("first_id")
+    named = saved(named.join(groups, "node", "left").select("node", "set_b", "first_id", F.coalesce("component", "node").alias("group")), "named")
+    named = named.join(named.groupBy("group").agg(F.min("first_id").alias("component_id")), "group").drop("first_id")
     named = saved(named.withColumnRenamed("node", "set_a"), "components")
     linked = filled.select("doc_id", "n_shingles", "text_key", "set_a", "set_b").join(named, ["set_a", "set_b"])
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("group"))
@@ -270,6 +338,6 @@ def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFram
     marked = saved(rows_by_key.select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "n", is_rep.alias("rep")), "marked")
     keyed = documents.withColumn("_text_key", F.xxhash64(F.col("text").cast("string")))
     on = F.expr("_text_key = m_key AND CAST(doc_id AS LONG) <=> m_id")
-    single = keyed.join(marked.where("NOT rep OR n > 1"), on, "left_anti")
-    repeated = keyed.join(marked.where("rep AND n > 1"), on, "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    single = keyed.join(few(saved(marked.where("NOT rep OR n > 1"), "gone")), on, "left_anti")
+    repeated = keyed.join(few(saved(marked.where("rep AND n > 1"), "repeated")), on, "left_semi").dropDuplicates(["doc_id", "_text_key"])
     return single.unionByName(repeated).drop("_text_key").select(documents.columns)
