@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import encoded, saved, shared_dir, slices, word_ids
+from emberwave.llm.common import encoded, few, saved, shared_dir, slices, word_ids
 
 WINDOW = 10
 #: Empty positions between two texts; proximity searches may not reach over it.
@@ -270,6 +270,7 @@ def keep_uncontaminated(documents: DataFrame, benchmark: DataFrame, size: int =
     """
     hits = exact_hits(stored_index(documents), benchmark, size)
     bad = saved(hits.where("n_hit > 0").select(F.col("text_key").alias("_bad_key"), F.col("doc_id").alias("_bad_id")).distinct(), "contaminated")
+    bad = few(bad)
     keyed = documents.withColumn("_text_key", F.xxhash64(F.col("text").cast("string")))
     return keyed.join(bad, F.expr("_text_key = _bad_key AND CAST(doc_id AS LONG) <=> _bad_id"), "left_anti").drop("_text_key").select(documents.columns)
 

@@ -22,14 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import saved, slices
+from emberwave.llm.common import few, saved, slices
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 #: The training sample: so many labelled rows of each language at most, so many characters of each row
 #: and of each language. These bound the driver's memory and the automata, not what is predicted.
 SAMPLE_ROWS, ROW_CHARS, LANGUAGE_CHARS, REST_CHARS = 64, 4_000, 40_000, 10_000
-#: Bins are broadcast up to this many, some tens of bytes each; beyond it both sides shuffle.
-BROADCAST_BINS = 100_000
 #: The characters of a stretch.
 STRETCH = 600
 UNKNOWN = "und"
@@ -202,9 +200,7 @@ def training_sample(documents: DataFrame) -> dict[str, list[str]]:
     able = documents.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(~held_out())
     hashed = able.select("lang", F.xxhash64(F.lit(5), F.col("doc_id").cast("long")).alias("h"), F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, ROW_CHARS).alias("piece"))
     bins = hashed.select("lang", "h", F.pmod("h", F.lit(SAMPLE_ROWS)).alias("bin")).groupBy("lang", "bin").agg(F.min("h").alias("h")).select("lang", "h")
-    bins = saved(bins, "bins")
-    if bins.count() <= BROADCAST_BINS:
-        bins = F.broadcast(bins)
+    bins = few(saved(bins, "bins"))
     rows = hashed.join(bins, ["lang", "h"]).groupBy("lang", "doc_id").agg(F.min("piece").alias("piece"), F.min("h").alias("h"))
     found: dict[str, list[tuple[int, int, str]]] = {}
     for row in rows.collect():

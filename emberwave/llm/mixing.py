@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import saved
+from emberwave.llm.common import few, saved
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT, MAX_REPEAT, SEED = 150, 2, 9
@@ -62,9 +62,7 @@ def rated(documents: DataFrame, seed: int = SEED, percent: int = SHARE_PERCENT)
     own = documents.select(F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"))
     sizes = own.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, percent=percent).select(F.col("source").alias("_mix_source"), F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target"))
-    targets = saved(targets, "rates")
-    if targets.count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
+    targets = few(saved(targets, "rates"), BROADCAST_SOURCES)
     joined = sized.join(targets, F.col("source").cast("string").eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
     rate = F.when(F.col("_mix_source_size") > 0, F.col("_mix_target") / F.col("_mix_source_size")).otherwise(0.0)
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), 11) * F.lit(2.0**-53)

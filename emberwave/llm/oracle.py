@@ -1,5 +1,25 @@
-"""SQL that the operators' queries are held against, where SQL can say what they compute."""
+"""SQL that the operators' queries are held against, where SQL can say what they compute.
+
+The others have none: suffix arrays, tokenizers, trained models, HTML trees, WARC records, Spark's hash
+draws and components over near-duplicate links, which SQL is too slow for on whole tables. Brute-force
+versions in tests/llm stand in for them.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+SQL: dict[str, str] = {
+    "op4_decontamination": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents), i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+ sized AS (SELECT item, w, least(10, len(w)) AS n FROM i WHERE len(w) > 0),
+ windows AS (SELECT DISTINCT item, n, array_to_string(w[CAST(p.p AS INTEGER) + 1:CAST(p.p AS INTEGER) + n], ' ') AS k FROM sized, range(0, 100000) p(p) WHERE p.p <= len(w) - n),
+ lengths AS (SELECT DISTINCT n FROM windows),
+ places AS (SELECT r, w, unnest(range(0, len(w))) AS p FROM d),
+ grams AS (SELECT r, p, n, array_to_string(w[CAST(p AS INTEGER) + 1:CAST(p AS INTEGER) + n], ' ') AS k FROM places, lengths WHERE p + n <= len(w)),
+ met AS (SELECT g.r, g.p, g.n, v.item FROM grams g JOIN windows v ON v.n = g.n AND v.k = g.k),
+ words AS (SELECT r, count(DISTINCT p + o.o) AS n_hit FROM met, range(0, 10) o(o) WHERE o.o < n GROUP BY r),
+ items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT r, item FROM met) q GROUP BY r)
+ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesce(items.n_items, 0) AS n_items, sha256(coalesce(items.said, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
+ FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r""",
+}
