@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from emberwave.plans.shared import saved
+from emberwave.plans.shared import release, saved
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,6 +28,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = [F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")]
         links = saved(small.where("u <> v").distinct().observe(seen, *state), "links")
         now = seen.get
+        release(links.sparkSession)
         if now == before:
             break
         before = now

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -23,3 +24,13 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     path = shared_dir(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets the driver drop what finished rounds of a loop have left: plans, broadcasts and shuffle files.
+
+    They are cleaned when the driver's objects are collected, which in a short loop would not happen
+    before its memory is full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
