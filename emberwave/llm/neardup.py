@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from emberwave.llm.common import LOWER, encoded, few, mixed, saved, slices, word_ids
 from emberwave.operators.graph import components
+from emberwave.plans.shared import release
 
 PERMUTATIONS, ROWS = 126, 6
 #: Members of a block. Buckets above it are thinned by a star first, and by more while one is above
@@ -225,45 +226,50 @@ def _texts(own: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     wanted = sets.join(members.select("node").distinct(), "node", "left_semi")
     wanted = few(saved(wanted.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "wanted"))
     found = own.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(wanted, F.expr("text_key = rep_key AND doc_id <=> rep_id"))
-    return saved(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    texts = saved(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    release(own.sparkSession)
+    return texts
 
 
 def _open_members(members: DataFrame, groups: DataFrame | None) -> DataFrame:
     """(node, bucket, own, m): members of buckets with several components, and how many the bucket has."""
-    own = F.col("node")
-    if groups is not None:
-        members, own = members.join(groups, "node", "left"), F.coalesce("component", "node")
-    state = members.select("node", "bucket", own.alias("own")).repartition("bucket")
+    state = _labelled(members.select("node", "bucket"), groups).repartition("bucket")
     several = state.groupBy("bucket").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("m")).where("low <> high")
     return saved(state.join(several.select("bucket", "m"), "bucket"), "open")
 
 
 def _star_links(members: DataFrame, texts: DataFrame, turn: int, size: int, percent: int) -> DataFrame:
     """Links of the members of large buckets to one centre each; the hash that picks it is the turn's."""
-    large = members.where(F.col("m") > BLOCK_MEMBERS)
-    centres = large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "own")).alias("c"))
+    centres = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "own")).alias("c"))
     centres = saved(centres.select("bucket", F.col("c.node").alias("a"), F.col("c.own").alias("own_a")), "centres")
-    pairs = large.withColumnRenamed("node", "b").join(centres, "bucket").where("own <> own_a").select("a", "b").distinct()
+    pairs = members.withColumnRenamed("node", "b").join(centres, "bucket").where("own <> own_a").select("a", "b").distinct()
     # Members bring their texts first, as they are many and centres few.
     pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return saved(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(size, percent), "a long, b long"), "stars")
 
 
-def _dealt(members: DataFrame) -> DataFrame:
+def _labelled(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """``nodes`` with own, the component that links have joined a node to so far."""
+    if groups is None:
+        return nodes.withColumn("own", F.col("node"))
+    return nodes.join(groups, "node", "left").withColumn("own", F.coalesce("component", "node")).drop("component")
+
+
+def _dealt(members: DataFrame, groups: DataFrame | None) -> DataFrame:
     """(key, node, own, m): the open members by group, or by bucket where their group is too large."""
     lowest = members.groupBy("bucket").agg(F.min("node").alias("low"))
-    chained = components(members.join(lowest, "bucket").select("node", "low"), "node", "low").withColumnRenamed("component", "group")
-    sizes = chained.groupBy("group").agg(F.count("*").alias("size"))
-    grouped = saved(chained.join(sizes, "group"), "groups")
-    whole = grouped.where(F.col("size") <= GROUP_MEMBERS).join(members.select("node", "own").distinct(), "node")
-    parts = members.join(grouped.where(F.col("size") > GROUP_MEMBERS).select("node"), "node", "left_semi")
-    return whole.select(F.col("group").alias("key"), "node", "own", F.col("size").alias("m")).unionByName(parts.select(F.col("bucket").alias("key"), "node", "own", "m"))
+    chained = components(members.join(lowest, "bucket").select("node", "low"), "node", "low").withColumnRenamed("component", "chain")
+    sizes = chained.groupBy("chain").agg(F.count("*").alias("size"))
+    grouped = saved(_labelled(chained.join(sizes, "chain"), groups), "groups")
+    whole = grouped.where(F.col("size") <= GROUP_MEMBERS).select(F.col("chain").alias("key"), "node", "own", F.col("size").alias("m"))
+    parts = members.join(grouped.where(F.col("size") > GROUP_MEMBERS).select("node", "own"), "node")
+    return whole.unionByName(parts.select(F.col("bucket").alias("key"), "node", "own", "m"))
 
 
-def _cell_links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _cell_links(members: DataFrame, groups: DataFrame | None, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between all members that share a bucket and are in different components."""
-    dealt = _dealt(members).withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = _dealt(members, groups).withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     cells = dealt.select("key", "node", "own", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = cells.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     full = cells.join(texts, "node").select("key", "low", "high", "node", "own", "block", "text")
@@ -272,18 +278,19 @@ def _cell_links(members: DataFrame, texts: DataFrame, size: int, percent: int) -
 
 
 def _groups(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, component) of the nodes that are linked."""
+    """(node, component) of the nodes that are linked. Only large buckets are looked at again after a star."""
     links = groups = None
     rest = _open_members(members, None)
+    small, large = rest.where(F.col("m") <= BLOCK_MEMBERS), rest.where(F.col("m") > BLOCK_MEMBERS)
     for turn in range(MAX_STARS):
-        largest = rest.agg(F.max("m")).first()[0] or 0
-        if largest <= (STAR_MEMBERS if turn else BLOCK_MEMBERS):
+        largest = large.agg(F.max("m")).first()[0] or 0
+        if largest <= (STAR_MEMBERS if turn else 0):
             break
-        found = _star_links(rest, texts, turn, size, percent)
+        found = _star_links(large, texts, turn, size, percent)
         links = found if links is None else links.unionByName(found)
-        groups = components(links)
-        rest = _open_members(rest.select("node", "bucket"), groups)
-    found = _cell_links(rest, texts, size, percent)
+        groups = saved(components(links), "joined")
+        large = _open_members(large.select("node", "bucket"), groups)
+    found = _cell_links(small.unionByName(large).select("node", "bucket", "m"), groups, texts, size, percent)
     links = found if links is None else links.unionByName(found)
     return components(links)
 
