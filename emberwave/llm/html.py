@@ -20,11 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import saved, slices
+from emberwave.llm.common import few, saved, slices
 
 #: A subtree is template where it is on at least so many pages of its host, and on such a share of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
 
+#: Pages that lose something are broadcast up to this many, a few hundred bytes each.
+BROADCAST_PAGES = 50_000
+
 PARSED = "page_id long, url string, host string, pieces array<string>, marks array<array<long>>, subtrees array<long>"
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)", re.DOTALL)
@@ -253,6 +256,7 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     # A page's marks meet its host's templates by hash; only pages that lose something come back.
     marked = parsed.where(F.exists("marks", lambda x: F.size(x) > 0)).select("row", "host", F.explode(F.array_distinct(F.flatten("marks"))).alias("subtree"))
     gone = marked.join(templates(parsed, least_pages, least_share), ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
+    gone = few(saved(gone, "gone"), BROADCAST_PAGES)
     joined = parsed.join(gone, "row", "left")
     kept = F.expr("filter(pieces, (x, i) -> gone IS NULL OR NOT arrays_overlap(marks[i], gone))")
     text = F.array_join(kept, " ")
