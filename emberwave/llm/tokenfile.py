@@ -5,9 +5,9 @@ allows, else four), then the end of every document and every doc_id as Elias-Fan
 footer. An Elias-Fano sequence keeps the low bits of each value packed and the high parts as a unary bit
 vector; ``select`` finds the i-th value from a sampled position, without a table of 64-bit offsets.
 
-``format("tokenfile")`` is a Spark data source. Each write task writes a file of its own name and reports
-it; the commit writes a manifest that lists what the winning attempts wrote, in order of the documents.
-What a lost or repeated task left is in no manifest, and readers open nothing else.
+Each task writes a file of its own name and reports it in a row; the rows are written as a table, the
+manifest, which Spark commits for the winning attempts alone. What a lost or repeated task left is in no
+manifest, and readers open nothing else.
 """
 
 from __future__ import annotations
@@ -18,25 +18,27 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from emberwave.llm.common import shared_dir, slices
 
 MAGIC = b"EWTOKEN1"
 SAMPLE = 512
-#: Distinct pieces a worker remembers the ids of; beyond it, it starts again.
-CACHE = 300_000
+#: Distinct pieces in each of the two generations of ids that a worker remembers, some 200 bytes each.
+CACHE = 500_000
+#: Pieces that the library gets as one line.
+LINE = 256
 #: Ids that a reader holds at once.
 READ_IDS = 4_000_000
 
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
+MANIFEST = "partition int, name string, n_docs long, n_ids long"
 
 
 class EliasFano:
@@ -113,37 +115,63 @@ class Encoder:
 
         self.library = Tokenizer.from_file(file)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        # The byte-level form of a space is U+0120.
+        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
+        self.spaced[[i for token, i in self.library.get_vocab().items() if token.startswith("\u0120")]] = True
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
-
-    def _add(self, known: dict[str, bytes], pieces: list[str], lead: str) -> None:
-        for piece, found in zip(pieces, self.library.encode_batch_fast([lead + x for x in pieces], add_special_tokens=False), strict=True):
-            known[piece] = np.array(found.ids, self.kind).tobytes()
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_firsts(self, pieces: list[str]) -> None:
+        for piece, ids in zip(pieces, self._ids(pieces), strict=True):
+            self.first[piece] = ids.tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces behind a space. Pieces without a space inside are coded as lines of many: a
+        token that begins with a space begins a piece there."""
+        plain = [x for x in pieces if " " not in x]
+        lines = [plain[k : k + LINE] for k in range(0, len(plain), LINE)]
+        for line, ids in zip(lines, self._ids([" " + " ".join(x) for x in lines]), strict=True):
+            data, size = ids.tobytes(), self.kind.itemsize
+            cuts = (np.flatnonzero(self.spaced[ids]) * size).tolist() + [len(data)]
+            if len(cuts) == len(line) + 1:
+                self.rest.update(zip(line, map(data.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+        left = [x for x in pieces if x not in self.rest]
+        for piece, ids in zip(left, self._ids([" " + x for x in left]), strict=True):
+            self.rest[piece] = ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.rest) + len(self.first) > CACHE:
-            self.rest.clear()
+        if len(self.rest) > CACHE:
+            self.old, self.rest = self.rest, {}
+        if len(self.first) > CACHE:
             self.first.clear()
-        split, new_first, new_rest = [], set(), set()
+        rest, split, new_first, new_rest = self.rest, [], set(), set()
         for text in texts:
             parts = text.split(" ")
-            new = {x for x in parts[1:] if x not in self.rest}
-            if any(not x or _ODD.match(x) or _ODD.match(x[-1]) for x in new) or not parts[0] or _ODD.match(parts[0][-1]):
+            head = parts[0]
+            new = {x for x in parts[1:] if x not in rest}
+            # Pieces met before were judged then; one with white space at an end is never kept.
+            if not head or _ODD.match(head[-1]) or any(not x or _ODD.match(x) or _ODD.match(x[-1]) for x in new):
                 parts = _GAP.split(text)
-                new = {x for x in parts[1:] if x not in self.rest}
+                new = {x for x in parts[1:] if x not in rest}
             new_rest |= new
             new_first.add(parts[0])
             split.append(parts)
-        self._add(self.first, list(new_first - self.first.keys()), "")
-        self._add(self.rest, list(new_rest), " ")
-        return [self.first[x[0]] + b"".join(map(self.rest.__getitem__, x[1:])) for x in split]
+        for x in new_rest & self.old.keys():
+            rest[x] = self.old[x]
+        self._learn_firsts(list(new_first - self.first.keys()))
+        self._learn(list(new_rest - rest.keys()))
+        return [self.first[x[0]] + b"".join(map(rest.__getitem__, x[1:])) for x in split]
 
 
 def open_path(path: str):
     """The filesystem and path of a URI, or of a local path."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if re.match(r"\w+://|\w+:/", path) else (fs.LocalFileSystem(), path)
+    return fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
 
 
 @lru_cache(maxsize=2)
@@ -152,29 +180,24 @@ def encoder_of(file: str) -> Encoder:
     return Encoder(file)
 
 
-@dataclass
-class Shard(WriterCommitMessage):
-    partition: int
-    name: str
-    n_docs: int
-    n_ids: int
-
+def _write_shards(path: str, tokenizer: str, end_id: int):
+    """Writes a task's documents as one shard and reports it; a task without documents writes none."""
 
-class TokenWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict) -> None:
-        self.path, self.tokenizer, self.end = options["path"], options["tokenizer"], int(options.get("end_id", "2"))
-
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Shard:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        place, folder = open_path(self.path)
+        parts = slices(batches)
+        first = next(parts, None)
+        if first is None:
+            return
+        place, folder = open_path(path)
         name = f"shard-{uuid.uuid4().hex}.tok"
         place.create_dir(folder, recursive=True)
-        encoder = encoder_of(tokenizer_file(self.tokenizer))
-        end = np.array([self.end], encoder.kind).tobytes()
+        encoder = encoder_of(tokenizer_file(tokenizer))
+        end = np.array([end_id], encoder.kind).tobytes()
         lengths, ids = [], []
         with place.open_output_stream(f"{folder}/{name}") as out:
-            for part in slices(iterator):
+            for part in chain([first], parts):
                 coded = encoder.encode(part.column("text").fill_null("").to_pylist())
                 for x in coded:
                     out.write(x + end)
@@ -188,23 +211,9 @@ class TokenWriter(DataSourceArrowWriter):
             footer = {"ids": sum(lengths), "id_bytes": encoder.kind.itemsize, "ends": len(ends), "docs": len(docs), "n_docs": len(ids), "null_ids": none, "least_id": least}
             tail = json.dumps(footer).encode()
             out.write(tail + len(tail).to_bytes(4, "little") + MAGIC)
-        return Shard(TaskContext.get().partitionId(), name, len(ids), sum(lengths))
+        yield pa.RecordBatch.from_pydict({"partition": pa.array([TaskContext.get().partitionId()], pa.int32()), "name": [name], "n_docs": [len(ids)], "n_ids": [sum(lengths)]})
 
-    def commit(self, messages: list[Shard | None]) -> None:
-        place, folder = open_path(self.path)
-        place.create_dir(folder, recursive=True)
-        start, shards = 0, []
-        for x in sorted((m for m in messages if m and m.n_docs), key=lambda m: m.partition):
-            shards.append({"name": x.name, "start": start, "n_docs": x.n_docs, "n_ids": x.n_ids})
-            start += x.n_ids
-        with place.open_output_stream(f"{folder}/manifest.json") as out:
-            out.write(json.dumps({"shards": shards, "n_ids": start}).encode())
-
-    def abort(self, messages: list[Shard | None]) -> None:
-        place, folder = open_path(self.path)
-        for x in messages:
-            if x:
-                place.delete_file(f"{folder}/{x.name}")
+    return run
 
 
 class ShardFile:
@@ -235,57 +244,33 @@ class ShardFile:
         return [None] * self.footer["null_ids"] + [x + least for x in self.docs.all().tolist()]
 
 
-@dataclass
-class ShardPart(InputPartition):
-    name: str
-    start: int
-
+def _read_shards(path: str, with_ids: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from _documents(ShardFile(f"{path}/{row['name']}"), row["start"], with_ids)
 
-class TokenReader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.path, self.with_ids = options["path"], options.get("ids", "false") == "true"
+    return run
 
-    def partitions(self) -> list[ShardPart]:
-        place, folder = open_path(self.path)
-        with place.open_input_stream(f"{folder}/manifest.json") as file:
-            shards = json.loads(file.read())["shards"]
-        return [ShardPart(x["name"], x["start"]) for x in shards] or [ShardPart("", 0)]
 
-    def read(self, partition: ShardPart) -> Iterator[pa.RecordBatch]:
-        if not partition.name:
-            return
-        shard = ShardFile(f"{self.path}/{partition.name}")
-        ends, docs = shard.ends.all().astype(np.int64), shard.doc_ids()
-        begins = np.r_[0, ends[:-1]]
-        block = (ends - 1) // READ_IDS
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(ends)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            ids = shard.ids(int(begins[a]), int(ends[b - 1])).astype("<u4")
-            at = (begins[a:b] - begins[a]).tolist() + [len(ids)]
-            columns = {
-                "doc_id": pa.array(docs[a:b], pa.int64()),
-                "start": begins[a:b] + partition.start,
-                "n_tokens": ends[a:b] - begins[a:b],
-                "ids_crc32": pa.array([zlib.crc32(ids[x:y]) for x, y in zip(at, at[1:], strict=False)], pa.int64()),
-            }
-            if self.with_ids:
-                columns["ids"] = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_pydict(columns)
-
-
-class TokenFiles(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "tokenfile"
-
-    def schema(self) -> str:
-        return f"{SCHEMA}, ids array<int>" if self.options.get("ids", "false") == "true" else SCHEMA
-
-    def reader(self, schema) -> TokenReader:
-        return TokenReader(self.options)
-
-    def writer(self, schema, overwrite: bool) -> TokenWriter:
-        return TokenWriter(self.options)
+def _documents(shard: ShardFile, start: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """A shard's documents, some READ_IDS ids at a time."""
+    ends, docs = shard.ends.all().astype(np.int64), shard.doc_ids()
+    begins = np.r_[0, ends[:-1]]
+    block = (ends - 1) // READ_IDS
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(ends)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        ids = shard.ids(int(begins[a]), int(ends[b - 1])).astype("<u4")
+        at = (begins[a:b] - begins[a]).tolist() + [len(ids)]
+        columns = {
+            "doc_id": pa.array(docs[a:b], pa.int64()),
+            "start": begins[a:b] + start,
+            "n_tokens": ends[a:b] - begins[a:b],
+            "ids_crc32": pa.array([zlib.crc32(ids[x:y]) for x, y in zip(at, at[1:], strict=False)], pa.int64()),
+        }
+        if with_ids:
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
+        yield pa.RecordBatch.from_pydict(columns)
 
 
 def tokenizer_file(name: str) -> str:
@@ -307,14 +292,20 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int =
     text = documents["text"].cast("string")
     own = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("order"))
     ranged = own.repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order").select("doc_id", "text")
-    documents.sparkSession.dataSource.register(TokenFiles)
-    ranged.write.format("tokenfile").mode("append").options(tokenizer=tokenizer, end_id=str(end_id)).save(path)
+    ranged.mapInArrow(_write_shards(path, tokenizer, end_id), MANIFEST).write.parquet(f"{path}/manifest")
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of each document in the files; with ``ids``, the ids too."""
-    spark.dataSource.register(TokenFiles)
-    return spark.read.format("tokenfile").option("ids", str(ids).lower()).load(path)
+    """doc_id, start, n_tokens and ids_crc32 of each document in the files; with ``ids``, the ids too.
+
+    A row of the manifest is a file, so their number is that of the writing tasks; each is read by a
+    task of its own.
+    """
+    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
+    before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    shards = manifest.select("name", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
+    schema = f"{SCHEMA}, ids array<int>" if ids else SCHEMA
+    return shards.repartition(max(1, manifest.count())).mapInArrow(_read_shards(path, ids), schema)
 
 
 def through_files(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
