@@ -2,11 +2,13 @@
 
 A page is parsed into a tree. Every element subtree gets a hash of its tags, classes and text; Spark
 counts in how many pages of a host each hash occurs, and subtrees that recur across many pages of their
-host are the site's template and are deleted. What HTML itself marks as no article text (navigation,
+host are the site's template and are deleted. Pages of a host with the same text are one page there, so
+that copies of a page make no template. What HTML itself marks as no article text (navigation,
 forms, scripts, adverts by class and the like) is deleted on any page.
 
 Where a page names its content (article, main), text outside it is not content, and the prose inside it
-(paragraphs, headings, quotations, code) is never taken for a template, as copies of an article recur too.
+(paragraphs, headings, quotations, code, and the lists and tables among them) is never taken for a template,
+whatever box it is in, as an article recurs too where several pages show it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ LEAST_PAGES, LEAST_SHARE = 5, 0.2
 #: Pages that lose something are broadcast up to this many, a few hundred bytes each.
 BROADCAST_PAGES = 50_000
 
-PARSED = "page_id long, url string, host string, pieces array<string>, marks array<array<long>>, subtrees array<long>"
+PARSED = "page_id long, url string, host string, pieces array<string>, marks array<array<long>>, subtrees array<long>, same long"
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
@@ -42,6 +44,8 @@ BLOCK = frozenset(
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+#: Prose as well, where they stand among prose or right in the content, not in a box of their own.
+LISTS = frozenset("ul ol dl table".split())
 #: Elements that never hold article text.
 NEVER = frozenset("head script style noscript template iframe object svg math canvas audio video nav footer aside form button select option textarea input menu dialog datalist title".split())
 #: Words in a class, id or role that mark an element as none of the article.
@@ -137,8 +141,7 @@ def _hash_subtrees(root: Node) -> None:
     for node, done in _walk(root):
         if done:
             inner = "\x1f".join(" ".join(x.split()) if isinstance(x, str) else format(x.hash, "x") for x in node.children)
-            digest = hashlib.blake2b(f"{node.tag}\x1e{node.hints}\x1e{inner}".encode("utf-8", "surrogatepass"), digest_size=8)
-            node.hash = int.from_bytes(digest.digest(), "big", signed=True)
+            node.hash = _hash(f"{node.tag}\x1e{node.hints}\x1e{inner}")
 
 
 def _beside(node: Node) -> bool:
@@ -162,16 +165,36 @@ def _named_content(root: Node) -> tuple[set[int], set[int]]:
     return {id(n) for n, _ in chosen}, {id(x) for _, above in chosen for x in above}
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def _holders(root: Node) -> set[int]:
+    """Ids of the elements with prose in them."""
+    found: set[int] = set()
+    path: list[Node] = []
+    for node, done in _walk(root):
+        if done:
+            path.pop()
+            if node.tag in PROSE or id(node) in found:
+                found.update(id(x) for x in path[-1:])
+        else:
+            path.append(node)
+    return found
+
+
 def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
     """The blocks of text that may be content, for each the hashes whose recurrence removes it, and the
     hashes of all subtrees that could be template."""
     root = parse(html)
     _hash_subtrees(root)
     content, around = _named_content(root)
+    holders = _holders(root) if content else set()
     pieces, marks, subtrees = [], [], set()
     buffer: list[str] = []
     path: list[int] = []
-    inside = dropped = prose = 0
+    opened: list[tuple[bool, bool, bool, bool]] = []
+    inside = dropped = prose = boxed = 0
 
     def flush() -> None:
         text = " ".join("".join(buffer).split())
@@ -187,26 +210,29 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
             if not dropped and (inside or not content):
                 buffer.append(node)
             continue
-        header = node.tag == "header" or "header" in _TOKENS.findall(node.hints)
-        out = (node.drop or header and not inside) and id(node) not in around and id(node) not in content
-        named, safe = id(node) in content, node.tag in PROSE and bool(content)
-        # Inside named content prose is safe; so is what holds the content.
-        template = node is not root and not (named or id(node) in around or (inside and (prose or safe)))
-        if not done:
-            if node.tag in BLOCK:
-                flush()
-            if template:
-                subtrees.add(node.hash)
-            # A block of prose takes no mark from what it stands in: only its own box is judged.
-            path.append(node.hash if template else 0)
-            inside, dropped, prose = inside + named, dropped + out, prose + safe
-            todo.append((node, True))
-            todo += [(x, False) for x in reversed(node.children)]
-        else:
+        if done:
             if node.tag in BLOCK:
                 flush()
             path.pop()
-            inside, dropped, prose = inside - named, dropped - out, prose - safe
+            named, out, safe, box = opened.pop()
+            inside, dropped, prose, boxed = inside - named, dropped - out, prose - safe, boxed - box
+            continue
+        header = node.tag == "header" or "header" in _TOKENS.findall(node.hints)
+        out = (node.drop or header and not inside) and id(node) not in around and id(node) not in content
+        named = id(node) in content
+        safe = bool(content) and (node.tag in PROSE or node.tag in LISTS and not boxed)
+        # Inside named content prose is safe; what holds it or the content leaves no mark on what it holds.
+        template = node is not root and not (named or id(node) in around or (inside and (prose or safe or id(node) in holders)))
+        box = bool(inside) and template and node.tag in BLOCK
+        if node.tag in BLOCK:
+            flush()
+        if template:
+            subtrees.add(node.hash)
+        path.append(node.hash if template else 0)
+        opened.append((named, out, safe, box))
+        inside, dropped, prose, boxed = inside + named, dropped + out, prose + safe, boxed + box
+        todo.append((node, True))
+        todo += [(x, False) for x in reversed(node.children)]
     flush()
     return pieces, marks, sorted(subtrees)
 
@@ -229,6 +255,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                     "pieces": pa.array([x[0] for x in read], pa.list_(pa.string())),
                     "marks": pa.array([x[1] for x in read], pa.list_(pa.list_(pa.int64()))),
                     "subtrees": pa.array([x[2] for x in read], pa.list_(pa.int64())),
+                    "same": pa.array([_hash("\x1e".join(x[0])) for x in read], pa.int64()),
                 }
             )
 
@@ -237,9 +264,13 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
 
 def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, subtree) of subtrees on at least ``least_pages`` and ``least_share`` of their host's pages."""
-    counts = parsed.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
+    """(host, subtree) of subtrees on at least ``least_pages`` and ``least_share`` of their host's pages.
+
+    Pages of a host with the same text (``same``) are one page; of its copies the least array counts.
+    """
+    pages = parsed.groupBy("host", "same").agg(F.min("subtrees").alias("subtrees"))
+    counts = pages.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    hosts = parsed.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     often = counts.where(F.col("n") >= least_pages).join(hosts, "host")
     return often.where(F.col("n") >= least_share * F.col("host_pages")).select("host", "subtree")
 
@@ -248,8 +279,8 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     """page_id, url, text and n_chars, a row per row of ``pages`` (page_id, url, html).
 
     A null or empty page has an empty text. A null url, or one without a host, belongs to the host "".
-    Repeated rows count as pages and give repeated results; an empty table gives none. Character
-    references are decoded, white space in a block is one space, blocks are joined by one. Nothing of a
+    Repeated rows count as one page and give repeated results, as pages of a host with the same text do; an
+    empty table gives none. Character references are decoded, white space in a block is one space, blocks are joined by one. Nothing of a
     page is cut off; other columns are not read.
     """
     parsed = saved(parsed_pages(pages).withColumn("row", F.monotonically_increasing_id()), "parsed")

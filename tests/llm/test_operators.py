@@ -263,6 +263,16 @@ def test_templates_of_a_host(spark):
     assert got[3] == "Own text 3" and got[99] == "Brand Contact us Own text 99 All rights"
 
 
+def test_copies_make_no_template(spark):
+    plain = "<div class=post><p>Only story</p><div>More of it</div></div>"
+    rows = [(k, f"http://c.org/{k}", f"<script>track({k})</script>{plain}") for k in range(8)]
+    body = "<article><div class=body><p>Told once</p><ul><li>a</ul></div><table><tr><td>cell</table><div class=tags><ul><li>tag</ul></div><p>Page {}</p></article>"
+    rows += [(100 + k, f"http://d.org/{k}", body.format(k)) for k in range(8)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[k] for k in range(8)} == {"Only story More of it"}
+    assert got[103] == "Told once a cell Page 3"
+
+
 def _components(rows, size, percent):
     sets = []
     for _, text, *_ in rows:
