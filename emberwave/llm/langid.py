@@ -2,8 +2,10 @@
 
 A bounded sample of labelled text makes one suffix automaton per language. A text is parsed into phrases
 against each: from where the last phrase ended, the longest string that occurs in the language's sample
-is the next one. The fewer phrases a text needs, the closer it is to the sample; the language with the
-fewest, normalised by the text's length and by what held-back text of that language needs itself, wins.
+is the next one. The fewer phrases a text needs, the closer it is to the sample. What held-back text of
+the language itself and of the others needs against that same sample tells how much a phrase more or less
+says: a short sample says little, whatever its language, and takes nothing from the others. The language
+with the most evidence wins.
 
 Automata are tables of state by letter class, stacked over the languages, so that many stretches of text
 are parsed in step by array look-ups. Long texts are parsed in stretches that begin at a space; a stretch
@@ -28,6 +30,8 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 #: The training sample: so many labelled rows of each language at most, so many characters of each row
 #: and of each language. These bound the driver's memory and the automata, not what is predicted.
 SAMPLE_ROWS, ROW_CHARS, LANGUAGE_CHARS, REST_CHARS = 64, 4_000, 40_000, 10_000
+#: What a language of average entropy needs counts as so many characters of each language's own held-back text.
+PRIOR_CHARS = 1_000
 #: The characters of a stretch.
 STRETCH = 600
 UNKNOWN = "und"
@@ -93,7 +97,10 @@ class Model:
     classes: dict[str, int]
     table: np.ndarray
     roots: np.ndarray
-    own_rate: np.ndarray
+    #: Phrases a character that text of the language, and that of others, needs; characters of the sample.
+    own: np.ndarray
+    foreign: np.ndarray
+    sizes: np.ndarray
 
     def parse(self, texts: list[str]) -> np.ndarray:
         """(texts, languages) phrases."""
@@ -142,31 +149,32 @@ class Model:
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """A learned language for each text that has a letter, and 1 less the ratio of the two best."""
+        """A learned language for each text that has a letter, and 1 less the odds of the second best.
+
+        The evidence for a language is the log-likelihood ratio of the phrases (Poisson) between its own
+        text and others', and the log of its sample's size, which decides where a text says nothing.
+        """
         clean = [folded(x) if x and _LETTER.search(x) else "" for x in texts]
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        rates = self.parse(clean) / self.own_rate
-        best = rates.argmin(axis=1)
-        ordered = np.sort(rates, axis=1)
-        if len(self.languages) > 1:
-            score = 1 - ordered[:, 0] / np.maximum(ordered[:, 1], 1e-9)
-        else:
-            score = np.ones(len(texts))
+        length = np.array([len(x) for x in clean])[:, None]
+        evidence = length * (self.foreign - self.own) - self.parse(clean) * np.log(self.foreign / self.own) + np.log(self.sizes)
+        best = evidence.argmax(axis=1)
+        ordered = np.sort(evidence, axis=1)
+        score = 1 - np.exp(ordered[:, -2] - ordered[:, -1]) if len(self.languages) > 1 else np.ones(len(texts))
         said = [self.languages[b] if x else UNKNOWN for b, x in zip(best.tolist(), clean, strict=True)]
         return said, np.where([bool(x) for x in clean], np.clip(score, 0, 1), 0.0).tolist()
 
 
 def fit(samples: dict[str, list[str]]) -> Model:
-    """Automata of equally long texts of each language, and the phrases a character of its rest needs."""
+    """An automaton of four fifths of each language's sample, and the phrases a character of the rests needs."""
     texts = {k: folded(" ".join(v)) for k, v in sorted(samples.items())}
     texts = {k: v for k, v in texts.items() if v.strip()}
     if not texts:
-        return Model([], {}, np.zeros(1, np.int32), np.zeros(0, np.int32), np.ones(0))
-    least = min(len(v) for v in texts.values())
-    size = min(LANGUAGE_CHARS, max(1, least * 4 // 5))
-    machines = {k: Automaton(v[:size]) for k, v in texts.items()}
-    classes = {c: k for k, c in enumerate(sorted({c for v in texts.values() for c in v[:size]}))}
+        return Model([], {}, np.zeros(1, np.int32), np.zeros(0, np.int32), np.ones(0), np.ones(0), np.ones(0))
+    sizes = {k: min(LANGUAGE_CHARS, max(1, len(v) * 4 // 5)) for k, v in texts.items()}
+    machines = {k: Automaton(v[: sizes[k]]) for k, v in texts.items()}
+    classes = {c: k for k, c in enumerate(sorted({c for k, v in texts.items() for c in v[: sizes[k]]}))}
     width = len(classes) + 1
     table = np.full(sum(len(m.next) for m in machines.values()) * width, -1, np.int32)
     roots, base = [], 0
@@ -177,13 +185,28 @@ def fit(samples: dict[str, list[str]]) -> Model:
                 table[(base + state) * width + classes[char]] = base + target
         base += len(machine.next)
     # A language of many words needs more phrases for its own text; rest text of each sample tells.
-    rates = []
+    rests = {k: v[sizes[k] : sizes[k] + REST_CHARS] for k, v in texts.items()}
+    largest = sorted(rests, key=lambda k: (-len(rests[k]), k))[:3]
+    # Others' rests are taken in turn up to REST_CHARS in all, and of each no more than its share.
+    share = max(100, REST_CHARS // max(1, len(texts) - 1))
+    own, foreign = [], []
     for language, machine in machines.items():
-        rest = texts[language][size : size + REST_CHARS]
-        rates.append(max(machine.phrases(rest), 1) / len(rest) if len(rest) >= 500 else 0.0)
-    own = np.array(rates)
-    own = own if (own > 0).all() else np.ones(len(rates))
-    return Model(list(machines), classes, table, np.array(roots, np.int32), own / own.mean())
+        rest, size = rests[language], sizes[language]
+        phrases, chars = machine.phrases(rest), len(rest)
+        if chars < REST_CHARS:
+            # A short rest says little: so long a sample of another language's and its rest fill up.
+            other = [(Automaton(texts[k][:size]).phrases(rests[k][:PRIOR_CHARS]), len(rests[k][:PRIOR_CHARS])) for k in largest if k != language and sizes[k] >= size and rests[k]]
+            if other:
+                phrases += PRIOR_CHARS * sum(p for p, _ in other) / sum(n for _, n in other)
+                chars += PRIOR_CHARS
+        rate = phrases / chars if phrases else 1.0
+        own.append(rate)
+        others = [v[:share] for k, v in rests.items() if k != language and v]
+        others = others[: max(1, REST_CHARS // share)]
+        chars = sum(map(len, others))
+        # Where nothing tells them apart, others' text needs as many phrases, and the sample says nothing.
+        foreign.append(max(rate, sum(map(machine.phrases, others)) / chars) if chars else rate)
+    return Model(list(machines), classes, table, np.array(roots, np.int32), np.array(own), np.array(foreign), np.array([*sizes.values()], float))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

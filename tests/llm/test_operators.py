@@ -234,6 +234,21 @@ def test_parsing_in_step_equals_the_automaton(monkeypatch):
         assert model.parse(texts)[:, k].tolist() == [machine.phrases(t) for t in texts]
 
 
+def test_a_rare_label_shrinks_no_other_language(rows):
+    samples = collections.defaultdict(list)
+    for doc_id, text, lang, _ in rows:
+        if lang and text and doc_id is not None and doc_id < 9_000 and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            samples[lang].append(text[: langid.ROW_CHARS])
+    judged = [(t, x) for i, t, x, _ in rows if i is not None and i < 9_000 and t and x and zlib.crc32(str(i).encode()) % 4 == 2]
+    model = langid.fit({**samples, "zz": ["quizzical wyvern jot"]})
+    assert model.sizes.tolist() == [16 if k == "zz" else min(langid.LANGUAGE_CHARS, len(langid.folded(" ".join(samples[k]))) * 4 // 5) for k in model.languages]
+    said, _ = model.predict([t for t, _ in judged])
+    plain, _ = langid.fit(dict(samples)).predict([t for t, _ in judged])
+    assert sum(a == x for a, (_, x) in zip(said, judged, strict=True)) >= sum(a == x for a, (_, x) in zip(plain, judged, strict=True)) - 1
+    # A short text without evidence for any language goes to none of the rare ones.
+    assert model.predict(["jolt"])[0] != ["zz"]
+
+
 PAGE = """<html><head><title>No</title><style>p{}</style></head><body><div class="site-header">Logo</div><nav><ul><li>Home</ul></nav><div id=cookie-notice>We use cookies</div>
 <div class="wrap with-sidebar"><article><header><h1>Title &amp; more</h1></header><p>One&nbsp;two <b>bo</b>ld<p>Three<br>four<script>var a="</p>";</script><!-- gone --><ul><li>a<li>b</ul>
 <form>x</form><div class="share">Share</div><section class="comments"><article><p>Nice post</p></article></section><div class="ad">Buy</div></article></div><aside>side</aside><footer>foot</footer>"""
