@@ -2,7 +2,8 @@
 
 Three patterns find assignments, access keys and long hexadecimal runs. Beyond them, runs of key
 characters are coded with a public byte-pair vocabulary: prose and names take several characters a
-token, random strings fewer than two. Runs that are a known digest or identifier are excluded first.
+token, random strings fewer than two. Runs that are a known digest or identifier are excluded first; a run
+with the form of a name is one only if the words it is made of take several characters a token as well.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ _NUMBER = re.compile("[0-9+/_=-]+")
 _NAME = re.compile(
     "(?:[/_+=-]*+(?>[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[A-Za-z](?![A-Za-z0-9])|(?<![A-Za-z0-9])[0-9]{1,8}+(?![A-Za-z0-9])|(?<=[a-z]{3})[0-9]{1,4}+(?![a-z0-9])))++[/_+=-]*+"
 )
+_WORD = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 
 
 @dataclass(frozen=True)
@@ -71,13 +73,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def known(run: str) -> bool:
-    """Whether a run is a digest, a UUID, a number, or a name made of words."""
+def _tokens(text: str, test: Test) -> int:
+    # Windows bound the coder's work on one endless run; a token more for each changes nothing.
+    return sum(len(vocabulary(test.vocabulary).encode_ordinary(text[k : k + 1024])) for k in range(0, len(text), 1024))
+
+
+def known(run: str, test: Test = Test()) -> bool:
+    """Whether a run is a digest, a UUID, a number, or a name made of words that are not random themselves."""
     if _UUID.fullmatch(run) or _NUMBER.fullmatch(run):
         return True
     if len(run) in DIGEST_DIGITS and _DIGEST.fullmatch(run):
         return True
-    return _NAME.fullmatch(run) is not None
+    if not _NAME.fullmatch(run):
+        return False
+    words = _WORD.findall(run)
+    return sum(map(len, words)) >= test.ratio * sum(_tokens(x, test) for x in words)
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], test: Test) -> list[tuple[int, int, int]]:
@@ -88,11 +98,9 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], test: Test) -> li
     for m in _RUN.finditer(text):
         start, end = m.span()
         run = m.group()
-        if end - start < test.least or known(run) or any(s <= start and end <= e for s, _, e in taken):
+        if end - start < test.least or known(run, test) or any(s <= start and end <= e for s, _, e in taken):
             continue
-        # Windows bound the coder's work on one endless run; a token more for each changes nothing.
-        tokens = sum(len(vocabulary(test.vocabulary).encode_ordinary(run[k : k + 1024])) for k in range(0, len(run), 1024))
-        if end - start < test.ratio * tokens:
+        if end - start < test.ratio * _tokens(run, test):
             found.append((start, 3, end))
     return found
 

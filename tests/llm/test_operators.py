@@ -90,6 +90,21 @@ def test_random_strings_and_names():
         assert not secrets.random_spans(name, [], test)
 
 
+def test_random_letters_of_one_case():
+    import random
+    import string
+
+    draw = random.Random(4)
+    test = secrets.Test()
+    for letters in (string.ascii_lowercase, string.ascii_uppercase):
+        one = ["".join(draw.choices(letters, k=32)) for _ in range(200)]
+        assert sum(bool(secrets.random_spans(x, [], test)) for x in one) >= 185
+        joined = ["_".join("".join(draw.choices(letters, k=10)) for _ in range(3)) for _ in range(200)]
+        assert sum(bool(secrets.random_spans(x, [], test)) for x in joined) >= 170
+    for name in ("internationalization_of_names", "HTTPConnectionManagerFactory", "src/main/resources/config", "MAXIMUM_NUMBER_OF_RETRIES"):
+        assert not secrets.random_spans(name, [], test)
+
+
 def test_quality_counts(docs, rows, nothing):
     want = collections.Counter()
     for doc_id, text, _, _ in rows:
