@@ -48,12 +48,14 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 LISTS = frozenset("ul ol dl table".split())
 #: Elements that never hold article text.
 NEVER = frozenset("head script style noscript template iframe object svg math canvas audio video nav footer aside form button select option textarea input menu dialog datalist title".split())
-#: Words in a class, id or role that mark an element as none of the article.
+#: Classes, ids and roles that mark an element as none of the article; a compound does if all its words do
+#: (cookie-notice), so that a layout class (with-sidebar, widget-area) is none.
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies copyright disclaimer disqus "
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related recommended "
     "reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+HEADERS = frozenset("header site-header page-header main-header".split())
 #: Starting one of these ends an open element of the second kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 WITHIN = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
@@ -61,21 +63,28 @@ CLOSES_P = BLOCK - {"br", "body", "html", "caption", "td", "th", "tr", "tbody",
 
 
 class Node:
-    __slots__ = ("children", "drop", "hash", "hints", "tag")
+    __slots__ = ("children", "drop", "hash", "hints", "names", "size", "tag")
 
-    def __init__(self, tag: str, hints: str = "", drop: bool = False) -> None:
-        self.tag, self.hints, self.drop, self.children, self.hash = tag, hints, drop, [], 0
+    def __init__(self, tag: str, hints: str = "", drop: bool = False, names: tuple[str, ...] = ()) -> None:
+        self.tag, self.hints, self.drop, self.names, self.children, self.hash, self.size = tag, hints, drop, names, [], 0, 0
 
 
 def _node(tag: str, rest: str) -> Node:
-    hints, hidden = "", False
+    hints, hidden, names = "", False, []
     if rest and ("=" in rest or "hidden" in rest):
         for m in _ATTRIBUTE.finditer(rest):
             value = (m[2] or m[3] or m[4] or "").lower()
             name = m[1].lower()
             hidden |= name == "hidden" or name == "aria-hidden" and value == "true"
-            hints += f" {name}={value}" if name in ("class", "id", "role") else ""
-    return Node(tag, hints, hidden or tag in NEVER or bool(hints and not HINTS.isdisjoint(_TOKENS.findall(hints))))
+            if name in ("class", "id", "role"):
+                hints += f" {name}={value}"
+                names += value.split()
+    return Node(tag, hints, hidden or tag in NEVER, tuple(names))
+
+
+def _hinted(node: Node) -> bool:
+    """Whether one of an element's names, as a whole, says that it is none of the article."""
+    return any(words and HINTS.issuperset(words) for words in map(_TOKENS.findall, node.names))
 
 
 def parse(html: str) -> Node:
@@ -138,9 +147,12 @@ def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
 
 
 def _hash_subtrees(root: Node) -> None:
+    """Gives each element its hash and the size of its text."""
     for node, done in _walk(root):
         if done:
             inner = "\x1f".join(" ".join(x.split()) if isinstance(x, str) else format(x.hash, "x") for x in node.children)
+            # Text that may be shown, without white space at its ends.
+            node.size = 0 if node.drop else sum(len(x.strip()) if isinstance(x, str) else x.size for x in node.children)
             node.hash = _hash(f"{node.tag}\x1e{node.hints}\x1e{inner}")
 
 
@@ -217,8 +229,10 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
             named, out, safe, box = opened.pop()
             inside, dropped, prose, boxed = inside - named, dropped - out, prose - safe, boxed - box
             continue
-        header = node.tag == "header" or "header" in _TOKENS.findall(node.hints)
-        out = (node.drop or header and not inside) and id(node) not in around and id(node) not in content
+        header = node.tag == "header" or not HEADERS.isdisjoint(node.names)
+        # A name drops no element that holds most of a page's text, unless the page names its content.
+        named_out = (_hinted(node) or header and not inside) and (bool(content) or 2 * node.size <= root.size)
+        out = (node.drop or named_out) and id(node) not in around and id(node) not in content
         named = id(node) in content
         safe = bool(content) and (node.tag in PROSE or node.tag in LISTS and not boxed)
         # Inside named content prose is safe; what holds it or the content leaves no mark on what it holds.

@@ -303,6 +303,13 @@ def test_copies_make_no_template(spark):
     assert got[103] == "Told once a cell Page 3"
 
 
+@pytest.mark.parametrize("name", ["layout with-sidebar", "no-sidebar", "search-result", "no-comments", "widget-area", "banner-image", "header-fixed", "notice"])
+def test_layout_names_drop_no_text(name):
+    around = "<div class='sidebar'>Side</div><div id=cookie-notice>We use cookies</div><div class=comments>Nice</div>"
+    page = f"<div class='{name}'><h1>Title</h1><p>The whole story of the page stands in here, and it is long enough.</p>{around}</div>"
+    assert html.read_page(page)[0] == ["Title", "The whole story of the page stands in here, and it is long enough."]
+
+
 def _components(rows, size, percent):
     sets = []
     for _, text, *_ in rows:
