@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from emberwave.llm.common import few, saved, slices
 
-#: A subtree is template where it is on at least so many pages of its host, and on such a share of them.
+#: A subtree is template where it is on at least so many pages of its host, and on such a share of them. The
+#: share holds for a host of LEAST_PAGES / LEAST_SHARE pages and falls with the root of the host's size, so
+#: that the boxes of a large host's sections go: with these figures, the root of the host's pages is enough.
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
 
 #: Pages that lose something are broadcast up to this many, a few hundred bytes each.
@@ -278,7 +280,8 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
 
 def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, subtree) of subtrees on at least ``least_pages`` and ``least_share`` of their host's pages.
+    """(host, subtree) of subtrees on at least ``least_pages`` of their host's pages and the root of
+    ``least_pages * least_share`` times all of them.
 
     Pages of a host with the same text (``same``) are one page; of its copies the least array counts.
     """
@@ -286,7 +289,7 @@ def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: fl
     counts = pages.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
     hosts = parsed.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     often = counts.where(F.col("n") >= least_pages).join(hosts, "host")
-    return often.where(F.col("n") >= least_share * F.col("host_pages")).select("host", "subtree")
+    return often.where(F.col("n") >= F.sqrt(least_pages * least_share * F.col("host_pages"))).select("host", "subtree")
 
 
 def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:

@@ -303,6 +303,13 @@ def test_copies_make_no_template(spark):
     assert got[103] == "Told once a cell Page 3"
 
 
+def test_a_section_of_a_large_host_has_templates(spark):
+    box = "<div><b>Desk</b> <i>Write to the desk</i></div>"
+    rows = [(k, f"http://big.org/{k}", f"{box if k < 40 else ''}{'<p>Told often</p>' if k % 40 == 0 else ''}<p>Story {k}</p>") for k in range(400)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story 3" and got[40] == "Told often Story 40"
+
+
 @pytest.mark.parametrize("name", ["layout with-sidebar", "no-sidebar", "search-result", "no-comments", "widget-area", "banner-image", "header-fixed", "notice"])
 def test_layout_names_drop_no_text(name):
     around = "<div class='sidebar'>Side</div><div id=cookie-notice>We use cookies</div><div class=comments>Nice</div>"
