@@ -253,6 +253,39 @@ def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
     return pieces, marks, sorted(subtrees)
 
 
+#: Elements whose text is code, or markup for browsers that lack something.
+CODE = frozenset("script style template iframe noembed noframes".split())
+
+
+def visible_text(html: str) -> list[str]:
+    """The blocks of all text of a page, its title and its navigation too; only code and markup are left out."""
+    pieces: list[str] = []
+    buffer: list[str] = []
+
+    def flush() -> None:
+        text = " ".join("".join(buffer).split())
+        buffer.clear()
+        if text:
+            pieces.append(text)
+
+    todo: list[Node | str | None] = [parse(html)]
+    while todo:
+        node = todo.pop()
+        if node is None:
+            flush()
+        elif isinstance(node, str):
+            buffer.append(node)
+        elif node.tag not in CODE:
+            block = node.tag in BLOCK or node.tag in ("title", "option", "button", "textarea")
+            if block:
+                flush()
+                todo.append(None)
+            # Of the elements whose content is no markup, these two have character references.
+            todo += [unescape(x) if isinstance(x, str) and node.tag in ("title", "textarea") else x for x in reversed(node.children)]
+    flush()
+    return pieces
+
+
 def _host(url: str | None) -> str:
     m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
     return m[1].lower() if m else ""

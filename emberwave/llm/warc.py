@@ -1,7 +1,8 @@
 """WARC derivatives: linked metadata and conversion records of responses.
 
 A ``response`` record (a page as it was fetched) becomes a ``metadata`` record, which holds what is known
-of it as JSON, and a ``conversion`` record, which holds its plain text. Both name the response in
+of it as JSON, and a ``conversion`` record, which holds its plain text: all of it, title, navigation and
+comments too, without markup and code, a line for each block. Both name the response in
 WARC-Refers-To, keep its target, its date and its payload digest, and carry digests of their own.
 Record ids are version-5 UUIDs of what a record is about, so a rerun writes the same ids.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberwave.llm.common import slices
-from emberwave.llm.html import read_page
+from emberwave.llm.html import visible_text
 
 CRLF = "\r\n"
 #: Where the table has no date, records carry this one.
@@ -69,7 +70,7 @@ def derive(page_id: int | None, uri: str, date: str, block: bytes) -> Iterator[t
     # Equal responses of one address and date are one capture, whatever row they come from.
     response = record_id("response", uri, date, source_digest, "" if page_id is None else str(page_id))
     html = body.decode("utf-8", "replace")
-    pieces, _, _ = read_page(html)
+    pieces = visible_text(html)
     text = "\n".join(pieces)
     title = _TITLE.search(html)
     facts = {

@@ -369,6 +369,13 @@ def test_minmax_estimates_similarity():
     assert abs((signed[0] == signed[1]).mean() - 0.8) < 0.05
 
 
+def test_conversion_holds_the_whole_text():
+    page = "<title>A &amp; B</title><style>p{}</style><div class='with-sidebar'><nav>Home</nav><header>Brand</header><p>Before</p><article><p>Story <b>bo</b>ld</p></article><aside>Side</aside>"
+    page += "<div class=comments>Nice</div><form><button>Send</button></form><script>var a='<p>no</p>'</script><template><p>no</p></template><footer>Foot</footer></div>"
+    _, conversion = warc.derive(1, "http://h/", warc.NO_DATE, warc.http_response(page))
+    assert conversion[-1].split("\n") == ["A & B", "Home", "Brand", "Before", "Story bold", "Side", "Nice", "Send", "Foot"]
+
+
 def test_warc(spark, small, nothing):
     pages = spark.read.parquet(f"{small}/pages.parquet").limit(3).select("page_id", "url", "html")
     odd = spark.createDataFrame([(None, None, None), (5, "http://é/", "<p>é</p>")], "page_id long, url string, html string")
