@@ -85,11 +85,11 @@ class Windows:
     places: np.ndarray
     lengths: np.ndarray
     owner: np.ndarray
-    items: list[str]
+    items: list[str | None]
     numbers: np.ndarray
 
 
-def windows(items: list[tuple[str, str | None]], size: int = WINDOW) -> Windows:
+def windows(items: list[tuple[str | None, str | None]], size: int = WINDOW) -> Windows:
     """``size`` consecutive words each; an item with fewer is one window, without words none."""
     ids, starts, terms = word_ids([(text or "").encode() for _, text in items], WORDS)
     rows, lengths, owner, numbers = [], [], [], []
@@ -149,7 +149,7 @@ class Segment:
         return np.searchsorted(self.firsts, positions, "right") - 1
 
 
-def _marked(segment: Segment, wanted: Windows, marks: np.ndarray, found: list[set[str]]) -> None:
+def _marked(segment: Segment, wanted: Windows, marks: np.ndarray, found: list[set[str | None]]) -> None:
     """Adds the words inside occurrences to ``marks`` and the items to their texts."""
     change = np.zeros(len(marks) + 1, np.int64)
     for w, starts in segment.search(wanted):
@@ -160,10 +160,10 @@ def _marked(segment: Segment, wanted: Windows, marks: np.ndarray, found: list[se
     marks |= np.cumsum(change[:-1]) > 0
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, str | None]]]:
     """The items, in blocks of bounded size, one at a time on the driver."""
     block, size = [], 0
-    for row in benchmark.select(benchmark["item_id"].cast("string").alias("i"), benchmark["text"].cast("string").alias("t")).where("i IS NOT NULL").toLocalIterator():
+    for row in benchmark.select(benchmark["item_id"].cast("string").alias("i"), benchmark["text"].cast("string").alias("t")).toLocalIterator():
         block.append((row.i, row.t))
         size += len(row.t or "") + 64
         if size >= BLOCK_BYTES:
@@ -176,8 +176,8 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
 def exact_hits(index: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, n_items and items (sorted strings), a row per indexed text.
 
-    Items with the same id count once; an item without words or without an id occurs nowhere. A null or
-    empty text has no words and no hits. Without items, nothing is hit. Items are searched in blocks of
+    Items with the same id count once, and so do all without an id, which are a null at the end of
+    ``items``; an item without words occurs nowhere. A null or empty text has no words and no hits. Without items, nothing is hit. Items are searched in blocks of
     bounded size; what earlier blocks marked in a segment is handed on with it in a written table.
     """
     blocks = list(_blocks(benchmark)) or [[]]
@@ -209,7 +209,7 @@ def _searched(part: pa.RecordBatch, wanted: Windows, last: bool) -> pa.RecordBat
     marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=size).astype(bool) if row["marks"] is not None else np.zeros(size, bool)
     found = [set(x) for x in row["found"]] if row["found"] is not None else [set() for _ in range(n)]
     _marked(segment, wanted, marks, found)
-    items = [sorted(x) for x in found]
+    items = [sorted(x, key=lambda i: (i is None, i or "")) for x in found]
     if not last:
         part = part.set_column(part.schema.get_field_index("marks"), "marks", pa.array([np.packbits(marks).tobytes()], pa.binary()))
         return part.set_column(part.schema.get_field_index("found"), "found", pa.array([items], pa.list_(pa.list_(pa.string()))))
@@ -276,6 +276,6 @@ def keep_uncontaminated(documents: DataFrame, benchmark: DataFrame, size: int =
 
 
 def items_digest(items: str = "items"):
-    """The lower-case hex SHA-256 of the comma-joined items."""
+    """The lower-case hex SHA-256 of the comma-joined items; a null is left out."""
     return F.sha2(F.array_join(items, ","), 256)
 

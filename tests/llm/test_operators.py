@@ -213,6 +213,28 @@ def test_decontamination(spark, docs, rows, nothing, small, monkeypatch, block):
     assert decontam.exact_hits(index, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("block", [32_000_000, 1])
+def test_items_without_an_id(spark, monkeypatch, block):
+    import duckdb
+
+    from emberwave.llm import oracle
+
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+    docs = [(1, "so a b c d e f g h i j k"), (2, "nothing of it"), (3, "x y and 1 2 3"), (4, "1 2 3")]
+    items = [(None, "a b c d e f g h i j"), (None, "x y"), (7, "1 2 3"), (None, None)]
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    hits = decontam.exact_hits(decontam.stored_index(frame), bench)
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in hits.collect()} == {1: (10, [None]), 2: (0, []), 3: (5, ["7", None]), 4: (3, ["7"])}
+    assert [r.doc_id for r in decontam.keep_uncontaminated(frame, bench).collect()] == [2]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    duck.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    got = hits.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    assert sorted(map(tuple, got.collect())) == sorted(duck.execute(oracle.SQL["op4_decontamination"]).fetchall())
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "a b x c d e f g h i j"), (3, "j i h g f e d c b a")], "doc_id long, text string")
     bench = spark.createDataFrame([("q", "a b c d e f g h i j")], "item_id string, text string")
