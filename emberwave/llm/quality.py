@@ -6,6 +6,9 @@ a repeat as long as the larger LCP beside its suffix, and the union of those spa
 union of the spans of all maximal repeats. A text fails when repeats of ``min_repeat`` words or more
 cover too large a share of it, or when its longest repeat is too long for its length.
 
+Unbroken runs of RUN_REPEAT characters or more (one word each) have a second array over their characters.
+Its repeats of RUN_REPEAT characters or more fail a text by the same shares, of all its characters.
+
 Many texts share one array: equal words of different texts get different symbols, so no repeat reaches
 over a text's end. The array is built by prefix doubling, which re-sorts only the suffixes that are
 still tied; the ranks of each round give the LCPs by binary descent.
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame
 from emberwave.llm.common import encoded, slices, word_ids
 
 SYMBOLS = "#*$%&|<>"
+#: Characters that a repeat inside unbroken runs has at least, about as many as eight words have.
+RUN_REPEAT = 48
 _SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 SCHEMA = (
@@ -107,6 +112,25 @@ def covered(lengths: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
+def _run_repeats(texts: int, ids: np.ndarray, owner: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the characters that lie in repeats inside long runs, and the longest such repeat."""
+    inside, longest = np.zeros(texts, np.int64), np.zeros(texts, np.int64)
+    long = {k: x for k, x in enumerate(words) if len(x) >= RUN_REPEAT}
+    runs = {k: x for k, w in long.items() if len(x := np.frombuffer(w.decode("utf-8", "replace").encode("utf-32-le"), "<u4")) >= RUN_REPEAT}
+    places = np.flatnonzero(np.isin(ids, list(runs))) if runs else []
+    if not len(places):
+        return inside, longest
+    # A symbol of its own ends each run, so that no repeat reaches over it.
+    sizes = np.array([len(runs[k]) + 1 for k in ids[places].tolist()])
+    text = np.repeat(owner[places], sizes)
+    symbols = text * 0x110000 + np.concatenate([np.r_[runs[k], 0] for k in ids[places].tolist()])
+    symbols[np.cumsum(sizes) - 1] = -1 - np.arange(len(sizes))
+    lengths = repeat_lengths(symbols, np.searchsorted(text, text, "right"))
+    np.add.at(inside, text[covered(lengths, RUN_REPEAT)], 1)
+    np.maximum.at(longest, text, np.where(lengths >= RUN_REPEAT, lengths, 0))
+    return inside, longest
+
+
 def _dup_lines(text: str) -> int:
     if "\n" not in text:
         return 0
@@ -128,9 +152,12 @@ def measured(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     np.maximum.at(longest, owner, lengths)
     failed = (n_words < rules.min_words) | (100 * repeat_words > rules.max_repeat_percent * n_words)
     repetitive = (covered_words > rules.max_covered * n_words) | ((longest >= rules.min_repeat) & (longest > rules.max_longest * n_words))
+    word_chars = np.array([len(x) - sum(map(x.count, _SPACE)) for x in texts], np.int64)
+    run_covered, run_longest = _run_repeats(len(texts), ids, owner, words)
+    repetitive |= (run_covered > rules.max_covered * word_chars) | (run_longest > rules.max_longest * word_chars)
     return {
         "n_words": n_words,
-        "word_chars": np.array([len(x) - sum(map(x.count, _SPACE)) for x in texts], np.int64),
+        "word_chars": word_chars,
         "n_symbols": np.array([sum(map(x.count, SYMBOLS)) for x in texts], np.int64),
         "n_dup_lines": np.array([_dup_lines(x) for x in texts], np.int64),
         "n_repeat_words": repeat_words,

@@ -144,6 +144,16 @@ def test_repetition_verdict(spark):
     assert {r.doc_id: r.kept for r in quality.assess(frame).collect()} == {1: True, 2: False}
 
 
+def test_repetition_inside_unbroken_runs(spark):
+    words60 = " ".join(f"word{k}" for k in range(60))
+    draw = np.random.default_rng(7)
+    line = "".join(chr(0x4E00 + k) for k in draw.integers(0, 3000, 400))
+    other = "".join(chr(0x4E00 + k) for k in draw.integers(0, 3000, 800))
+    rows = [(1, f"{words60} {'abc' * 100_000}"), (2, f"{words60} {line}x{line} y{line}"), (3, f"{words60} {other}"), (4, " ".join(f"word{k}" for k in range(400)) + " " + "-" * 80)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.kept for r in quality.assess(frame).collect()} == {1: False, 2: False, 3: True, 4: True}
+
+
 def test_token_files(docs, rows, nothing):
     import public_tokenizers
     from tokenizers import Tokenizer
