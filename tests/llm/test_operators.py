@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from emberwave.llm import common, decontam, fst_tokens, html, langid, mixing, neardup, quality, secrets, tokenfile, warc
+from emberwave.llm import common, decontam, fst_tokens, html, lanes, langid, mixing, neardup, quality, secrets, tokenfile, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -485,7 +485,7 @@ def test_token_counts(docs, rows, nothing):
     assert fst_tokens.count_tokens(nothing, "piece_bpe_32k.model").count() == 0
 
 
-def test_chunk_maps_compose():
+def test_chunk_maps_compose(monkeypatch):
     import random
 
     import public_tokenizers
@@ -495,11 +495,42 @@ def test_chunk_maps_compose():
     machine = fst_tokens.compiled("piece_bpe_32k.model")
     draw = random.Random(4)
     alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGH ▁\n  .,0123é世界ßñ🙂-_/<s>"
-    texts = ["", " ", "   ", "a  b", "\n", "▁", "<s></s><0x41>", "\x00", " " * 40 + "x", "ab" * 300]
+    texts = ["", " ", "   ", "a  b", "\n", "▁", "<s></s><0x41>", "\x00", " " * 40 + "x", "ab" * 300, "a" * 3000, "世界" * 900, "=" * 700 + "x" * 900]
     texts += ["".join(draw.choice(alphabet) for _ in range(draw.randint(1, 60))) for _ in range(1500)]
-    for text in texts:
-        want = len(library.encode(text))
-        assert [machine.tokens(text, n) for n in (fst_tokens.CHUNK, 7, 1)] == [want] * 3
+    want = [len(x) for x in library.encode(texts)]
+    for lane, block in ((512, 4_000_000), (512, 1000), (7, 4_000_000), (1, 4_000_000)):
+        monkeypatch.setattr(lanes, "LANE", lane)
+        monkeypatch.setattr(lanes, "BLOCK", block)
+        assert machine.tokens(texts).tolist() == want
+
+
+def test_a_long_unbroken_text_is_counted_whole():
+    import public_tokenizers
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    machine = fst_tokens.compiled("piece_bpe_32k.model")
+    part = "世界一二三" * 200 + "abc" * 400
+    long = part * 400
+    assert machine.tokens([long, part])[1] == len(library.encode(part)) and machine.tokens([long])[0] == len(library.encode(long))
+
+
+def test_states_are_forgotten_without_a_trace(monkeypatch):
+    monkeypatch.setattr(fst_tokens, "KEPT_STATES", 10)
+    monkeypatch.setattr(fst_tokens, "KEPT_PAIRS", 10)
+    machine = fst_tokens.compiled("piece_bpe_32k.model")
+    texts = [["the quick brown fox"], ["jumps over"], ["the quick brown fox"]]
+    first, _, again = (machine.tokens(x).tolist() for x in texts)
+    assert first == again
+
+
+def test_a_table_holds_what_was_put():
+    draw = np.random.default_rng(8)
+    table = lanes.Table()
+    keys = np.unique(draw.integers(0, 2**62, 5000))
+    for part in np.array_split(draw.permutation(keys), 7):
+        table.put(part, part % 1000)
+    assert (table.get(keys) == keys % 1000).all() and (table.get(keys + 1)[~np.isin(keys + 1, keys)] == -1).all()
 
 
 def test_slices_keep_every_row():
