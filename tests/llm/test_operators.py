@@ -270,30 +270,74 @@ def test_language(spark, docs, rows, nothing):
     assert langid.identify(unlabelled).first().lang_pred == "und"
 
 
-def test_parsing_in_step_equals_the_automaton(monkeypatch):
-    samples = {"a": ["the cat sat on the mat and the dog sat on the log " * 20], "b": ["der hund und die katze und das haus " * 20]}
+def _phrases(sample, text):
+    """Longest matches by plain search."""
+    at = n = 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at : at + size + 1] in sample and text[at] in sample:
+            size += 1
+        at, n = at + size, n + 1
+    return n
+
+
+def test_parsing_equals_longest_matches_by_search(monkeypatch):
+    draw = np.random.default_rng(6)
+    samples = {"a": ["the cat sat on the mat and the dog sat on the log " * 20], "b": ["der hund und die katze und das haus " * 20], "c": ["ab" * 300]}
+    samples["d"] = ["".join("abc d"[k] for k in draw.integers(0, 5, 2000))]
     model = langid.fit(samples)
-    monkeypatch.setattr(langid, "STRETCH", 10**9)
-    texts = [langid.folded(x) for x in ("the cat and the katze", "zzz qqq", "", "hund hund hund", "a")]
-    size = min(langid.LANGUAGE_CHARS, min(len(langid.folded(v[0])) for v in samples.values()) * 4 // 5)
-    for k, language in enumerate(model.languages):
-        machine = langid.Automaton(langid.folded(samples[language][0])[:size])
-        assert model.parse(texts)[:, k].tolist() == [machine.phrases(t) for t in texts]
+    texts = ["the cat and the katze", "zzz qqq", "", "hund hund hund", "a", "ab" * 900, "ba" * 700 + "z" + "ab" * 700, "xyz" * 500]
+    texts += ["".join("abc dé"[k] for k in draw.integers(0, 6, n)) for n in (10, 600, 3000)]
+    texts = [langid.folded(x) for x in texts]
+    cut = {k: langid.folded(v[0])[: x.size] for (k, v), x in zip(sorted(samples.items()), model.languages, strict=True)}
+    want = [[_phrases(cut[x.name], t) for x in model.languages] for t in texts]
+    assert [[langid.Automaton(cut[x.name]).phrases(t) for x in model.languages] for t in texts] == want
+    for lane, block in ((512, 4_000_000), (512, 700), (5, 4_000_000)):
+        monkeypatch.setattr(lanes, "LANE", lane)
+        monkeypatch.setattr(lanes, "BLOCK", block)
+        assert model.parse(texts).tolist() == want
 
 
-def test_a_rare_label_shrinks_no_other_language(rows):
+def test_a_rare_label_shrinks_no_other_language(spark, rows):
     samples = collections.defaultdict(list)
     for doc_id, text, lang, _ in rows:
         if lang and text and doc_id is not None and doc_id < 9_000 and zlib.crc32(str(doc_id).encode()) % 4 != 2:
-            samples[lang].append(text[: langid.ROW_CHARS])
+            samples[lang].append(text)
     judged = [(t, x) for i, t, x, _ in rows if i is not None and i < 9_000 and t and x and zlib.crc32(str(i).encode()) % 4 == 2]
-    model = langid.fit({**samples, "zz": ["quizzical wyvern jot"]})
-    assert model.sizes.tolist() == [16 if k == "zz" else min(langid.LANGUAGE_CHARS, len(langid.folded(" ".join(samples[k]))) * 4 // 5) for k in model.languages]
-    said, _ = model.predict([t for t, _ in judged])
-    plain, _ = langid.fit(dict(samples)).predict([t for t, _ in judged])
-    assert sum(a == x for a, (_, x) in zip(said, judged, strict=True)) >= sum(a == x for a, (_, x) in zip(plain, judged, strict=True)) - 1
-    # A short text without evidence for any language goes to none of the rare ones.
-    assert model.predict(["jolt"])[0] != ["zz"]
+    for rare in (["quizzical wyvern jot"], ["hi there"] * 3, ["hello"] * 3):
+        model = langid.fit({**samples, "xx": rare})
+        assert {x.name: x.size for x in model.languages} == {k: len(langid.folded(" ".join(v))) * 4 // 5 for k, v in {**samples, "xx": rare}.items()}
+        said, _ = model.predict([t for t, _ in judged])
+        plain, _ = langid.fit(dict(samples)).predict([t for t, _ in judged])
+        assert sum(a == x for a, (_, x) in zip(said, judged, strict=True)) >= sum(a == x for a, (_, x) in zip(plain, judged, strict=True)) - 1
+        # A short text without evidence for any language goes to none of the rare ones.
+        assert model.predict(["jolt"])[0] != ["xx"]
+
+
+def test_languages_in_blocks_predict_the_same(spark, docs, monkeypatch):
+    model = langid.fit(langid.training_sample(docs.select("doc_id", "text", "lang")))
+    want = by_row(langid.identify(docs, model), "doc_id", "lang_pred", "score")
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1)
+    assert len(model.blocks()) == len(model.languages) > 2
+    assert by_row(langid.identify(docs, model), "doc_id", "lang_pred", "score") == want
+
+
+def test_texts_without_letters_have_no_language(spark):
+    model = langid.fit({"en": ["some text of the language " * 30], "fr": ["un texte de la langue " * 30]})
+    said, score = model.predict(["½ ² 3", "12 - 7", "", None, "...", "the"])
+    assert said[:5] == ["und"] * 5 and score[:5] == [0.0] * 5 and said[5] == "en"
+
+
+def test_the_sample_takes_whole_rows(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGE_CHARS", 100)
+    rows = [(k, f"word{k} " * 5, "aa") for k in range(200)] + [(1000 + k, "x" * (500 + k), "bb") for k in range(50)]
+    found = langid.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = {t for _, t, _ in rows}
+    assert all(x in texts for v in found.values() for x in v) and sum(map(len, found["aa"])) <= 100 < sum(map(len, found["aa"])) + 45
+    assert len(found["bb"]) == 1
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="labels"):
+        langid.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
 
 
 PAGE = """<html><head><title>No</title><style>p{}</style></head><body><div class="site-header">Logo</div><nav><ul><li>Home</ul></nav><div id=cookie-notice>We use cookies</div>
