@@ -50,6 +50,18 @@ def few(keys: DataFrame, most: int | None = None) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= (BROADCAST_KEYS if most is None else most) else keys
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``frame`` does not have, whatever case its own are in."""
+    held, out = {x.lower() for x in frame.columns}, []
+    for name in names:
+        own = f"_{name}"
+        while own.lower() in held:
+            own = f"_{own}"
+        held.add(own.lower())
+        out.append(own)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts record batches where the bytes of ``column`` reach ``most``; no row is cut or lost."""
     for batch in batches:

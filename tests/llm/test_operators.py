@@ -41,7 +41,7 @@ def rows(spark, small):
 def docs(spark, rows):
     """The rows with extra columns whose names operators use themselves."""
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    for name in ("n_words", "kept", "size", "copies", "bands", "node", "row", "text_a", "_rank", "marks", "start", "n_tokens"):
+    for name in ("n_words", "kept", "size", "copies", "bands", "node", "row", "text_a", "_rank", "marks", "start", "n_tokens", "_text_key", "_Bad_key", "bad_id", "m_key", "m_id", "_mix_source", "_mix_size", "_mix_copies", "group", "segment"):
         frame = frame.withColumn(name, F.lit(name))
     return frame.repartition(3)
 
@@ -207,7 +207,7 @@ def _contaminated(rows, items, size=10):
     return out
 
 
-@pytest.mark.parametrize("block", [32_000_000, 200])
+@pytest.mark.parametrize("block", [64_000_000, 20_000])
 def test_decontamination(spark, docs, rows, nothing, small, monkeypatch, block):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()][:12]
@@ -223,7 +223,7 @@ def test_decontamination(spark, docs, rows, nothing, small, monkeypatch, block):
     assert decontam.exact_hits(index, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
-@pytest.mark.parametrize("block", [32_000_000, 1])
+@pytest.mark.parametrize("block", [64_000_000, 1])
 def test_items_without_an_id(spark, monkeypatch, block):
     import duckdb
 
@@ -254,6 +254,42 @@ def test_proximity(spark):
     assert (1, "exact") in near and (2, "near") in near and not any(d == 3 for d, _ in near)
 
 
+@pytest.mark.parametrize("slop", [0, 1, 2, 5])
+def test_proximity_in_one_segment(spark, slop):
+    """All starts at which each word of the window lies within slop of its place in the match's own text."""
+    draw = np.random.default_rng(9)
+    texts = ["zzz a a a", "b a c d e f g h i j", "", None, "a b c d e f g h i j", "x " * 70 + "a b c e d f g h i j"]
+    texts += [" ".join("abcdefghij"[k] for k in draw.permutation(10)) for _ in range(60)]
+    items = [("q", "a b c d e f g h i j"), ("r", "d e f")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    index = decontam.stored_index(docs)
+    assert index.count() == 1
+    want = collections.Counter()
+    for doc_id, text in enumerate(texts):
+        w = (text or "").split()
+        for item, phrase in items:
+            p = phrase.split()
+            counts = [sum((t or "").split().count(x) for t in texts) for x in p]
+            rare = min(range(len(p)), key=lambda k: counts[k])
+            for at in (k - rare for k, x in enumerate(w) if x == p[rare]):
+                if all(any(0 <= at + j + s < len(w) and w[at + j + s] == x for s in range(-slop, slop + 1)) for j, x in enumerate(p)):
+                    same = all(0 <= at + j < len(w) and w[at + j] == x for j, x in enumerate(p))
+                    want[(doc_id, item, max(at, 0), "exact" if same else "near")] += 1
+    got = by_row(decontam.find_matches(index, bench, slop=slop), "doc_id", "item_id", "position", "kind")
+    assert got == want and sum(want.values()) > 0
+
+
+def test_blocks_hold_bounded_windows(spark, monkeypatch):
+    import pickle
+
+    bench = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(40))) for k in range(300)] + [(999, "a " * 5000)], "item_id long, text string").coalesce(2)
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 100_000)
+    blocks = list(decontam._blocks(bench))
+    assert len(blocks) > 5 and sum(map(len, blocks)) == 301
+    assert all(len(pickle.dumps(decontam.windows(b).places)) <= 100_000 for b in blocks if len(b) > 1)
+
+
 def test_language(spark, docs, rows, nothing):
     found = langid.identify(docs)
     got = found.collect()
