@@ -3,38 +3,47 @@
 A page is parsed into a tree. Every element subtree gets a hash of its tags, classes and text; Spark
 counts in how many pages of a host each hash occurs, and subtrees that recur across many pages of their
 host are the site's template and are deleted. Pages of a host with the same text are one page there, so
-that copies of a page make no template. What HTML itself marks as no article text (navigation,
-forms, scripts, adverts by class and the like) is deleted on any page.
+that copies of a page make no template. This comes first, and over the whole page. What it leaves of
+navigation, forms, scripts, adverts by class and the like, as where a host has few pages or their texts
+differ, goes by what HTML itself says of an element.
 
 Where a page names its content (article, main), text outside it is not content, and the prose inside it
 (paragraphs, headings, quotations, code, and the lists and tables among them) is never taken for a template,
 whatever box it is in, as an article recurs too where several pages show it.
+
+Pages are parsed twice, once for the hashes and once for the text, rather than kept in parsed form: what is
+written between is some hashes a page. Templates reach the pages as a broadcast while they are counted to
+be few, else each page meets those of its own in a join.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from emberwave.llm.common import few, saved, slices
+from emberwave.llm.common import saved, slices
 
 #: A subtree is template where it is on at least so many pages of its host, and on such a share of them. The
 #: share holds for a host of LEAST_PAGES / LEAST_SHARE pages and falls with the root of the host's size, so
 #: that the boxes of a large host's sections go: with these figures, the root of the host's pages is enough.
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
 
-#: Pages that lose something are broadcast up to this many, a few hundred bytes each.
-BROADCAST_PAGES = 50_000
+#: Templates are broadcast up to this many, 16 bytes each.
+BROADCAST_TEMPLATES = 1_000_000
+#: Parts into which the rows of one template, or of one repeated page, are dealt in joins.
+SALT = 16
 
-PARSED = "page_id long, url string, host string, pieces array<string>, marks array<array<long>>, subtrees array<long>, same long"
+MARKS = "key_a long, key_b long, host long, same long, subtrees array<long>"
+TEXTS = "page_id long, url string, text string, n_chars long, n_template long, n_listed long"
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|(?P<text>[^<]+|<)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _TOKENS = re.compile(r"[a-z]+")
 
@@ -65,10 +74,14 @@ CLOSES_P = BLOCK - {"br", "body", "html", "caption", "td", "th", "tr", "tbody",
 
 
 class Node:
-    __slots__ = ("children", "drop", "hash", "hints", "names", "size", "tag")
+    __slots__ = ("around", "children", "content", "drop", "full", "hash", "hints", "holds", "names", "parent", "size", "tag")
 
     def __init__(self, tag: str, hints: str = "", drop: bool = False, names: tuple[str, ...] = ()) -> None:
-        self.tag, self.hints, self.drop, self.names, self.children, self.hash, self.size = tag, hints, drop, names, [], 0, 0
+        self.tag, self.hints, self.drop, self.names, self.children, self.parent = tag, hints, drop, names, [], None
+        #: Hash of the subtree, size of its text that may be shown, and of all its text.
+        self.hash = self.size = self.full = 0
+        #: Whether it has prose in it, is named content, and is around some.
+        self.holds = self.content = self.around = False
 
 
 def _node(tag: str, rest: str) -> Node:
@@ -89,51 +102,67 @@ def _hinted(node: Node) -> bool:
     return any(words and HINTS.issuperset(words) for words in map(_TOKENS.findall, node.names))
 
 
+class _Open:
+    """The open elements of a page, with the places of each tag, so that none is ever searched for."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.blocks, self.places = [root], [], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, at: int) -> None:
+        while len(self.stack) > at:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def add(self, child: Node | str) -> None:
+        self.stack[-1].children.append(child)
+        if isinstance(child, Node):
+            child.parent = self.stack[-1]
+
+
 def parse(html: str) -> Node:
     """The tree of a page; any text has one. End tags that fit nothing open are skipped."""
     root = Node("html")
-    stack, at, size = [root], 0, len(html)
+    now, at, size = _Open(root), 0, len(html)
     while at < size:
         m = _TOKEN.match(html, at)
         at = m.end()
         text = m["text"] or m["cdata"]
         if text is not None:
-            stack[-1].children.append(unescape(text) if m["text"] and "&" in text else text)
+            now.add(unescape(text) if m["text"] and "&" in text else text)
             continue
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
         if m["end"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if now.places.get(tag):
+                now.close(now.places[tag][-1])
             continue
         if tag in ("html", "body"):
             continue
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCK:
-                    break
-        if tag in ENDS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ENDS[tag]:
-                    del stack[k:]
-                    break
-                if stack[k].tag in WITHIN[tag]:
-                    break
+        if tag in CLOSES_P and now.blocks and now.stack[now.blocks[-1]].tag == "p":
+            now.close(now.blocks[-1])
+        if tag in ENDS and (open_ := now.last(ENDS[tag])) > now.last(WITHIN[tag]):
+            now.close(open_)
         node = _node(tag, m["rest"])
-        stack[-1].children.append(node)
+        now.add(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(html, at)
             node.children.append(html[at : close.start() if close else size])
             at = close.end() if close else size
         elif tag not in VOID and not m["rest"].endswith("/"):
-            stack.append(node)
+            now.push(node)
     return root
 
 
@@ -148,14 +177,25 @@ def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
             todo += [(x, False) for x in reversed(node.children) if isinstance(x, Node)]
 
 
-def _hash_subtrees(root: Node) -> None:
-    """Gives each element its hash and the size of its text."""
+def _measure(root: Node) -> None:
+    """Gives each element its hash, the sizes of its text, and whether it holds prose."""
     for node, done in _walk(root):
-        if done:
-            inner = "\x1f".join(" ".join(x.split()) if isinstance(x, str) else format(x.hash, "x") for x in node.children)
-            # Text that may be shown, without white space at its ends.
-            node.size = 0 if node.drop else sum(len(x.strip()) if isinstance(x, str) else x.size for x in node.children)
-            node.hash = _hash(f"{node.tag}\x1e{node.hints}\x1e{inner}")
+        if not done:
+            continue
+        inner, shown, full = [], 0, 0
+        for x in node.children:
+            if isinstance(x, str):
+                inner.append(" ".join(x.split()))
+                # Without white space at its ends.
+                shown, full = shown + len(x.strip()), full + len(inner[-1])
+            else:
+                inner.append(format(x.hash, "x"))
+                shown, full = shown + x.size, full + x.full
+        node.size = 0 if node.drop else shown
+        node.full = 0 if node.tag in CODE else full
+        node.hash = _hash("\x1e".join((node.tag, node.hints, "\x1f".join(inner))))
+        if node.parent is not None and (node.holds or node.tag in PROSE):
+            node.parent.holds = True
 
 
 def _beside(node: Node) -> bool:
@@ -163,94 +203,111 @@ def _beside(node: Node) -> bool:
     return node.tag in NEVER or not {"comment", "comments", "commentlist", "related"}.isdisjoint(_TOKENS.findall(node.hints)) or "=sidebar" in node.hints
 
 
-def _named_content(root: Node) -> tuple[set[int], set[int]]:
-    """Ids of the elements that a page names its content, and of all elements around one."""
-    found: dict[str, list[tuple[Node, list[Node]]]] = {"article": [], "main": []}
-    path: list[Node] = []
+def _name_content(root: Node) -> bool:
+    """Marks the elements that a page names its content, and all elements around one."""
+    found: dict[str, list[Node]] = {"article": [], "main": []}
+    beside = 0
     for node, done in _walk(root):
+        own = _beside(node)
         if done:
-            path.pop()
+            beside -= own
             continue
+        beside += own
         kind = "article" if node.tag == "article" else "main" if node.tag == "main" or "role=main" in node.hints else None
-        if kind and not any(map(_beside, [*path, node])):
-            found[kind].append((node, list(path)))
-        path.append(node)
+        if kind and not beside:
+            found[kind].append(node)
     chosen = found["article"] or found["main"]
-    return {id(n) for n, _ in chosen}, {id(x) for _, above in chosen for x in above}
+    for node in chosen:
+        node.content = True
+        above = node.parent
+        while above is not None and not above.around:
+            above.around = True
+            above = above.parent
+    return bool(chosen)
 
 
 def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+    return xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _holders(root: Node) -> set[int]:
-    """Ids of the elements with prose in them."""
-    found: set[int] = set()
-    path: list[Node] = []
-    for node, done in _walk(root):
-        if done:
-            path.pop()
-            if node.tag in PROSE or id(node) in found:
-                found.update(id(x) for x in path[-1:])
-        else:
-            path.append(node)
-    return found
-
-
-def read_page(html: str) -> tuple[list[str], list[list[int]], list[int]]:
-    """The blocks of text that may be content, for each the hashes whose recurrence removes it, and the
-    hashes of all subtrees that could be template."""
-    root = parse(html)
-    _hash_subtrees(root)
-    content, around = _named_content(root)
-    holders = _holders(root) if content else set()
-    pieces, marks, subtrees = [], [], set()
-    buffer: list[str] = []
-    path: list[int] = []
-    opened: list[tuple[bool, bool, bool, bool]] = []
-    inside = dropped = prose = boxed = 0
+class Page:
+    """The blocks of text of a page in order, and the elements whose recurrence would delete them.
 
-    def flush() -> None:
-        text = " ".join("".join(buffer).split())
-        buffer.clear()
-        if text:
-            pieces.append(text)
-            marks.append([x for x in path if x])
+    ``blocks`` has (text, element, whether it is no content by what HTML says); an element is a number, -1 for none,
+    with its subtree's hash and the element it is in, which has a smaller number.
+    """
 
-    todo: list[tuple[Node | str, bool]] = [(root, False)]
-    while todo:
-        node, done = todo.pop()
-        if isinstance(node, str):
-            if not dropped and (inside or not content):
-                buffer.append(node)
-            continue
-        if done:
+    def __init__(self, html: str) -> None:
+        self.blocks: list[tuple[str, int, bool]] = []
+        self.hashes: list[int] = []
+        self.above: list[int] = []
+        root = parse(html)
+        _measure(root)
+        content = _name_content(root)
+        buffers: tuple[list[str], list[str]] = ([], [])
+        opened: list[tuple[int, bool, bool, bool, bool]] = []
+        inside = dropped = prose = boxed = 0
+        element = -1
+
+        def flush() -> None:
+            for listed, buffer in enumerate(buffers):
+                text = " ".join("".join(buffer).split())
+                buffer.clear()
+                if text:
+                    self.blocks.append((text, element, bool(listed)))
+
+        todo: list[tuple[Node | str, bool]] = [(root, False)]
+        while todo:
+            node, done = todo.pop()
+            if isinstance(node, str):
+                buffers[bool(dropped) or content and not inside].append(node)
+                continue
+            if done:
+                if node.tag in BLOCK:
+                    flush()
+                element, named, out, safe, box = opened.pop()
+                inside, dropped, prose, boxed = inside - named, dropped - out, prose - safe, boxed - box
+                continue
+            if node.tag in CODE:
+                continue
+            header = node.tag == "header" or not HEADERS.isdisjoint(node.names)
+            # A name drops no element that holds most of a page's text, unless the page names its content.
+            named_out = (_hinted(node) or header and not inside) and (content or 2 * node.size <= root.size)
+            out = (node.drop or named_out) and not node.around and not node.content
+            safe = content and (node.tag in PROSE or node.tag in LISTS and not boxed)
+            # Inside named content prose is safe; what holds it or the content leaves no mark on what it holds.
+            template = node is not root and node.full > 0 and not (node.content or node.around or (inside and (prose or safe or node.holds)))
+            box = bool(inside) and template and node.tag in BLOCK
             if node.tag in BLOCK:
                 flush()
-            path.pop()
-            named, out, safe, box = opened.pop()
-            inside, dropped, prose, boxed = inside - named, dropped - out, prose - safe, boxed - box
-            continue
-        header = node.tag == "header" or not HEADERS.isdisjoint(node.names)
-        # A name drops no element that holds most of a page's text, unless the page names its content.
-        named_out = (_hinted(node) or header and not inside) and (bool(content) or 2 * node.size <= root.size)
-        out = (node.drop or named_out) and id(node) not in around and id(node) not in content
-        named = id(node) in content
-        safe = bool(content) and (node.tag in PROSE or node.tag in LISTS and not boxed)
-        # Inside named content prose is safe; what holds it or the content leaves no mark on what it holds.
-        template = node is not root and not (named or id(node) in around or (inside and (prose or safe or id(node) in holders)))
-        box = bool(inside) and template and node.tag in BLOCK
-        if node.tag in BLOCK:
-            flush()
-        if template:
-            subtrees.add(node.hash)
-        path.append(node.hash if template else 0)
-        opened.append((named, out, safe, box))
-        inside, dropped, prose, boxed = inside + named, dropped + out, prose + safe, boxed + box
-        todo.append((node, True))
-        todo += [(x, False) for x in reversed(node.children)]
-    flush()
-    return pieces, marks, sorted(subtrees)
+            opened.append((element, node.content, out, safe, box))
+            if template and node.tag in BLOCK:
+                # An element inside a line of text is no block of its own, so it makes no cut either.
+                self.hashes.append(node.hash)
+                self.above.append(element)
+                element = len(self.hashes) - 1
+            inside, dropped, prose, boxed = inside + node.content, dropped + out, prose + safe, boxed + box
+            todo.append((node, True))
+            todo += [(unescape(x) if isinstance(x, str) and node.tag == "title" else x, False) for x in reversed(node.children)]
+        flush()
+
+    def subtrees(self) -> list[int]:
+        return sorted(set(self.hashes))
+
+    def same(self) -> int:
+        """A hash of the text that HTML does not say is none, by which copies of a page are told."""
+        return _hash("\x1e".join(text for text, _, listed in self.blocks if not listed))
+
+    def cleaned(self, gone: Callable[[int], bool]) -> tuple[str, int, int]:
+        """The text that neither goes by a template nor by what HTML says, and the characters of what goes so."""
+        lost: list[bool] = []
+        for own, above in zip(self.hashes, self.above, strict=True):
+            lost.append(above >= 0 and lost[above] or gone(own))
+        by_template = [k >= 0 and lost[k] for _, k, _ in self.blocks]
+        text = " ".join(t for (t, _, listed), away in zip(self.blocks, by_template, strict=True) if not away and not listed)
+        n_template = sum(len(t) for (t, _, _), away in zip(self.blocks, by_template, strict=True) if away)
+        n_listed = sum(len(t) for (t, _, listed), away in zip(self.blocks, by_template, strict=True) if listed and not away)
+        return text, n_template, n_listed
 
 
 #: Elements whose text is code, or markup for browsers that lack something.
@@ -291,54 +348,96 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
+def _own(pages: DataFrame) -> DataFrame:
+    url, html = pages["url"].cast("string"), pages["html"].cast("string")
+    return pages.select(pages["page_id"].cast("long").alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+def _host_key(url: str | None) -> int:
+    return _hash(_host(url))
+
+
+def _keys() -> tuple[Column, Column]:
+    """Two hashes tell a page's address and content; equal pages share them."""
+    return F.xxhash64("url", "html").alias("key_a"), F.xxhash64(F.lit(1), "html", "url").alias("key_b")
+
+
+def page_marks(pages: DataFrame) -> DataFrame:
+    """``MARKS``, a row per page: its keys, its host, its content and its subtrees with text, as hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
-            read = [read_page(x or "") for x in part.column("html").to_pylist()]
-            urls = part.column("url").to_pylist()
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "page_id": part.column("page_id"),
-                    "url": part.column("url"),
-                    "host": pa.array(map(_host, urls), pa.string()),
-                    "pieces": pa.array([x[0] for x in read], pa.list_(pa.string())),
-                    "marks": pa.array([x[1] for x in read], pa.list_(pa.list_(pa.int64()))),
-                    "subtrees": pa.array([x[2] for x in read], pa.list_(pa.int64())),
-                    "same": pa.array([_hash("\x1e".join(x[0])) for x in read], pa.int64()),
-                }
-            )
-
-    own = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
-    return own.mapInArrow(run, PARSED)
-
-
-def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+            read = [Page(x or "") for x in part.column("html").to_pylist()]
+            columns = {"key_a": part.column("key_a"), "key_b": part.column("key_b"), "host": pa.array(map(_host_key, part.column("url").to_pylist()), pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns | {"same": pa.array([x.same() for x in read], pa.int64()), "subtrees": pa.array([x.subtrees() for x in read], pa.list_(pa.int64()))})
+
+    return _own(pages).select("url", "html", *_keys()).mapInArrow(run, MARKS)
+
+
+def templates(marks: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(host, subtree) of subtrees on at least ``least_pages`` of their host's pages and the root of
     ``least_pages * least_share`` times all of them.
 
     Pages of a host with the same text (``same``) are one page; of its copies the least array counts.
     """
-    pages = parsed.groupBy("host", "same").agg(F.min("subtrees").alias("subtrees"))
+    pages = marks.groupBy("host", "same").agg(F.min("subtrees").alias("subtrees"))
     counts = pages.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    hosts = parsed.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
+    hosts = marks.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     often = counts.where(F.col("n") >= least_pages).join(hosts, "host")
     return often.where(F.col("n") >= F.sqrt(least_pages * least_share * F.col("host_pages"))).select("host", "subtree")
 
 
+def _cleaned(part: pa.RecordBatch, gone: Callable[[int], Callable[[int], bool]]) -> pa.RecordBatch:
+    """``TEXTS`` of a slice; ``gone`` gives the test of the subtrees of its k-th row."""
+    read = [Page(x or "").cleaned(gone(k)) for k, x in enumerate(part.column("html").to_pylist())]
+    columns = {"page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array([x[0] for x in read], pa.string())}
+    columns["n_chars"] = pa.array([len(x[0]) for x in read], pa.int64())
+    return pa.RecordBatch.from_pydict(columns | {n: pa.array([x[k] for x in read], pa.int64()) for k, n in ((1, "n_template"), (2, "n_listed"))})
+
+
+def _by_broadcast(own: DataFrame, found: DataFrame) -> DataFrame:
+    rows = found.toPandas()
+    shared = own.sparkSession.sparkContext.broadcast((rows["host"].to_numpy(np.int64), rows["subtree"].to_numpy(np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, set[int]] = {}
+        for host, subtree in zip(*(x.tolist() for x in shared.value), strict=True):
+            sets.setdefault(host, set()).add(subtree)
+        none: set[int] = set()
+        for part in slices(batches, "html"):
+            urls = part.column("url").to_pylist()
+            yield _cleaned(part, lambda k, urls=urls: sets.get(_host_key(urls[k]), none).__contains__)
+
+    return own.mapInArrow(run, TEXTS)
+
+
+def _by_join(own: DataFrame, marks: DataFrame, found: DataFrame) -> DataFrame:
+    """Each distinct page meets the templates of its host, and each row its page; both joins are salted."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+    once = marks.dropDuplicates(["key_a", "key_b"]).select("key_a", "key_b", "host", F.explode("subtrees").alias("subtree"))
+    met = once.withColumn("salt", F.pmod("key_b", F.lit(SALT)).cast("int")).join(found.withColumn("salt", salts), ["host", "subtree", "salt"])
+    gone = saved(met.groupBy("key_a", "key_b").agg(F.collect_set("subtree").alias("gone")), "gone")
+    dealt = own.select("*", *_keys(), F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int").alias("salt"))
+    joined = dealt.join(gone.withColumn("salt", salts), ["key_a", "key_b", "salt"], "left").select("page_id", "url", "html", "gone")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "html"):
+            sets = [set(x or ()) for x in part.column("gone").to_pylist()]
+            yield _cleaned(part, lambda k, sets=sets: sets[k].__contains__)
+
+    return joined.mapInArrow(run, TEXTS)
+
+
 def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """page_id, url, text and n_chars, a row per row of ``pages`` (page_id, url, html).
+    """page_id, url, text and n_chars, a row per row of ``pages`` (page_id, url, html), and beside them the
+    characters of the blocks that templates delete (n_template) and that HTML says are no text (n_listed).
 
     A null or empty page has an empty text. A null url, or one without a host, belongs to the host "".
     Repeated rows count as one page and give repeated results, as pages of a host with the same text do; an
-    empty table gives none. Character references are decoded, white space in a block is one space, blocks are joined by one. Nothing of a
-    page is cut off; other columns are not read.
+    empty table gives none. Character references are decoded, white space in a block is one space, blocks
+    are joined by one. Nothing of a page is cut off; other columns are not read, whatever their names.
     """
-    parsed = saved(parsed_pages(pages).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    # A page's marks meet its host's templates by hash; only pages that lose something come back.
-    marked = parsed.where(F.exists("marks", lambda x: F.size(x) > 0)).select("row", "host", F.explode(F.array_distinct(F.flatten("marks"))).alias("subtree"))
-    gone = marked.join(templates(parsed, least_pages, least_share), ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
-    gone = few(saved(gone, "gone"), BROADCAST_PAGES)
-    joined = parsed.join(gone, "row", "left")
-    kept = F.expr("filter(pieces, (x, i) -> gone IS NULL OR NOT arrays_overlap(marks[i], gone))")
-    text = F.array_join(kept, " ")
-    return joined.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    own = _own(pages)
+    marks = saved(page_marks(pages), "marks")
+    found = saved(templates(marks, least_pages, least_share), "templates")
+    return _by_broadcast(own, found) if found.count() <= BROADCAST_TEMPLATES else _by_join(own, marks, found)

@@ -382,7 +382,7 @@ PAGE = """<html><head><title>No</title><style>p{}</style></head><body><div class
 
 
 def test_main_text(spark, small):
-    assert " ".join(html.read_page(PAGE)[0]) == "Title & more One two bold Three four a b"
+    assert html.Page(PAGE).cleaned(set().__contains__)[0] == "Title & more One two bold Three four a b"
     pages = spark.read.parquet(f"{small}/pages.parquet")
     odd = spark.createDataFrame([(None, None, None), (7_001, "http://a.b/", ""), (7_002, "no url", "<<p>1 < 2 & 3 &amp"), (7_002, "no url", "<<p>1 < 2 & 3 &amp")], "page_id long, url string, html string")
     all_pages = pages.select("page_id", "url", "html").unionByName(odd).withColumn("text", F.lit("x")).withColumn("host", F.lit("h"))
@@ -405,6 +405,66 @@ def test_templates_of_a_host(spark):
     assert got[3] == "Own text 3" and got[99] == "Brand Contact us Own text 99 All rights"
 
 
+SITE = """<html><head><title>{k} - The Site</title></head><body><div class="top"><b>The Site</b><ul><li><a href=/>Home</a></li><li><a href=/w>World</a></li></ul></div>
+<div class="body"><h1>Title {k}</h1><p>Story {k} is told here, {words}.</p>{boxed}<p>It ends {k}.</p></div><div class="legal"><p>All rights reserved by The Site</p></div></body></html>"""
+
+
+def _site(n, host):
+    draw = np.random.default_rng(n)
+    boxed = "<div class='box'><i>Follow us</i> <a href=/f>here</a></div>"
+    return [(f"http://{host}/{k}", SITE.format(k=k, words=" ".join(f"w{x}" for x in draw.integers(0, 10**6, 12)), boxed=boxed if k % 2 else "")) for k in range(n)]
+
+
+def _templates_by_count(rows):
+    """(host, hash) by counting one row after another."""
+    seen, pages = collections.defaultdict(set), collections.defaultdict(set)
+    least = {}
+    for url, page in rows:
+        read = html.Page(page)
+        key = (html._host(url), read.same())
+        least[key] = min(least.get(key, read.subtrees()), read.subtrees())
+    for (host, same), subtrees in least.items():
+        pages[host].add(same)
+        for x in subtrees:
+            seen[host, x].add(same)
+    return {k for k, v in seen.items() if len(v) >= html.LEAST_PAGES and len(v) ** 2 >= html.LEAST_PAGES * html.LEAST_SHARE * len(pages[k[0]])}
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_templates_decide_where_no_list_does(spark, small, monkeypatch, most):
+    """On a site without names for its parts the counts alone tell text from template, by broadcast and by join."""
+    monkeypatch.setattr(html, "BROADCAST_TEMPLATES", most)
+    rows = _site(30, "site.org") + _site(3, "small.org") + [(url, page) for url, page in _site(30, "site.org")[:1] for _ in range(40)]
+    rows += [(r.url, r.html) for r in spark.read.parquet(f"{small}/pages.parquet").collect()]
+    frame = spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(rows)], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: (r.text, r.n_chars, r.n_template, r.n_listed) for r in html.main_text(frame).collect()}
+    found = _templates_by_count(rows)
+    assert len(found) > 5 and len(got) == len(rows)
+    for k, (url, page) in enumerate(rows):
+        text, n_template, n_listed = html.Page(page).cleaned(lambda x, host=html._host(url): (host, x) in found)
+        assert got[k] == (text, len(text), n_template, n_listed)
+    words = re.search("told here, (.*?)\\.", rows[7][1])[1]
+    assert got[7][0] == f"Title 7 Story 7 is told here, {words}. It ends 7." and got[7][2] > 0
+    assert got[30][0].startswith("The Site Home World Title 0") and got[30][2] == 0
+    # Without the step, nothing of it would go.
+    off = {r.page_id: r.text for r in html.main_text(frame, least_pages=10**9).collect()}
+    assert off[7].startswith("The Site Home World Title 7") and off[7].endswith("All rights reserved by The Site")
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>a" * 40_000, "<b>x" * 40_000 + "</i>" * 40_000, "<article><div>a" * 20_000, "<p><td>" + "<b>" * 40_000 + "<hr>" * 40_000, "<a 'b " * 40_000 + "'", '<a "' * 40_001, "<li>" * 50_000, "<" * 300_000, "<!--" * 50_000],
+    ids=range(9),
+)
+def test_odd_pages_take_linear_time(page):
+    import time
+
+    began = time.perf_counter()
+    html.Page(page).cleaned(set().__contains__)
+    html.visible_text(page)
+    assert time.perf_counter() - began < 20
+
+
 def test_copies_make_no_template(spark):
     plain = "<div class=post><p>Only story</p><div>More of it</div></div>"
     rows = [(k, f"http://c.org/{k}", f"<script>track({k})</script>{plain}") for k in range(8)]
@@ -426,7 +486,7 @@ def test_a_section_of_a_large_host_has_templates(spark):
 def test_layout_names_drop_no_text(name):
     around = "<div class='sidebar'>Side</div><div id=cookie-notice>We use cookies</div><div class=comments>Nice</div>"
     page = f"<div class='{name}'><h1>Title</h1><p>The whole story of the page stands in here, and it is long enough.</p>{around}</div>"
-    assert html.read_page(page)[0] == ["Title", "The whole story of the page stands in here, and it is long enough."]
+    assert html.Page(page).cleaned(set().__contains__)[0] == "Title The whole story of the page stands in here, and it is long enough."
 
 
 def _components(rows, size, percent):
