@@ -4,10 +4,11 @@ The words of a text are the symbols of a suffix array. Neighbouring suffixes sha
 prefix (LCP); the LCP intervals are the maximal repeated substrings. A word position p is the start of
 a repeat as long as the larger LCP beside its suffix, and the union of those spans over all p is the
 union of the spans of all maximal repeats. A text fails when repeats of ``min_repeat`` words or more
-cover too large a share of it, or when its longest repeat is too long for its length.
+cover too large a share of it, or when its longest repeat is too long.
 
 Unbroken runs of RUN_REPEAT characters or more (one word each) have a second array over their characters.
-Its repeats of RUN_REPEAT characters or more fail a text by the same shares, of all its characters.
+Its repeats of RUN_REPEAT characters or more fail a text by the same share, of all its characters, or by a length
+of as many characters as the longest repeat may have words, six to a word.
 
 Many texts share one array: equal words of different texts get different symbols, so no repeat reaches
 over a text's end. The array is built by prefix doubling, which re-sorts only the suffixes that are
@@ -38,13 +39,17 @@ SCHEMA = (
 
 @dataclass(frozen=True)
 class Rules:
-    """``min_words`` and ``max_repeat_percent`` are the base; the other three are the suffix array's."""
+    """``min_words`` and ``max_repeat_percent`` are the base; the other three are the suffix array's.
+
+    A share of 0.12 in repeats of eight words is what published filters for training text allow, and repeats
+    of fifty words are what published exact deduplication of substrings takes out.
+    """
 
     min_words: int = 50
     max_repeat_percent: int = 50
     min_repeat: int = 8
-    max_covered: float = 0.4
-    max_longest: float = 0.25
+    max_covered: float = 0.12
+    max_longest: int = 50
 
 
 def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -151,10 +156,10 @@ def measured(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     longest = np.zeros(len(texts), np.int64)
     np.maximum.at(longest, owner, lengths)
     failed = (n_words < rules.min_words) | (100 * repeat_words > rules.max_repeat_percent * n_words)
-    repetitive = (covered_words > rules.max_covered * n_words) | ((longest >= rules.min_repeat) & (longest > rules.max_longest * n_words))
+    repetitive = (covered_words > rules.max_covered * n_words) | (longest >= rules.max_longest)
     word_chars = np.array([len(x) - sum(map(x.count, _SPACE)) for x in texts], np.int64)
     run_covered, run_longest = _run_repeats(len(texts), ids, owner, words)
-    repetitive |= (run_covered > rules.max_covered * word_chars) | (run_longest > rules.max_longest * word_chars)
+    repetitive |= (run_covered > rules.max_covered * word_chars) | (run_longest >= 6 * rules.max_longest)
     return {
         "n_words": n_words,
         "word_chars": word_chars,
@@ -173,7 +178,8 @@ def assess(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     A null text has no words and fails the base, as an empty one does; a null doc_id is passed on.
     Repeated rows give repeated results, an empty table none. Other columns are not read, whatever
-    their names. A text of any length is judged whole, in memory proportional to it.
+    their names. A text of any length is judged whole, in memory proportional to it, times the binary logarithm of
+    its longest repeat: a level of ranks for each doubling.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +190,10 @@ def assess(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``documents`` that the rules keep, with all their columns as they are."""
+    """The rows of ``documents`` that the rules keep, with all their columns as they are, whatever their names.
+
+    A null or empty text has no words and goes. Equal texts stay or go together; an empty table gives none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):

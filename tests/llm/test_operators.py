@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import codecs
 import collections
 import hashlib
+import io
+import json
 import re
 import zlib
 
@@ -77,6 +81,47 @@ def test_secrets(docs, rows, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def test_random_spans_by_hand(docs, rows):
+    """Every run of key characters, judged one by one with the library's own coder."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        coder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}, special_tokens={})
+    want = collections.Counter()
+    for doc_id, text, _, _ in rows:
+        text, n = text or "", 0
+        named = [(s, e) for s, k, e in secrets.base_spans(text) if k == 0]
+        for m in re.finditer("[A-Za-z0-9+/_=-]+(?:\\.[A-Za-z0-9+/_=-]+)*", text):
+            run = m[0]
+            inside = any(s < m.end() and m.start() < e for s, e in named)
+            n += len(run) >= 20 and len(run) < 2.0 * len(coder.encode_ordinary(run)) and not secrets.known(run, secrets.Test(), inside)
+        want[doc_id, n] += 1
+    assert by_row(secrets.scan(docs), "doc_id", "n_random") == want and any(n for _, n in want)
+
+
+def test_what_the_patterns_miss():
+    """Planted strings that no pattern finds, whole, dotted, and split over lines; and plain ones beside them."""
+    import random
+    import string
+
+    draw, test = random.Random(5), secrets.Test()
+    letters = string.ascii_letters + string.digits
+    key = lambda n: "".join(draw.choices(letters, k=n))
+    planted = [f"the key is {key(24)} for now" for _ in range(100)]
+    planted += [f"bearer {key(12)}.{key(14)}.{key(10)} sent" for _ in range(100)]
+    planted += [f"-----\n{key(40)}\n{key(40)}\n{key(22)}\n-----" for _ in range(100)]
+    hits = [secrets.random_spans(x, [], test) for x in planted]
+    assert not any(secrets.base_spans(x) for x in planted) and sum(map(bool, hits)) >= 295
+    assert sum(len(x) == 3 for x in hits[200:]) >= 95
+    plain = ["see www.example.com/path/to/the/page.html?x=1", "version 10.24.3.1.2024-11-28.beta.release", "org.apache.commons.lang.StringUtils", "a.b.c.d.e.f.g.h.i.j.k.l.m.n", "The end.Another sentence.And one more of them", "192.168.100.200.192.168.100.200"]
+    assert not any(secrets.random_spans(x, [], test) for x in plain)
+    # A digest by its length is none where its name says that it is a secret.
+    sha1 = hashlib.sha1(b"x").hexdigest()
+    for text, n in ((f"sha1 of it: {sha1}", 0), (f"token = '{sha1}'", 1)):
+        assert len(secrets.random_spans(text, secrets.base_spans(text), test)) == n
+
+
 def test_random_strings_and_names():
     import random
     import string
@@ -144,6 +189,36 @@ def test_repetition_verdict(spark):
     assert {r.doc_id: r.kept for r in quality.assess(frame).collect()} == {1: True, 2: False}
 
 
+def test_verdict_by_hand(docs, rows):
+    """Covered words and the longest repeat by comparing every two places of a text, on the texts that allow it."""
+    found = {(r.doc_id, r.n_words): (r.covered_words, r.longest_repeat, r.kept) for r in quality.assess(docs).collect()}
+    rules, judged, rejected = quality.Rules(), 0, 0
+    again = " ".join(f"a{k}" for k in range(30))
+    extra = [(9_100, f"{again} {' '.join(f'b{k}' for k in range(200))} {again}", "en", "s0"), (9_101, " ".join(f"c{k}" for k in range(300)), "en", "s0")]
+    frame = docs.sparkSession.createDataFrame(extra, "doc_id long, text string, lang string, source string")
+    found |= {(r.doc_id, r.n_words): (r.covered_words, r.longest_repeat, r.kept) for r in quality.assess(frame).collect()}
+    for doc_id, text, *_ in rows + extra:
+        w = words(text)
+        if len(w) > 400 or doc_id is None:
+            continue
+        longest, inside = 0, set()
+        for a in range(len(w)):
+            for b in range(a):
+                n = 0
+                while a + n < len(w) and w[a + n] == w[b + n]:
+                    n += 1
+                longest = max(longest, n)
+                if n >= rules.min_repeat:
+                    inside |= {*range(a, a + n), *range(b, b + n)}
+        grams = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        three = {k + j for k, g in enumerate(zip(w, w[1:], w[2:], strict=False)) if grams[g] > 1 for j in range(3)}
+        base = len(w) < rules.min_words or 100 * len(three) > rules.max_repeat_percent * len(w)
+        bad = len(inside) > rules.max_covered * len(w) or longest >= rules.max_longest
+        assert found[doc_id, len(w)] == (len(inside), longest, not base and not bad)
+        judged, rejected = judged + 1, rejected + (bad and not base)
+    assert judged > 50 and rejected > 0
+
+
 def test_repetition_inside_unbroken_runs(spark):
     words60 = " ".join(f"word{k}" for k in range(60))
     draw = np.random.default_rng(7)
@@ -541,33 +616,96 @@ def test_minmax_estimates_similarity():
     assert abs((signed[0] == signed[1]).mean() - 0.8) < 0.05
 
 
+def _response(body, head=b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n", **fields):
+    block = head + b"\r\n" + body if head else body
+    return {"page_id": 1, "record_id": "<urn:uuid:1>", "target_uri": "http://h/", "date": warc.NO_DATE, "payload_digest": None, "block": block} | fields
+
+
 def test_conversion_holds_the_whole_text():
     page = "<title>A &amp; B</title><style>p{}</style><div class='with-sidebar'><nav>Home</nav><header>Brand</header><p>Before</p><article><p>Story <b>bo</b>ld</p></article><aside>Side</aside>"
     page += "<div class=comments>Nice</div><form><button>Send</button></form><script>var a='<p>no</p>'</script><template><p>no</p></template><footer>Foot</footer></div>"
-    _, conversion = warc.derive(1, "http://h/", warc.NO_DATE, warc.http_response(page))
+    _, conversion = warc.derive(_response(page.encode()))
     assert conversion[-1].split("\n") == ["A & B", "Home", "Brand", "Before", "Story bold", "Side", "Nice", "Send", "Foot"]
 
 
-def test_warc(spark, small, nothing):
-    pages = spark.read.parquet(f"{small}/pages.parquet").limit(3).select("page_id", "url", "html")
-    odd = spark.createDataFrame([(None, None, None), (5, "http://é/", "<p>é</p>")], "page_id long, url string, html string")
-    fetched = warc.responses(pages.unionByName(odd).withColumn("block", F.lit("x")))
-    records = warc.derivatives(fetched)
-    got = [r.asDict() for r in records.collect()]
-    assert len(got) == 10 and len({r["record_id"] for r in got}) == 10
-    by_source = collections.defaultdict(dict)
-    for r in got:
-        by_source[r["refers_to"]][r["record_type"]] = r
-    for pair in by_source.values():
-        assert set(pair) == {"metadata", "conversion"}
-        assert pair["conversion"]["record_id"] in pair["metadata"]["block"] and pair["metadata"]["payload_digest"] == pair["conversion"]["payload_digest"]
-    data = b"".join(warc.warc_bytes(r) for r in got)
-    for (fields, block), r in zip(warc.read_warc(data), got, strict=True):
-        assert fields["WARC-Refers-To"] == r["refers_to"] and block.decode() == r["block"] and warc.digest(block) == fields["WARC-Block-Digest"]
+def test_warc(spark, small, docs):
+    """Every page's records against what is worked out here from the page alone."""
+    pages = spark.read.parquet(f"{small}/pages.parquet").select("page_id", "url", "html")
+    odd = spark.createDataFrame([(None, None, None), (5, "http://é/", "<p>é</p>"), (6, "http://r/", "<p>r</p>"), (6, "http://r/", "<p>r</p>")], "page_id long, url string, html string")
+    table = pages.unionByName(odd).withColumn("block", F.lit("x")).withColumn("key", F.lit("x")).withColumn("place", F.lit(1))
+    fetched = warc.responses(table)
+    rows = [r.asDict() for r in warc.derivatives(fetched.withColumn("status", F.lit(1))).collect()]
+    assert len(rows) == 2 * table.count() and len({r["record_id"] for r in rows}) == len(rows)
+    ids = collections.Counter(r.record_id for r in fetched.collect())
+    assert max(ids.values()) == 1 and {r["refers_to"] for r in rows} == set(ids)
+    want = collections.Counter()
+    for page_id, url, page in (tuple(r) for r in table.select("page_id", "url", "html").collect()):
+        body = (page or "").encode()
+        text = "\n".join(html.visible_text(page or ""))
+        source = "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+        want[(page_id, url or "", source, 200, text, len(text.encode()))] += 1
+    assert collections.Counter((r["page_id"], r["target_uri"], r["payload_digest"], r["source_status"], r["block"], r["content_length"]) for r in rows if r["record_type"] == "conversion") == want
+    for r in rows:
+        if r["record_type"] == "metadata":
+            assert f"source-record: {r['refers_to']}\r\n" in r["block"] and f"source-payload-digest: {r['payload_digest']}\r\n" in r["block"] and r["content_type"] == "application/warc-fields"
+            assert f"conversion: {warc.record_id('conversion', r['refers_to'])}\r\n" in r["block"]
     assert warc.derivatives(fetched.limit(0)).count() == 0
-    raw = spark.createDataFrame([(1, None, None, bytearray(b"no head \xff")), (2, "u", "d", None)], "page_id long, target_uri string, date string, block binary")
-    assert {r.source_status for r in warc.derivatives(raw).collect()} == {None}
-    assert warc.warc_members(warc.derivatives(raw)).count() == 4
+    again = {r.record_id for r in warc.derivatives(warc.responses(table.repartition(5).where("page_id <> 6"))).collect()}
+    assert again <= {r["record_id"] for r in rows}
+
+
+def test_warc_files_go_around(spark, tmp_path):
+    """Records written, read back, derived and written again: ids, digests and header blocks come through."""
+    import gzip
+    import zlib
+
+    def record(kind, n, block, **fields):
+        fields = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{n}>", "WARC-Target-URI": f"http://h/{n}", "WARC-Date": "2024-01-02T03:04:05Z", **fields, "Content-Length": str(len(block))}
+        return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+    squeeze = zlib.compressobj(wbits=-15)
+    bodies = {
+        1: (b"Content-Type: text/html; charset=iso-8859-1\r\n", "<p>café</p>".encode("latin-1")),
+        2: (b"Content-Type: text/html\r\nTransfer-Encoding: chunked\r\n", b"4\r\n<p>o\r\n7;x=y\r\nne</p>\n\r\n0\r\n\r\n"),
+        3: (b"Content-Type: text/html\r\nContent-Encoding: gzip\r\nX-Two: a\r\n b\r\n", gzip.compress("<p>zipped é</p>".encode())),
+        4: (b"Content-Type: text/html\r\nContent-Encoding: deflate\r\n", squeeze.compress(b"<p>flat</p>") + squeeze.flush()),
+        5: (b"Content-Type: text/html\r\n", b"<meta charset='windows-1251'><p>" + "мир".encode("cp1251") + b"</p>"),
+        6: (b"Content-Type: image/png\r\n", b"\x89PNG"),
+        7: (b"Content-Type: text/plain\r\n", b"plain <b>text</b>"),
+        8: (b"Content-Type: text/html\r\n", codecs.BOM_UTF8 + b"<p>mark</p>"),
+    }
+    blocks = {n: b"HTTP/1.1 200 OK\r\n" + head + b"\r\n" + body for n, (head, body) in bodies.items()}
+    parts = [record("warcinfo", 0, b"software: x\r\n")] + [record("response", n, b, **{"WARC-Payload-Digest": f"sha1:GIVEN{n}"}) for n, b in blocks.items()]
+    folder = tmp_path / "in" / "deep"
+    folder.mkdir(parents=True)
+    (folder / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, parts[:5])))
+    (folder / "b.warc").write_bytes(b"".join(parts[5:]))
+    found = warc.records(spark, str(tmp_path / "in"))
+    assert found.groupBy("record_type").count().where("record_type = 'response'").first()["count"] == 8
+    assert {r.record_id: bytes(r.block) for r in found.where("record_type = 'response'").collect()} == {f"<urn:uuid:{n}>": b for n, b in blocks.items()}
+    rows = [r.asDict() for r in warc.derivatives(found).collect()]
+    text = {r["refers_to"]: r["block"] for r in rows if r["record_type"] == "conversion"}
+    said = {1: "café", 2: "one", 3: "zipped é", 4: "flat", 5: "мир", 6: "", 7: "plain <b>text</b>", 8: "mark"}
+    assert text == {f"<urn:uuid:{n}>": t for n, t in said.items()}
+    assert {r["payload_digest"] for r in rows} == {f"sha1:GIVEN{n}" for n in blocks} and {r["date"] for r in rows} == {"2024-01-02T03:04:05Z"}
+    assert next(r for r in rows if r["refers_to"] == "<urn:uuid:3>")["source_headers"].endswith('["X-Two", "a b"]]')
+    files = warc.write_warc(warc.derivatives(found), f"file://{tmp_path}/out")
+    assert files.agg(F.sum("n_records")).first()[0] == 16
+    back = [r.asDict() for r in warc.records(spark, f"{tmp_path}/out/*.warc.gz").collect()]
+    assert {(r["record_id"], bytes(r["block"]).decode()) for r in back} == {(r["record_id"], r["block"]) for r in rows}
+    for r in back:
+        fields = json.loads(r["headers"])
+        assert fields["warc-refers-to"] in text and warc.digest(bytes(r["block"])) == fields["warc-block-digest"] and fields["warc-refers-to-payload-digest"].startswith("sha1:GIVEN")
+
+
+def test_odd_responses(spark):
+    raw = [(1, None, None, None, None, None, None, None, bytearray(b"no head \xff")), (2, "request", "u", "d", "x", None, None, None, bytearray(b"GET")), (3, "response", None, "u\r\nX: y", "d", None, None, None, None)]
+    rows = [r.asDict() for r in warc.derivatives(spark.createDataFrame(raw, warc.RESPONSES)).collect()]
+    assert len(rows) == 4 and {r["source_status"] for r in rows} == {None} and {r["page_id"] for r in rows} == {1, 3}
+    assert all(b"\nX: y" not in warc.warc_bytes(r, compress=False) for r in rows)
+    assert warc.warc_members(spark.createDataFrame(rows, warc.RECORDS)).count() == 4
+    (first, _), *rest = warc.read_warc(io.BufferedReader(io.BytesIO(b"WARC/1.0\r\nA: b\r\n c\r\nContent-Length: 99\r\n\r\ncut off")))
+    assert first == {"a": "b c", "content-length": "99"} and not rest
 
 
 def _targets(sizes):
