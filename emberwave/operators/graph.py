@@ -5,32 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from emberwave.plans.shared import release, saved
+from emberwave.plans.shared import Scratch, release
 
+#: Nodes whose joins are broadcast, at most: those with more links than all links over half of this number.
+HOT_NODES = 20_000
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+
+def _with_least(links: DataFrame, n: int) -> DataFrame:
+    """``links`` (u, v; ``n`` rows at most) with low, the smallest v of their u.
+
+    A representative has a link with each member of its component, so a u may hold a third of all rows. Such
+    nodes are few, as the links of all nodes come to ``n``: they meet their rows by broadcast, where
+    those lie; rows of all other nodes are shuffled. Minima are aggregated before any shuffle.
+    """
+    least = links.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("degree"))
+    limit = max(1, n // HOT_NODES)
+    hot = F.broadcast(least.where(F.col("degree") > limit).select("u", F.col("low").alias("hot_low")))
+    cold = least.where(F.col("degree") <= limit).select("u", "low")
+    met = links.join(hot, "u", "left")
+    few = met.where("hot_low IS NOT NULL").select("u", "v", F.col("hot_low").alias("low"))
+    return few.unionByName(met.where("hot_low IS NULL").select("u", "v").join(cold, "u"))
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b", scratch: Scratch | None = None) -> DataFrame:
     """(node, component): the smallest node reachable over ``links``, for nodes that have a link.
 
     Alternately links every larger neighbour of a node, then every smaller one, to its smallest, until
-    the links are stars. Minima are aggregated, so no task gathers a node's neighbours, and each round
-    is a written table, so neither plans nor lineage grow.
+    the links are stars. No task gathers a node's neighbours, and each round is a written table, so neither
+    plans nor lineage grow; a round's table goes when the next one is written. With ``scratch``, the last one
+    is left to its owner. A link of a node with itself is none; an empty table gives no rows.
     """
-    links = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
-    before = None
+    own = scratch or Scratch(links.sparkSession, "components")
+    state = [F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")]
+
+    def kept(frame: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        return own.saved(frame.where("u <> v").distinct().observe(seen, *state), "links"), seen.get
+
+    links, before = kept(links.select(F.col(a).alias("u"), F.col(b).alias("v")))
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("low"))
-        met = large.join(lower, "u")
+        large = _with_least(both, 2 * before["n"]).where("v > u").select(F.col("v").alias("u"), F.least("u", "low").alias("v")).where("u <> v").distinct()
+        met = _with_least(large, before["n"])
         small = met.select("u", F.col("low").alias("v")).unionByName(met.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")))
-        seen = Observation()
-        state = [F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")]
-        links = saved(small.where("u <> v").distinct().observe(seen, *state), "links")
-        now = seen.get
+        found, now = kept(small)
+        own.drop(links)
+        links = found
         release(links.sparkSession)
         if now == before:
             break
         before = now
     nodes = links.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return nodes.unionByName(nodes.select(F.col("component").alias("node"), "component").distinct())
+    nodes = nodes.unionByName(nodes.select(F.col("component").alias("node"), "component").distinct())
+    return nodes if scratch else own.result(nodes, "components")

@@ -10,22 +10,66 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of ``spark.checkpoint.dir``; only where that is unset, in a local one."""
+    """A new path in the folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only where that is unset in a session of one machine, as in tests, a temporary folder takes its place; on a cluster
+    each executor would write to a disk of its own, so there it is an error.
+    """
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = f"file://{tempfile.mkdtemp(prefix='emberwave-')}"
         context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` as a written table: later plans read its files instead of computing it again."""
-    path = shared_dir(frame.sparkSession, name)
+def _written(frame: DataFrame, path: str) -> DataFrame:
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def saved(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` as a written table: later plans read its files instead of computing it again."""
+    return _written(frame, shared_dir(frame.sparkSession, name))
+
+
+class Scratch:
+    """The tables that an operator writes on its way; they go when its result is written.
+
+    A lost executor costs the tasks it ran, as every table is complete in the shared folder before it is
+    read; a table is deleted only after what was made of it is complete there too.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root = spark, shared_dir(spark, name)
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def saved(self, frame: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}-{uuid.uuid4().hex}"
+        out = _written(frame, path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes tables that nothing reads any more."""
+        for frame in frames:
+            _delete(self.spark, self.paths.pop(id(frame))[1])
+
+    def result(self, frame: DataFrame, name: str) -> DataFrame:
+        """``frame`` as a table that stays; all others are deleted."""
+        out = saved(frame, name)
+        self.paths.clear()
+        _delete(self.spark, self.root)
+        return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Lets the driver drop what finished rounds of a loop have left: plans, broadcasts and shuffle files.
 
