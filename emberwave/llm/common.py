@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberwave.plans.shared import Scratch, saved, shared_dir
+
+__all__ = ["BROADCAST_KEYS", "DOCUMENT_COLUMNS", "LOWER", "SLICE_BYTES", "Scratch", "encoded", "few", "fresh", "mixed", "saved", "shared_dir", "slices", "word_ids"]
+
 #: The documents table, which the stages of the pipeline hand on.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Text bytes that are worked on at once in a Python worker; one longer text is one slice.
@@ -20,27 +22,6 @@ SLICE_BYTES = 2_000_000
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share.
-
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where that is unset (a local
-    session, as in tests) a temporary folder of this machine takes its place.
-    """
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='emberwave-')}"
-        context.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` as a written table: later plans read files instead of computing it again."""
-    path = shared_dir(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 #: Keys that joins broadcast, some tens of bytes each; with more, both sides of a join shuffle.
 BROADCAST_KEYS = 500_000
 

@@ -387,9 +387,10 @@ def keep_uncontaminated(documents: DataFrame, benchmark: DataFrame, size: int =
     hits = exact_hits(stored_index(documents), benchmark, size)
     key, bad_id, bad_key = fresh(documents, "text_key", "bad_id", "bad_key")
     bad = saved(hits.where("n_hit > 0").select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct(), "contaminated")
+    bad = few(bad)
     keyed = documents.withColumn(key, F.xxhash64(documents["text"].cast("string")))
     on = (F.col(key) == F.col(bad_key)) & keyed["doc_id"].cast("long").eqNullSafe(F.col(bad_id))
-    return keyed.join(few(bad), on, "left_anti").select(documents.columns)
+    return keyed.join(bad, on, "left_anti").select(documents.columns)
 
 
 def items_digest(items: str = "items"):

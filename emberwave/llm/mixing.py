@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import few, saved
+from emberwave.llm.common import few, fresh, saved
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT, MAX_REPEAT, SEED = 150, 2, 9
@@ -51,39 +51,42 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent
     return shared.select("source", "source_size", target.alias("target"))
 
 
-def rated(documents: DataFrame, seed: int = SEED, percent: int = SHARE_PERCENT) -> DataFrame:
-    """``documents`` with _mix_size, _mix_source_size, _mix_target and _mix_copies beside their columns.
+def rated(documents: DataFrame, seed: int = SEED, percent: int = SHARE_PERCENT) -> tuple[DataFrame, list[str]]:
+    """``documents`` with four columns more, and their names: size, source_size, target and copies.
 
-    A null source is a source of its own, the last; a null or empty text has size 0, and a source of
-    size 0 has target 0 and is not taken. A repeated row draws what its copy draws, as the draw comes
-    from doc_id and text (null as a value of its own). An empty table gives no rows.
+    The names are none that ``documents`` has. A null source is a source of its own, the last; a null or
+    empty text has size 0, and a source of size 0 has target 0 and is not taken. A repeated row draws what its
+    copy draws, as the draw comes from doc_id and text (null as a value of its own). An empty table gives no rows.
     """
-    sized = documents.withColumn("_mix_size", size_of(F.col("text").cast("string")))
-    own = documents.select(F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"))
+    size, source, source_size, target, taken = fresh(documents, "mix_size", "mix_source", "mix_source_size", "mix_target", "mix_copies")
+    own = documents.select(documents["source"].cast("string").alias("source"), size_of(documents["text"].cast("string")).alias("size"))
     sizes = own.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, percent=percent).select(F.col("source").alias("_mix_source"), F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target"))
+    targets = source_targets(sizes, percent=percent).select(F.col("source").alias(source), F.col("source_size").alias(source_size), F.col("target").alias(target))
     targets = few(saved(targets, "rates"), BROADCAST_SOURCES)
-    joined = sized.join(targets, F.col("source").cast("string").eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
-    rate = F.when(F.col("_mix_source_size") > 0, F.col("_mix_target") / F.col("_mix_source_size")).otherwise(0.0)
-    drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))), 11) * F.lit(2.0**-53)
+    sized = documents.withColumn(size, size_of(documents["text"].cast("string")))
+    joined = sized.join(targets, sized["source"].cast("string").eqNullSafe(targets[source])).drop(source)
+    rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0)
+    drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), joined["doc_id"].cast("long"), F.xxhash64(joined["text"].cast("string"))), 11) * F.lit(2.0**-53)
     copies = F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("_mix_copies", copies.cast("long"))
+    return joined.withColumn(taken, copies.cast("long")), [size, source_size, target, taken]
 
 
 def mix_report(documents: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target and taken, a row per row of ``documents``."""
-    found = rated(documents.select("doc_id", "text", "source"), seed)
-    return found.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("_mix_size").alias("size"),
-        F.col("_mix_source_size").alias("source_size"),
-        F.col("_mix_target").alias("target"),
-        (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"),
-    )
+    """doc_id, size, source_size, target and taken, a row per row of ``documents``.
+
+    Nulls, empty texts, repeated rows and an empty table as in ``rated``.
+    """
+    found, (size, source_size, target, copies) = rated(documents.select("doc_id", "text", "source"), seed)
+    columns = [F.col(size).alias("size"), F.col(source_size).alias("source_size"), F.col(target).alias("target"), (F.col(copies) * F.col(size)).alias("taken")]
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
 
 
 def mixed_documents(documents: DataFrame, seed: int = SEED) -> DataFrame:
-    """``documents`` with every row as often as the mix takes it; columns stay as they are."""
-    copies = rated(documents, seed).where("_mix_copies > 0")
-    repeated = copies.select(*documents.columns, F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies").cast("int"))).alias("_mix_copy"))
+    """``documents`` with every row as often as the mix takes it; columns stay as they are, whatever their names.
+
+    Nulls, empty texts, repeated rows and an empty table as in ``rated``.
+    """
+    found, (*_, copies) = rated(documents, seed)
+    (copy,) = fresh(found, "mix_copy")
+    repeated = found.where(F.col(copies) > 0).select(*documents.columns, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int"))).alias(copy))
     return repeated.select(documents.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwave.llm.common import LOWER, encoded, few, mixed, saved, slices, word_ids
+from emberwave.llm.common import LOWER, Scratch, encoded, few, fresh, mixed, saved, slices, word_ids
 from emberwave.operators.graph import components
 from emberwave.plans.shared import release
 
@@ -221,32 +221,32 @@ def _compare_cells(size: int, percent: int):
     return run
 
 
-def _texts(own: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
+def _texts(scratch: Scratch, own: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """(node, text): one text for each node that meets another in a bucket."""
     wanted = sets.join(members.select("node").distinct(), "node", "left_semi")
-    wanted = few(saved(wanted.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "wanted"))
+    wanted = few(scratch.saved(wanted.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "wanted"))
     found = own.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(wanted, F.expr("text_key = rep_key AND doc_id <=> rep_id"))
-    texts = saved(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    texts = scratch.saved(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
     release(own.sparkSession)
     return texts
 
 
-def _open_members(members: DataFrame, groups: DataFrame | None) -> DataFrame:
+def _open_members(scratch: Scratch, members: DataFrame, groups: DataFrame | None) -> DataFrame:
     """(node, bucket, own, m): members of buckets with several components, and how many the bucket has."""
     state = _labelled(members.select("node", "bucket"), groups).repartition("bucket")
     several = state.groupBy("bucket").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("m")).where("low <> high")
-    return saved(state.join(several.select("bucket", "m"), "bucket"), "open")
+    return scratch.saved(state.join(several.select("bucket", "m"), "bucket"), "open")
 
 
-def _star_links(members: DataFrame, texts: DataFrame, turn: int, size: int, percent: int) -> DataFrame:
+def _star_links(scratch: Scratch, members: DataFrame, texts: DataFrame, turn: int, size: int, percent: int) -> DataFrame:
     """Links of the members of large buckets to one centre each; the hash that picks it is the turn's."""
     centres = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "own")).alias("c"))
-    centres = saved(centres.select("bucket", F.col("c.node").alias("a"), F.col("c.own").alias("own_a")), "centres")
+    centres = scratch.saved(centres.select("bucket", F.col("c.node").alias("a"), F.col("c.own").alias("own_a")), "centres")
     pairs = members.withColumnRenamed("node", "b").join(centres, "bucket").where("own <> own_a").select("a", "b").distinct()
     # Members bring their texts first, as they are many and centres few.
     pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return saved(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(size, percent), "a long, b long"), "stars")
+    return scratch.saved(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(size, percent), "a long, b long"), "stars")
 
 
 def _labelled(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -256,43 +256,43 @@ def _labelled(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
     return nodes.join(groups, "node", "left").withColumn("own", F.coalesce("component", "node")).drop("component")
 
 
-def _dealt(members: DataFrame, groups: DataFrame | None) -> DataFrame:
+def _dealt(scratch: Scratch, members: DataFrame, groups: DataFrame | None) -> DataFrame:
     """(key, node, own, m): the open members by group, or by bucket where their group is too large."""
     lowest = members.groupBy("bucket").agg(F.min("node").alias("low"))
-    chained = components(members.join(lowest, "bucket").select("node", "low"), "node", "low").withColumnRenamed("component", "chain")
+    chained = components(members.join(lowest, "bucket").select("node", "low"), "node", "low", scratch).withColumnRenamed("component", "chain")
     sizes = chained.groupBy("chain").agg(F.count("*").alias("size"))
-    grouped = saved(_labelled(chained.join(sizes, "chain"), groups), "groups")
+    grouped = scratch.saved(_labelled(chained.join(sizes, "chain"), groups), "groups")
     whole = grouped.where(F.col("size") <= GROUP_MEMBERS).select(F.col("chain").alias("key"), "node", "own", F.col("size").alias("m"))
     parts = members.join(grouped.where(F.col("size") > GROUP_MEMBERS).select("node", "own"), "node")
     return whole.unionByName(parts.select(F.col("bucket").alias("key"), "node", "own", "m"))
 
 
-def _cell_links(members: DataFrame, groups: DataFrame | None, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _cell_links(scratch: Scratch, members: DataFrame, groups: DataFrame | None, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between all members that share a bucket and are in different components."""
-    dealt = _dealt(members, groups).withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = _dealt(scratch, members, groups).withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     cells = dealt.select("key", "node", "own", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = cells.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     full = cells.join(texts, "node").select("key", "low", "high", "node", "own", "block", "text")
     sorted_ = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return saved(sorted_.mapInArrow(_compare_cells(size, percent), "a long, b long").distinct(), "cells")
+    return scratch.saved(sorted_.mapInArrow(_compare_cells(size, percent), "a long, b long").distinct(), "cells")
 
 
-def _groups(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _groups(scratch: Scratch, members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of the nodes that are linked. Only large buckets are looked at again after a star."""
     links = groups = None
-    rest = _open_members(members, None)
+    rest = _open_members(scratch, members, None)
     small, large = rest.where(F.col("m") <= BLOCK_MEMBERS), rest.where(F.col("m") > BLOCK_MEMBERS)
     for turn in range(MAX_STARS):
         largest = large.agg(F.max("m")).first()[0] or 0
         if largest <= (STAR_MEMBERS if turn else 0):
             break
-        found = _star_links(large, texts, turn, size, percent)
+        found = _star_links(scratch, large, texts, turn, size, percent)
         links = found if links is None else links.unionByName(found)
-        groups = saved(components(links), "joined")
-        large = _open_members(large.select("node", "bucket"), groups)
-    found = _cell_links(small.unionByName(large).select("node", "bucket", "m"), groups, texts, size, percent)
+        groups = scratch.saved(components(links, scratch=scratch), "joined")
+        large = _open_members(scratch, large.select("node", "bucket"), groups)
+    found = _cell_links(scratch, small.unionByName(large).select("node", "bucket", "m"), groups, texts, size, percent)
     links = found if links is None else links.unionByName(found)
-    return components(links)
+    return components(links, scratch=scratch)
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
@@ -306,26 +306,28 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, perm
     are not read, whatever their names. Texts are used whole. Sets are told apart by 128 bits and
     compared by the 64-bit hashes of their shingles.
     """
+    scratch = Scratch(documents.sparkSession, "near")
     own = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].cast("string").alias("text"))
-    signed = saved(_signed(own, size, permutations, rows), "signed")
+    signed = scratch.saved(_signed(own, size, permutations, rows), "signed")
     filled = signed.where("n_shingles > 0")
     sets = filled.groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("bands").alias("bands")
     )
-    sets = saved(sets.withColumnRenamed("set_a", "node"), "sets")
+    sets = scratch.saved(sets.withColumnRenamed("set_a", "node"), "sets")
     # One shuffle serves both the count of a bucket's sets and the join with it.
     buckets = sets.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    members = saved(buckets.join(shared.select("bucket"), "bucket").select("node", "bucket"), "members")
-    groups = _groups(members, _texts(own, sets, members), size, percent)
+    members = scratch.saved(buckets.join(shared.select("bucket"), "bucket").select("node", "bucket"), "members")
+    groups = _groups(scratch, members, _texts(scratch, own, sets, members), size, percent)
     named = sets.select("node", "set_b", "first_id")
-    named = saved(named.join(groups, "node", "left").select("node", "set_b", "first_id", F.coalesce("component", "node").alias("group")), "named")
+    named = scratch.saved(named.join(groups, "node", "left").select("node", "set_b", "first_id", F.coalesce("component", "node").alias("group")), "named")
     named = named.join(named.groupBy("group").agg(F.min("first_id").alias("component_id")), "group").drop("first_id")
-    named = saved(named.withColumnRenamed("node", "set_a"), "components")
+    named = scratch.saved(named.withColumnRenamed("node", "set_a"), "components")
     linked = filled.select("doc_id", "n_shingles", "text_key", "set_a", "set_b").join(named, ["set_a", "set_b"])
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("group"))
     rows_of = linked.select(alone.columns).unionByName(alone)
-    return rows_of.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"), "text_key", "group")
+    found = rows_of.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"), "text_key", "group")
+    return scratch.result(found, "near_duplicates")
 
 
 def _signed(own: DataFrame, size: int, permutations: int, rows: int) -> DataFrame:
@@ -335,16 +337,24 @@ def _signed(own: DataFrame, size: int, permutations: int, rows: int) -> DataFram
 def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` with one row of each component: the smallest doc_id, and of its rows one text.
 
-    Rows without words are all kept. Columns stay as they are.
+    A null doc_id stands for a component only if none of its rows has one. Of equal rows one stays. Rows
+    without words, null or empty, are all kept; an empty table gives none. Columns stay as they are, whatever
+    their names.
     """
-    found = saved(near_duplicates(documents, size, percent).where("group IS NOT NULL").select("doc_id", "text_key", "group"), "found")
+    found = near_duplicates(documents, size, percent).where("group IS NOT NULL").select("doc_id", "text_key", "group")
     chosen = found.groupBy("group").agg(F.min(F.struct(F.expr("doc_id IS NULL").alias("none"), "doc_id", "text_key")).alias("rep"))
     # A group's rows beside its chosen one go; rows equal to the chosen one are thinned to one below.
     rows_by_key = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("n")).join(chosen, "group")
     is_rep = F.expr("doc_id <=> rep.doc_id AND text_key = rep.text_key")
-    marked = saved(rows_by_key.select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "n", is_rep.alias("rep")), "marked")
-    keyed = documents.withColumn("_text_key", F.xxhash64(F.col("text").cast("string")))
-    on = F.expr("_text_key = m_key AND CAST(doc_id AS LONG) <=> m_id")
-    single = keyed.join(few(saved(marked.where("NOT rep OR n > 1"), "gone")), on, "left_anti")
-    repeated = keyed.join(few(saved(marked.where("rep AND n > 1"), "repeated")), on, "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return single.unionByName(repeated).drop("_text_key").select(documents.columns)
+    key, gone_id, gone_key = fresh(documents, "text_key", "gone_id", "gone_key")
+    marked = saved(rows_by_key.select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key), "n", is_rep.alias("rep")), "marked")
+    keyed = documents.withColumn(key, F.xxhash64(documents["text"].cast("string")))
+
+    def on(frame: DataFrame):
+        return (keyed[key] == frame[gone_key]) & keyed["doc_id"].cast("long").eqNullSafe(frame[gone_id])
+
+    gone = few(saved(marked.where("NOT rep OR n > 1").select(gone_id, gone_key), "gone"))
+    repeated = few(saved(marked.where("rep AND n > 1").select(gone_id, gone_key), "repeated"))
+    single = keyed.join(gone, on(gone), "left_anti")
+    one = keyed.join(repeated, on(repeated), "left_semi").dropDuplicates(["doc_id", key])
+    return single.unionByName(one).select(documents.columns)

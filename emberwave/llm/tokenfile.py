@@ -30,8 +30,9 @@ from emberwave.llm.common import shared_dir, slices
 
 MAGIC = b"EWTOKEN1"
 SAMPLE = 512
-#: Distinct pieces in each of the two generations of ids that a worker remembers, some 200 bytes each.
-CACHE = 500_000
+#: Bytes of each of the two generations of pieces and ids that a worker remembers, a piece counted with what Python
+#: adds to it; longer pieces are coded each time they come and kept by none.
+CACHE_BYTES, PIECE_CHARS, PIECE_BYTES = 100_000_000, 256, 200
 #: Pieces that the library gets as one line.
 LINE = 256
 #: Ids that a reader holds at once.
@@ -121,6 +122,7 @@ class Encoder:
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.chars = 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.kind) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -144,9 +146,10 @@ class Encoder:
             self.rest[piece] = ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.rest) > CACHE:
-            self.old, self.rest = self.rest, {}
-        if len(self.first) > CACHE:
+        # A piece has few bytes more than characters, and ids of two or four bytes each.
+        if len(self.rest) * PIECE_BYTES + self.chars > CACHE_BYTES:
+            self.old, self.rest, self.chars = self.rest, {}, 0
+        if len(self.first) * 2 * PIECE_BYTES > CACHE_BYTES:
             self.first.clear()
         rest, split, new_first, new_rest = self.rest, [], set(), set()
         for text in texts:
@@ -163,8 +166,14 @@ class Encoder:
         for x in new_rest & self.old.keys():
             rest[x] = self.old[x]
         self._learn_firsts(list(new_first - self.first.keys()))
-        self._learn(list(new_rest - rest.keys()))
-        return [self.first[x[0]] + b"".join(map(rest.__getitem__, x[1:])) for x in split]
+        learned = new_rest - rest.keys()
+        self._learn(list(learned))
+        coded = [self.first[x[0]] + b"".join(map(rest.__getitem__, x[1:])) for x in split]
+        for known, new in ((self.first, new_first), (rest, learned)):
+            for x in [x for x in new if len(x) > PIECE_CHARS]:
+                known.pop(x, None)
+        self.chars += 3 * sum(len(x) for x in learned if len(x) <= PIECE_CHARS)
+        return coded
 
 
 def open_path(path: str):
@@ -299,7 +308,7 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document in the files; with ``ids``, the ids too.
 
     A row of the manifest is a file, so their number is that of the writing tasks; each is read by a
-    task of its own.
+    task of its own. A manifest without rows gives none.
     """
     manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
     before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
@@ -309,7 +318,11 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
 
 
 def through_files(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
-    """Writes token files to the shared folder and reads them back."""
+    """Writes token files to the shared folder and reads them back: ``read_tokens`` of ``write_tokens``.
+
+    A row per row of ``documents``, repeated ones too; a null doc_id comes first, a null or empty text has
+    only the end id, an empty table gives none. Other columns are not read, whatever their names.
+    """
     path = shared_dir(documents.sparkSession, "tokens")
     write_tokens(documents, path, tokenizer, end_id)
     return read_tokens(documents.sparkSession, path)

@@ -249,6 +249,20 @@ def test_token_files(docs, rows, nothing):
     assert tokenfile.through_files(nothing, "byte_bpe_50k.json").count() == 0
 
 
+def test_long_pieces_are_coded_and_not_kept(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = tokenfile.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(tokenfile, "CACHE_BYTES", 2_000)
+    texts = ["ab" * 500_000, "one " + "xyz" * 1000 + " two", "a b c d e f g", "one two three", "ab" * 5_000 + " one"] * 2
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+        held = [*encoder.first, *encoder.rest, *encoder.old]
+        assert all(len(x) <= tokenfile.PIECE_CHARS for x in held) and len(held) < 40
+
+
 def test_elias_fano():
     draw = np.random.default_rng(1)
     for n, top in ((0, 0), (1, 0), (5, 3), (2000, 10), (3000, 10**9), (1000, 2**62)):
@@ -727,16 +741,19 @@ def test_mixing(docs, rows, nothing):
     for _, text, _, source in rows:
         sizes[source] += len(words(text))
     want = _targets(sizes)
-    found = mixing.rated(docs).select("doc_id", "source", "text", "_mix_size", "_mix_source_size", "_mix_target", "_mix_copies").collect()
+    rated, names = mixing.rated(docs)
+    assert len({x.lower() for x in rated.columns}) == len(docs.columns) + 4
+    found = rated.select("doc_id", "source", "text", *(F.col(x).alias(n) for x, n in zip(names, ("size_", "source_size", "target", "copies_"), strict=True))).collect()
     taken = collections.Counter()
     for r in found:
-        assert r["_mix_size"] == len(words(r.text)) and r["_mix_source_size"] == sizes[r.source]
-        assert r["_mix_target"] == pytest.approx(want[r.source], rel=1e-9)
+        assert r.size_ == len(words(r.text)) and r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source], rel=1e-9)
         rate = want[r.source] / sizes[r.source] if sizes[r.source] else 0
-        assert int(rate + 1e-12) <= r["_mix_copies"] <= int(rate + 1e-12) + 1 and r["_mix_copies"] <= 2
-        taken[r.source] += r["_mix_copies"] * r["_mix_size"]
+        assert int(rate + 1e-12) <= r.copies_ <= int(rate + 1e-12) + 1 and r.copies_ <= 2
+        taken[r.source] += r.copies_ * r.size_
     mixed = mixing.mixed_documents(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r["_mix_copies"] for r in found)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies_ for r in found)
+    assert set(mixed.select("_mix_size", "_mix_source", "_mix_copies").distinct().first()) <= {"_mix_size", "_mix_source", "_mix_copies"}
     assert by_row(mixing.mix_report(docs), "doc_id", "taken") == by_row(mixing.mix_report(docs.repartition(7)), "doc_id", "taken")
     assert mixing.mix_report(nothing).count() == 0 and taken
 
