@@ -85,6 +85,21 @@ class Table:
         return self.keys.nbytes + self.values.nbytes
 
 
+class Dense:
+    """The same by plain indexing, for keys from 0 up to ``room``."""
+
+    def __init__(self, room: int, keys: np.ndarray, values: np.ndarray) -> None:
+        self.values = np.full(room, -1, np.int32)
+        self.values[keys] = values
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        return self.values[keys].astype(np.int64)
+
+    @property
+    def nbytes(self) -> int:
+        return self.values.nbytes
+
+
 def run(step: Step, letters: np.ndarray, sizes: np.ndarray, start: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """What the machine emits for each text in all, and the state it ends in.
 

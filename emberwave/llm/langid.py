@@ -35,8 +35,9 @@ SAMPLE_ROWS, LANGUAGE_CHARS, REST_CHARS = 64, 50_000, 10_000
 MOST_LANGUAGES = 1_000
 #: What a language of average entropy needs counts as so many characters of each language's own held-back text.
 PRIOR_CHARS = 1_000
-#: Bytes of automata in one broadcast.
-MODEL_BYTES = 200_000_000
+#: Bytes of automata in one broadcast, and of one up to which it is a plain array of states by letters: with a
+#: large alphabet, nearly all of that would be empty, and a hash table holds it in less.
+MODEL_BYTES, DENSE_BYTES = 200_000_000, 24_000_000
 UNKNOWN = "und"
 
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
@@ -85,9 +86,13 @@ class Automaton:
         """The automaton in arrays, by the numbers of letters."""
         width = len(number) + 1
         edges = [(state * width + number[c], target) for state, follow in enumerate(self.next) for c, target in follow.items()]
-        table = lanes.Table(2 * len(edges))
         keys, targets = np.array(edges, np.int64).reshape(-1, 2).T
-        table.put(keys, targets)
+        table: lanes.Table | lanes.Dense
+        if 4 * len(self.next) * width <= DENSE_BYTES:
+            table = lanes.Dense(len(self.next) * width, keys, targets)
+        else:
+            table = lanes.Table(2 * len(edges))
+            table.put(keys, targets)
         root = np.full(width, -1, np.int64)
         for c, target in self.next[0].items():
             root[number[c]] = target
@@ -113,7 +118,7 @@ class Language:
     """An automaton as a table from state * width + letter to the next state, its rates and its size."""
 
     name: str
-    table: lanes.Table
+    table: lanes.Table | lanes.Dense
     width: int
     #: Next states of state 0, -1 for letters that do not occur.
     root: np.ndarray

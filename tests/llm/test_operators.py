@@ -410,7 +410,10 @@ def test_parsing_equals_longest_matches_by_search(monkeypatch):
     draw = np.random.default_rng(6)
     samples = {"a": ["the cat sat on the mat and the dog sat on the log " * 20], "b": ["der hund und die katze und das haus " * 20], "c": ["ab" * 300]}
     samples["d"] = ["".join("abc d"[k] for k in draw.integers(0, 5, 2000))]
+    dense = langid.fit(samples)
+    monkeypatch.setattr(langid, "DENSE_BYTES", 0)
     model = langid.fit(samples)
+    assert {type(x.table) for m in (dense, model) for x in m.languages} == {lanes.Dense, lanes.Table}
     texts = ["the cat and the katze", "zzz qqq", "", "hund hund hund", "a", "ab" * 900, "ba" * 700 + "z" + "ab" * 700, "xyz" * 500]
     texts += ["".join("abc dé"[k] for k in draw.integers(0, 6, n)) for n in (10, 600, 3000)]
     texts = [langid.folded(x) for x in texts]
@@ -420,7 +423,7 @@ def test_parsing_equals_longest_matches_by_search(monkeypatch):
     for lane, block in ((512, 4_000_000), (512, 700), (5, 4_000_000)):
         monkeypatch.setattr(lanes, "LANE", lane)
         monkeypatch.setattr(lanes, "BLOCK", block)
-        assert model.parse(texts).tolist() == want
+        assert model.parse(texts).tolist() == dense.parse(texts).tolist() == want
 
 
 def test_a_rare_label_shrinks_no_other_language(spark, rows):
