@@ -45,9 +45,9 @@ def rounded(cands: DataFrame) -> DataFrame:
     return cands.withColumn("dm", F.round("dm", 3)).withColumn("sn", F.round("sn", 3)).withColumn("time", F.round("time", 6))
 
 
-def top_per_dm(cands: DataFrame, k: int = 5) -> DataFrame:
-    """The k best of each dm. Catalyst prunes by a partial group limit before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("dm").orderBy(*best_first()))
+def top_per_dm(cands: DataFrame, k: int = 5, *by: str) -> DataFrame:
+    """The k best of each dm (of each ``by``). Catalyst prunes by a partial group limit before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*by, "dm").orderBy(*best_first()))
     return cands.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
@@ -61,7 +61,8 @@ def detections(response: DataFrame, threshold: float = 5.0) -> DataFrame:
 
 
 def sn_by_dm(cands: DataFrame) -> DataFrame:
-    return cands.groupBy("dm").agg(F.sum("sn").alias("sum_sn"))
+    """The sum of S/N at each dm, in order of dm."""
+    return cands.groupBy("dm").agg(F.sum("sn").alias("sum_sn")).orderBy("dm")
 
 
 def collected(cands: DataFrame) -> DataFrame:
@@ -91,6 +92,11 @@ def beam_summary(cands: DataFrame, settings: Settings = Settings()) -> DataFrame
     return top.groupBy("beam").agg(F.count("*").alias("num_candidates"), F.count_if(past).alias("num_gated"), F.coalesce(F.max(F.when(past, F.col("sn"))), F.lit(0.0)).alias("highest_snr"))
 
 
+def redetection_counts(labelled: DataFrame) -> DataFrame:
+    """(n_candidates, n_redetections) of labelled candidates."""
+    return labelled.agg(F.count_if(F.col("detection_type") == "candidate").alias("n_candidates"), F.count_if(F.col("detection_type") == "known_pulsar").alias("n_redetections"))
+
+
 def top_detection(cands: DataFrame) -> DataFrame:
     return cands.orderBy(*best_first()).limit(1)
 

@@ -74,6 +74,11 @@ def mean_beam(spectrum: DataFrame, first: int = 13, last: int = 73) -> DataFrame
     return filled.join(F.broadcast(n_beams)).select("chan", F.col("at").alias("t"), ((F.col("s") + F.col("fills")) / F.col("n_beams")).alias("mean_x"))
 
 
+def plain_mean_beam(spectrum: DataFrame, first: int = 0, last: int = 73) -> DataFrame:
+    """(chan, t, mean_x): the mean of the beams that have a sample there, without any fill."""
+    return spectrum.where(F.col("beam").between(first, last)).groupBy("chan", "t").agg(F.avg("x").alias("mean_x"))
+
+
 def flat_fielded(spectrum: DataFrame, mean: DataFrame) -> DataFrame:
     """Each sample over the mean beam's; null where that is 0. Samples past its end are cut off."""
     return spectrum.join(mean, ["chan", "t"]).withColumn("x", F.try_divide("x", "mean_x")).drop("mean_x")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emberwave.functions import coords, names
 from emberwave.operators import candidates, catalogue, cluster, crossbeam, dedisperse, detrend, diag, matched, prep, rfi, runs
-from emberwave.plans import oracle, settings, views
+from emberwave.plans import more_queries, oracle, settings, views
 
 FLAGSHIP = "labelled_detections"
 BLOCK = 50
@@ -453,8 +453,8 @@ def staging_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **more_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in oracle.sql().items() if k in _QUERIES}
+    return {**{k: v for k, v in oracle.sql().items() if k in _QUERIES}, **more_queries.SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import asdict, dataclass, field, fields, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,10 +70,22 @@ class Settings:
         known = {f.name for f in fields(self)}
         return replace(self, **{k: v for k, v in config.items() if k in known})
 
+    def dump(self) -> str:
+        """JSON text that ``load`` reads back."""
+        config = asdict(self)
+        config["dedispersion_plan"] = config.pop("plan")
+        return json.dumps(config)
+
     @classmethod
     def load(cls, text: str) -> Settings:
-        """Settings from JSON text; the plan as a list of mappings."""
-        config = json.loads(text)
+        """Settings from JSON text, or from YAML where its library is installed; the plan as a list of mappings."""
+        try:
+            config = json.loads(text)
+        except ValueError:
+            import yaml
+
+            config = yaml.safe_load(text) or {}
+        config = {k: tuple(v) if isinstance(v, list) and k != "dedispersion_plan" else v for k, v in config.items()}
         if "dedispersion_plan" in config:
             config["plan"] = tuple(Segment(float(x["low_dm"]), float(x["high_dm"]), float(x["ddm"]), int(x["downsample"])) for x in config["dedispersion_plan"])
         return cls().merged(config)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberwave.operators.candidates import normalised_columns
 
+# Fixed value: the first line of a candidate list.
 HEADER = "# DM(pc/cm^3)  Detection Strength  Time(s)  Sample  Filter Width(samples)"
 # Labels of the sidecar and the fields they fill.
 SIDECAR = {
@@ -54,7 +55,9 @@ def candidate_lines(cands: DataFrame) -> DataFrame:
 
 
 def write_candidates(cands: DataFrame, path: str) -> None:
-    candidate_lines(cands).write.text(path)
+    """The list as text, behind a comment that names the columns; an empty one is that comment alone."""
+    first = cands.sparkSession.createDataFrame([(HEADER,)], "value string").coalesce(1)
+    first.unionByName(candidate_lines(cands)).write.text(path)
 
 
 def write_clustered(clustered: DataFrame, path: str) -> None:
@@ -79,7 +82,13 @@ def parse_addresses(lines: DataFrame) -> DataFrame:
     """Addresses with the observation and subarray their names tell, sorted by third field, then whole."""
     kept = content_lines(lines).select(F.col("value").alias("url"))
     name = F.element_at(F.split("url", "/"), -1)
-    return kept.withColumn("name", name).withColumn("obsid", F.split_part("name", F.lit("_"), F.lit(1))).withColumn("sap", F.split_part("name", F.lit("_"), F.lit(2))).withColumn("field", F.split_part("url", F.lit("_"), F.lit(3)))
+    return kept.withColumn("name", name).withColumn("obsid", F.split_part("name", F.lit("_"), F.lit(1))).withColumn("sap", F.split_part("name", F.lit("_"), F.lit(2))).withColumn("field", F.split_part("url", F.lit("_"), F.lit(3))).orderBy("field", "url")
+
+
+def address_summary(addresses: DataFrame) -> DataFrame:
+    """How many addresses there are, and what the first one in order tells of the observation."""
+    first = F.min(F.struct("field", "url", "obsid", "sap")).alias("a")
+    return addresses.agg(F.count("*").alias("n"), first).select("n", F.col("a.url").alias("first_url"), F.col("a.obsid").alias("obsid"), F.col("a.sap").alias("sap"))
 
 
 STAGING = "id int, requestToken string, requestType string, when string, response string, currentStatusCode string, surls array<struct<surl:string>>"
@@ -94,3 +103,9 @@ def staging_progress(requests: DataFrame, status: str, equal: bool = True) -> Da
     """Requests with, or without, a status; a null one is unequal to any."""
     same = F.col("currentStatusCode").eqNullSafe(F.lit(status))
     return requests.where(same if equal else ~same)
+
+
+def staged_since(requests: DataFrame, now: str, hours: int = 24) -> DataFrame:
+    """Requests of the last ``hours`` before ``now``; one whose time cannot be read is none of them."""
+    at = F.to_timestamp(F.regexp_replace("when", "T", " "))
+    return requests.where(at.isNotNull() & (at >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(hours)} HOURS")))
