@@ -7,24 +7,15 @@ from pyspark.sql import functions as F
 
 from emberwave.plans.shared import Scratch, release
 
-#: Nodes whose joins are broadcast, at most: those with more links than all links over half of this number.
-HOT_NODES = 20_000
+def _with_least(links: DataFrame) -> DataFrame:
+    """``links`` (u, v) with low, the smallest v of their u.
 
-
-def _with_least(links: DataFrame, n: int) -> DataFrame:
-    """``links`` (u, v; ``n`` rows at most) with low, the smallest v of their u.
-
-    A representative has a link with each member of its component, so a u may hold a third of all rows. Such
-    nodes are few, as the links of all nodes come to ``n``: they meet their rows by broadcast, where
-    those lie; rows of all other nodes are shuffled. Minima are aggregated before any shuffle.
+    A representative has a link with each member of its component, so a u may hold a third of all rows. The
+    minima are aggregated before any shuffle, and dealt out once more by u: with a shuffle straight below either
+    side of the join, adaptive execution cuts the partition of such a u into several tasks.
     """
-    least = links.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("degree"))
-    limit = max(1, n // HOT_NODES)
-    hot = F.broadcast(least.where(F.col("degree") > limit).select("u", F.col("low").alias("hot_low")))
-    cold = least.where(F.col("degree") <= limit).select("u", "low")
-    met = links.join(hot, "u", "left")
-    few = met.where("hot_low IS NOT NULL").select("u", "v", F.col("hot_low").alias("low"))
-    return few.unionByName(met.where("hot_low IS NULL").select("u", "v").join(cold, "u"))
+    least = links.groupBy("u").agg(F.min("v").alias("low")).repartition("u")
+    return links.join(least, "u")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", scratch: Scratch | None = None) -> DataFrame:
@@ -45,8 +36,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", scratch: Scratch |
     links, before = kept(links.select(F.col(a).alias("u"), F.col(b).alias("v")))
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both, 2 * before["n"]).where("v > u").select(F.col("v").alias("u"), F.least("u", "low").alias("v")).where("u <> v").distinct()
-        met = _with_least(large, before["n"])
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "low").alias("v")).where("u <> v").distinct()
+        met = _with_least(large)
         small = met.select("u", F.col("low").alias("v")).unionByName(met.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")))
         found, now = kept(small)
         own.drop(links)
