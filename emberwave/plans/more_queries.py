@@ -272,11 +272,11 @@ _FACTORS = (2, 16)
 
 
 @_query(
-    f"""WITH {oracle._SAMPLES}, lens AS (SELECT chan, count(*) AS n FROM samples GROUP BY chan) SELECT 1 AS factor, t, round(avg(x), 4) + 0 AS x FROM samples GROUP BY t"""
-    + "".join(f" UNION ALL SELECT {k}, t, round(avg(x), 4) + 0 FROM (SELECT s.chan, s.t // {k} AS t, avg(s.x) AS x FROM samples s JOIN lens l ON l.chan = s.chan WHERE s.t < l.n // {k} * {k} GROUP BY s.chan, s.t // {k}) q GROUP BY t" for k in _FACTORS)
+    f"""WITH {oracle._SAMPLES}, lens AS (SELECT chan, count(*) AS n FROM samples GROUP BY chan) SELECT 1 AS factor, t, round(avg(x), 11) + 0 AS x FROM samples GROUP BY t"""
+    + "".join(f" UNION ALL SELECT {k}, t, round(avg(x), 11) + 0 FROM (SELECT s.chan, s.t // {k} AS t, avg(s.x) AS x FROM samples s JOIN lens l ON l.chan = s.chan WHERE s.t < l.n // {k} * {k} GROUP BY s.chan, s.t // {k}) q GROUP BY t" for k in _FACTORS)
 )
 def mean_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(frames.mean_intensity(views.samples(spark, sf_dir), _FACTORS), 4, "x")
+    return _rounded(frames.mean_intensity(views.samples(spark, sf_dir), _FACTORS), 11, "x")
 
 
 @_query(
