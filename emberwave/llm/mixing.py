@@ -66,7 +66,9 @@ def rated(documents: DataFrame, seed: int = SEED, percent: int = SHARE_PERCENT)
     sized = documents.withColumn(size, size_of(documents["text"].cast("string")))
     joined = sized.join(targets, sized["source"].cast("string").eqNullSafe(targets[source])).drop(source)
     rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0)
-    drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), joined["doc_id"].cast("long"), F.xxhash64(joined["text"].cast("string"))), 11) * F.lit(2.0**-53)
+    # 52 bits of a digest as a number from 0 to 1, which SQL elsewhere can draw too.
+    said = F.concat_ws(":", F.lit(str(seed)), F.coalesce(joined["doc_id"].cast("long").cast("string"), F.lit("null")), F.coalesce(joined["text"].cast("string"), F.lit("")))
+    drawn = F.conv(F.substring(F.md5(said), 1, 13), 16, 10).cast("long") * F.lit(2.0**-52)
     copies = F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn(taken, copies.cast("long")), [size, source_size, target, taken]
 

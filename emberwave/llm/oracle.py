@@ -1,8 +1,7 @@
 """SQL that the operators' queries are held against, where SQL can say what they compute.
 
-The others have none: suffix arrays, tokenizers, trained models, HTML trees, WARC records, Spark's hash
-draws and components over near-duplicate links, which SQL is too slow for on whole tables. Brute-force
-versions in tests/llm stand in for them.
+The others have none: suffix arrays, tokenizers, trained models, HTML trees and WARC records. Brute-force versions in tests/llm stand in for them. The SQL of near duplicates compares all pairs
+that share a shingle and closes the links transitively, which is for tables of thousands of rows.
 """
 
 from __future__ import annotations
@@ -10,10 +9,32 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_TOKENS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+
 SQL: dict[str, str] = {
+    "op9_source_mix": f"""WITH d AS (SELECT doc_id, text, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+ z AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+ w AS (SELECT source, source_size, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS DOUBLE) AS weight, CAST(source_size AS DOUBLE) * 2 AS room FROM z),
+ r AS (SELECT *, room / weight AS fits FROM w),
+ s AS (SELECT *, coalesce(sum(room) OVER before, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS free, CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS total FROM r
+  WINDOW before AS (ORDER BY fits, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ l AS (SELECT *, (total - held) / free AS level FROM s),
+ t AS (SELECT source, source_size, coalesce(least(room, weight * (SELECT level FROM l WHERE level <= fits ORDER BY fits, level LIMIT 1)), room) AS target FROM l),
+ q AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE CAST(0 AS DOUBLE) END AS rate,
+  CAST(CAST('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1, 13) AS BIGINT) AS DOUBLE) * CAST({2.0**-52!r} AS DOUBLE) AS drawn FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
+ SELECT doc_id, size, source_size, target, CAST(floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) * size AS taken FROM q""",
+    "op7_minmax_near_dedup": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_TOKENS} AS w FROM documents),
+ s AS (SELECT r, doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct([w[i] || chr(31) || w[i + 1] for i in range(1, len(w))]) END AS g FROM d),
+ e AS (SELECT r, unnest(g) AS k FROM s),
+ met AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM e a JOIN e b ON a.k = b.k AND a.r < b.r GROUP BY a.r, b.r),
+ links AS (SELECT a, b FROM met JOIN s x ON x.r = met.a JOIN s y ON y.r = met.b WHERE 100 * n >= 80 * (len(x.g) + len(y.g) - n)),
+ ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+ reach AS (SELECT r, r AS q FROM s UNION SELECT reach.r, ways.b FROM reach JOIN ways ON ways.a = reach.q),
+ least AS (SELECT reach.r, min(s.doc_id) AS component_id FROM reach JOIN s ON s.r = reach.q GROUP BY reach.r)
+ SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least ON least.r = s.r""",
     "op4_decontamination": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents), i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
  sized AS (SELECT item, w, least(10, len(w)) AS n FROM i WHERE len(w) > 0),
- windows AS (SELECT DISTINCT item, n, array_to_string(w[CAST(p.p AS INTEGER) + 1:CAST(p.p AS INTEGER) + n], ' ') AS k FROM sized, range(0, 100000) p(p) WHERE p.p <= len(w) - n),
+ windows AS (SELECT DISTINCT item, n, array_to_string(w[CAST(p AS INTEGER) + 1:CAST(p AS INTEGER) + n], ' ') AS k FROM (SELECT item, n, w, unnest(range(0, len(w) - n + 1)) AS p FROM sized) q),
  lengths AS (SELECT DISTINCT n FROM windows),
  places AS (SELECT r, w, unnest(range(0, len(w))) AS p FROM d),
  grams AS (SELECT r, p, n, array_to_string(w[CAST(p AS INTEGER) + 1:CAST(p AS INTEGER) + n], ' ') AS k FROM places, lengths WHERE p + n <= len(w)),
