@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from emberwave.plans.shared import Scratch, release
+from emberwave.plans.shared import Scratch, dealt_anew, release
 
 def _with_least(links: DataFrame) -> DataFrame:
     """``links`` (u, v) with low, the smallest v of their u.
 
     A representative has a link with each member of its component, so a u may hold a third of all rows. The
-    minima are aggregated before any shuffle, and dealt out once more by u: with a shuffle straight below either
-    side of the join, adaptive execution cuts the partition of such a u into several tasks.
+    minima are aggregated before any shuffle and dealt anew, so that the rows of such a u are split between tasks.
     """
-    least = links.groupBy("u").agg(F.min("v").alias("low")).repartition("u")
-    return links.join(least, "u")
+    return links.join(dealt_anew(links.groupBy("u").agg(F.min("v").alias("low")), "u"), "u")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", scratch: Scratch | None = None) -> DataFrame:

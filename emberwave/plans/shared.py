@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -70,6 +71,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def dealt_anew(frame: DataFrame, key: str) -> DataFrame:
+    """``frame`` with its integer ``key`` worked out once more, so that a join shuffles it though it was grouped by it.
+
+    Adaptive execution splits a partition with very many rows of one key only where both sides of a join come
+    straight from a shuffle; an aggregate by the same key between them would keep it whole.
+    """
+    return frame.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def release(spark: SparkSession) -> None:
     """Lets the driver drop what finished rounds of a loop have left: plans, broadcasts and shuffle files.
 
