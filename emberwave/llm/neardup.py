@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from emberwave.llm.common import LOWER, Scratch, encoded, few, fresh, mixed, saved, slices, word_ids
 from emberwave.operators.graph import components
-from emberwave.plans.shared import release
+from emberwave.plans.shared import dealt_anew, release
 
 PERMUTATIONS, ROWS = 126, 6
 #: Members of a block. Buckets above it are thinned by a star first, and by more while one is above
@@ -321,9 +321,8 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, perm
     groups = _groups(scratch, members, _texts(scratch, own, sets, members), size, percent)
     named = sets.select("node", "set_b", "first_id")
     named = scratch.saved(named.join(groups, "node", "left").select("node", "set_b", "first_id", F.coalesce("component", "node").alias("group")), "named")
-    # Dealt out again, so that a group of very many sets is split between tasks.
-    lowest = named.groupBy("group").agg(F.min("first_id").alias("component_id")).repartition("group")
-    named = named.join(lowest, "group").drop("first_id")
+    lowest = named.groupBy("group").agg(F.min("first_id").alias("component_id"))
+    named = named.join(dealt_anew(lowest, "group"), "group").drop("first_id")
     named = scratch.saved(named.withColumnRenamed("node", "set_a"), "components")
     linked = filled.select("doc_id", "n_shingles", "text_key", "set_a", "set_b").join(named, ["set_a", "set_b"])
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("group"))
