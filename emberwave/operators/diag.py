@@ -39,9 +39,42 @@ def flag_fraction(expanded: DataFrame, by: str) -> DataFrame:
     return expanded.groupBy(by).agg(F.avg(F.col("masked").cast("double")).alias("flag_frac"))
 
 
+#: Equal bins that values are counted in before those of a few bins are ranked.
+QUANTILE_BINS = 16_384
+
+
+def quantiles(frame: DataFrame, column: str, levels: list[float], *keys: str, bins: int = QUANTILE_BINS) -> DataFrame:
+    """(keys, level, value): exact quantiles, linearly interpolated between neighbours, of values that are not null.
+
+    Values are counted in equal bins first; the counts tell in which bin the wanted ranks lie, and only
+    the values of those bins are ranked. So no buffer holds all distinct values: the largest group is a
+    bin's distinct values. A key without values has no rows.
+    """
+    own = frame.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_x"))
+    ends = own.groupBy(*keys).agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.count("*").alias("_n"))
+    placed = own.join(ends, list(keys)) if keys else own.join(F.broadcast(ends))
+    at = F.when(F.col("_a") < F.col("_b"), F.least(F.floor((F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a")) * bins), F.lit(bins - 1))).otherwise(0)
+    placed = placed.withColumn("_bin", at.cast("int"))
+    counts = placed.groupBy(*keys, "_n", "_bin").agg(F.count("*").alias("_c"))
+    # At most so many rows a key as there are bins.
+    below = counts.withColumn("_below", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_bin")) - F.col("_c"))
+    ranks = F.explode(F.array(*(F.struct(F.lit(float(p)).alias("level"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank")) for p in levels))).alias("_r")
+    each = F.explode(F.array(F.floor("_r.rank"), F.ceil("_r.rank"))).alias("_k")
+    wanted = below.select(*keys, "_bin", "_below", "_c", ranks).select("*", each).where((F.col("_k") >= F.col("_below")) & (F.col("_k") < F.col("_below") + F.col("_c")))
+    wanted = wanted.select(*keys, "_bin", F.col("_r.level").alias("level"), F.col("_r.rank").alias("_rank"), "_k", (F.col("_k") - F.col("_below")).alias("_inside")).distinct()
+    met = placed.select(*keys, "_bin", "_x").join(wanted, [*keys, "_bin"]).groupBy(*keys, "level", "_rank", "_k", "_inside", "_x").agg(F.count("*").alias("_c"))
+    found = met.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys, "level", "_k").orderBy("_x")))
+    found = found.where((F.col("_inside") < F.col("_upto")) & (F.col("_inside") >= F.col("_upto") - F.col("_c")))
+    part = F.col("_rank") - F.floor("_rank")
+    weight = F.when(F.col("_k") == F.floor("_rank"), F.lit(1.0) - part).otherwise(part)
+    # A whole rank has one row, of weight one.
+    return found.groupBy(*keys, "level").agg(F.sum(weight * F.col("_x")).alias("value"))
+
+
 def percentiles(frame: DataFrame, column: str, levels: dict[str, float]) -> DataFrame:
-    """Exact, linearly interpolated percentiles as columns."""
-    return frame.agg(*(F.percentile(column, F.lit(p)).alias(name) for name, p in levels.items()))
+    """Exact, linearly interpolated percentiles as columns of one row; nulls where there are no values."""
+    found = quantiles(frame, column, sorted(set(levels.values())))
+    return found.agg(*(F.max(F.when(F.col("level") == float(p), F.col("value"))).alias(name) for name, p in levels.items()))
 
 
 def z_scored(frame: DataFrame, column: str = "x", *keys: str) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberwave.operators.diag import quantiles
+
 #: Raw clock in seconds and subband width in MHz of the survey.
 RAW_TSAMP, SUBBAND_MHZ = 5.12e-6, 0.1953125
 
@@ -91,11 +93,10 @@ def fitted_length(x: Column, n: int) -> Column:
 
 
 def normalised(spectrum: DataFrame, *keys: str) -> DataFrame:
-    """x over the exact median of each key's whole spectrum, less 1."""
-    if not keys:
-        return spectrum.join(F.broadcast(spectrum.agg(F.median("x").alias("_m")))).withColumn("x", F.col("x") / F.col("_m") - 1).drop("_m")
-    medians = spectrum.groupBy(*keys).agg(F.median("x").alias("_m"))
-    return spectrum.join(medians, list(keys)).withColumn("x", F.col("x") / F.col("_m") - 1).drop("_m")
+    """x over the exact median of each key's whole spectrum, less 1; keys are beams, so their medians are few."""
+    medians = quantiles(spectrum, "x", [0.5], *keys).select(*keys, F.col("value").alias("_m"))
+    joined = spectrum.join(F.broadcast(medians), list(keys)) if keys else spectrum.join(F.broadcast(medians))
+    return joined.withColumn("x", F.col("x") / F.col("_m") - 1).drop("_m")
 
 
 def snapped_bandwidth(bw: Column) -> Column:

@@ -80,6 +80,8 @@ def _floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_series(spark: SparkSession, folder: str) -> DataFrame:
     """(file, dm, tsamp, object, x) of the pairs in a folder; a sidecar that is missing leaves nulls.
 
+    A data file without a single byte gives no row, as Spark skips empty files.
+
     The dm comes from the name, as the sidecar rounds it otherwise.
     """
     name = lambda c, end: F.regexp_extract(c, rf"([^/]*)\.{end}$", 1)

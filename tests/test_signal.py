@@ -183,3 +183,17 @@ def test_grids(spark):
     loaded = settings.Settings.load('{"rfi_block_size": 256, "other": 1, "dedispersion_plan": [{"low_dm": 0, "high_dm": 1, "ddm": 0.5, "downsample": 2}]}')
     assert loaded.rfi_block_size == 256 and loaded.plan == (settings.Segment(0.0, 1.0, 0.5, 2),)
     assert int(2877.916 / TSAMP) in (365945, 365946)
+
+
+def test_cut_outs_from_blocks_equal_those_of_the_whole_beam(spark, monkeypatch):
+    monkeypatch.setattr(cutouts, "BLOCK", 300)
+    x = pulse(n=4096)
+    frame = beams(spark, x)
+    rows = [(0, 60.7, 9.0, t, 0, w) for t in (0.0, 0.5, 12.0, 32.0) for w in (2, 8)] + [(9, 60.7, 9.0, 1.0, 0, 4)]
+    cands = spark.createDataFrame(rows, "beam int, dm double, sn double, time double, sample long, filter_width int")
+    looks = lambda a, b: [float(np.abs(a).mean()), float((a * np.arange(a.size).reshape(a.shape)).mean()), float((b * np.arange(b.size).reshape(b.shape)).mean())]
+    got = {(r.beam, r.time, r.filter_width): r for r in cutouts.classified(frame, cands, TSAMP, looks).collect()}
+    order = np.argsort(NU)
+    for _, dm, _, t, _, w in rows[:-1]:
+        assert got[0, t, w].probs == pytest.approx(looks(*cutouts.images(x[order], NU[order], TSAMP, dm, t, w)), rel=1e-9, abs=1e-9)
+    assert got[9, 1.0, 4].probs == [] and not got[9, 1.0, 4].is_candidate
