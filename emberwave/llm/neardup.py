@@ -345,7 +345,7 @@ def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFram
     found = near_duplicates(documents, size, percent).where("group IS NOT NULL").select("doc_id", "text_key", "group")
     chosen = found.groupBy("group").agg(F.min(F.struct(F.expr("doc_id IS NULL").alias("none"), "doc_id", "text_key")).alias("rep"))
     # A group's rows beside its chosen one go; rows equal to the chosen one are thinned to one below.
-    rows_by_key = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("n")).join(chosen, "group")
+    rows_by_key = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("n")).join(dealt_anew(chosen, "group"), "group")
     is_rep = F.expr("doc_id <=> rep.doc_id AND text_key = rep.text_key")
     key, gone_id, gone_key = fresh(documents, "text_key", "gone_id", "gone_key")
     marked = saved(rows_by_key.select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key), "n", is_rep.alias("rep")), "marked")
