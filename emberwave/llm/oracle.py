@@ -43,4 +43,24 @@ SQL: dict[str, str] = {
  items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT r, item FROM met) q GROUP BY r)
  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesce(items.n_items, 0) AS n_items, sha256(coalesce(items.said, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
  FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r""",
+    "op13_filter_audit": """WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+ w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+ first AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+ known AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id),
+ failed AS (SELECT w.part, coalesce(known.good, false) AS good, coalesce(known.bad, false) AS bad,
+  (CASE WHEN len(words) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END)
+  || (CASE WHEN 100 * len(regexp_extract_all(w.text, '[A-Z]')) > 3 * length(w.text) THEN 'C' ELSE '' END) || (CASE WHEN regexp_matches(w.text, '[#$%&*|]') THEN 'D' ELSE '' END)
+  || (CASE WHEN w.doc_id > first.least THEN 'E' ELSE '' END) AS fails
+  FROM w JOIN first ON first.text = w.text LEFT JOIN known ON known.doc_id = w.doc_id),
+ counted AS (SELECT part, good, bad, fails, count(*) AS n FROM failed GROUP BY ALL),
+ letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+ orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+ steps AS (SELECT filter_order, CAST(k AS INTEGER) AS step, substr(filter_order, 1, k - 1) AS before, substr(filter_order, k, 1) AS own FROM orders, (SELECT unnest(range(1, 6)) AS k) q),
+ met AS (SELECT part, filter_order, step, own, n, good, bad, fails, contains(fails, own) AS fail, length(translate(before, fails, '')) < length(before) AS earlier FROM counted, steps),
+ added AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fail AND NOT earlier), 0) AS kept, coalesce(sum(n) FILTER (fail AND NOT earlier), 0) AS removed,
+  coalesce(sum(n) FILTER (fail AND earlier), 0) AS redundant, coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails,
+  coalesce(sum(n) FILTER (fail AND NOT earlier AND good), 0) AS good_lost, coalesce(sum(n) FILTER (fail AND NOT earlier AND bad), 0) AS toxic_lost FROM met GROUP BY part, filter_order, step, own)
+ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+ CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM added""",
 }
