@@ -43,6 +43,22 @@ SQL: dict[str, str] = {
  items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT r, item FROM met) q GROUP BY r)
  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesce(items.n_items, 0) AS n_items, sha256(coalesce(items.said, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
  FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r""",
+    "op12_prefix_trie": """WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+  md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS g, length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL),
+ c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+   lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y >> 1, CAST(3988292384 AS BIGINT)) ELSE y >> 1 END)), CAST(4294967295 AS BIGINT)) % 6 AS h FROM t GROUP BY conv_id),
+ r AS (SELECT t.conv_id, t.i - c.h + least(c.h, coalesce(b.n, 0)) AS depth, g, chars FROM t JOIN c ON c.conv_id = t.conv_id LEFT JOIN c b ON b.conv_id = c.base WHERE t.i > c.h
+  UNION ALL SELECT c.conv_id, t.i, g, chars FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h),
+ p AS (SELECT conv_id, depth, chars, sha256(string_agg(g, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node, max(depth) OVER (PARTITION BY conv_id) = depth AS ends FROM r
+  UNION ALL SELECT c.conv_id, 0, 0, '', NOT EXISTS (SELECT 1 FROM r WHERE r.conv_id = c.conv_id) FROM c),
+ n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY node, depth),
+ e AS (SELECT n.node, p.node AS parent, n.depth FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+ k AS (SELECT parent, count(*) AS n_children FROM e GROUP BY parent),
+ s AS (SELECT p.node, CAST(sum(CASE WHEN k.parent IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum(n.saved) AS BIGINT) AS saved_tokens FROM n LEFT JOIN k ON k.parent = n.node
+  JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node)
+ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+ FROM n JOIN s ON s.node = n.node LEFT JOIN k ON k.parent = n.node LEFT JOIN e ON e.node = n.node LEFT JOIN n a ON a.node = e.parent""",
     "op13_filter_audit": """WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
  w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
  first AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),

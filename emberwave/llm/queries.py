@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberwave.llm import audit, decontam, fst_tokens, html, langid, mixing, neardup, oracle, quality, secrets, tokenfile, warc
+from emberwave.llm import audit, decontam, fst_tokens, html, langid, mixing, neardup, oracle, prefixes, quality, secrets, tokenfile, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst_tokens.count_tokens(_table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -72,6 +76,7 @@ _QUERIES = (
     op8_warc_derivatives,
     op9_source_mix,
     op10_token_counts,
+    op12_prefix_trie,
     op13_filter_audit,
 )
 
