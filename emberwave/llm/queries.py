@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberwave.llm import audit, decontam, fst_tokens, html, langid, mixing, neardup, oracle, prefixes, quality, secrets, tokenfile, warc
+from emberwave.llm import audit, decontam, fst_tokens, html, langid, mixing, neardup, oracle, prefixes, quality, secrets, tokenfile, toxic, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst_tokens.count_tokens(_table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
+def op11_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxic.toxicity(documents, toxic.fit(documents, _table(spark, sf_dir, "labels")))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -76,6 +81,7 @@ _QUERIES = (
     op8_warc_derivatives,
     op9_source_mix,
     op10_token_counts,
+    op11_toxic_spans,
     op12_prefix_trie,
     op13_filter_audit,
 )
