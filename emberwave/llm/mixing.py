@@ -5,6 +5,12 @@ weight, where a source's target stops at a multiple of its own size and what is
 others by weight. A source's repetition rate is its target over its size. Each document is emitted
 floor(rate) times, and once more with the probability of the rate's fraction, drawn from a hash of a
 seed and the document, so that a rerun draws the same.
+
+The draws of a source depend on each other, so that its words come near its target: its documents stand in
+order of size, in steps of an eighth of a power of two, and of hash, a line of length fraction each behind an offset
+drawn for the source. A group of neighbours gets as many copies as whole numbers lie on its stretch, and gives them to
+its least hashes. So no stretch of sizes is off by more than one copy, and the words by little more than the largest
+document. Only counts of groups are summed along a source, first by size, then within one.
 """
 
 from __future__ import annotations
@@ -16,6 +22,8 @@ from emberwave.llm.common import few, fresh, saved
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT, MAX_REPEAT, SEED = 150, 2, 9
+#: A group of documents of one source and step of size has some ten thousand hashes, and no source has fewer groups than these.
+LEAST_BUCKETS, BUCKET_ROWS = 64, 10_000
 #: Rates are broadcast up to this many sources, some tens of bytes each; beyond it both sides shuffle.
 BROADCAST_SOURCES = 50_000
 
@@ -51,6 +59,41 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent
     return shared.select("source", "source_size", target.alias("target"))
 
 
+def size_step(size: Column) -> Column:
+    """Sizes that agree in their four leading bits share a step; steps rise with size."""
+    digits = F.length(F.bin(size))
+    return (digits * 16 + F.call_function("shiftright", size, F.greatest(digits - 4, F.lit(0)))).cast("long")
+
+
+def drawn(doc_id: Column, text: Column, seed: int) -> Column:
+    """52 bits of a digest of the seed and the document, null as a value of its own."""
+    said = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("long").cast("string"), F.lit("null")), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(said), 1, 13), 16, 10).cast("long")
+
+
+def cuts(narrow: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
+    """(source, step, bucket, cut): documents of a group get a copy whose hash is at most ``cut``; groups without copies are left out.
+
+    ``narrow``: (source, step, bucket, hash). Equal hashes are counted before they meet, so a group holds each once.
+    """
+    by_hash = narrow.groupBy("source", "step", "bucket", "hash").agg(F.count("*").alias("n"))
+    groups = by_hash.groupBy("source", "step", "bucket").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("hash", "n"))).alias("hashes"))
+    groups = saved(groups, "groups")
+    before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda *by: F.coalesce(F.sum("n").over(before(*by)), F.lit(0))
+    steps = groups.groupBy("source", "step").agg(F.sum("n").alias("n")).select("source", "step", earlier("source", "step").alias("smaller"))
+    steps = steps.withColumnsRenamed({"source": "s_source", "step": "s_step"})
+    placed = groups.withColumn("within", earlier("source", "step", "bucket")).join(steps, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("step") == F.col("s_step")))
+    known = rates.select(F.col("source").alias("r_source"), (F.col("rate") - F.floor("rate")).alias("part"))
+    placed = placed.join(few(known, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("r_source")))
+    offset = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce("source", F.lit("null")))), 1, 13), 16, 10).cast("long") * F.lit(2.0**-52)
+    up_to = lambda n: F.floor(n.cast("double") * F.col("part") + offset)
+    first = F.col("smaller") + F.col("within")
+    counted = placed.withColumn("k", up_to(first + F.col("n")) - up_to(first)).where("k > 0")
+    cut = F.expr("aggregate(hashes, struct(0L AS run, -1L AS cut), (a, x) -> IF(a.run < k, struct(a.run + x.n AS run, x.hash AS cut), a), a -> a.cut)")
+    return counted.select("source", "step", "bucket", cut.alias("cut"))
+
+
 def rated(documents: DataFrame, seed: int = SEED, percent: int = SHARE_PERCENT) -> tuple[DataFrame, list[str]]:
     """``documents`` with four columns more, and their names: size, source_size, target and copies.
 
@@ -58,19 +101,22 @@ def rated(documents: DataFrame, seed: int = SEED, percent: int = SHARE_PERCENT)
     empty text has size 0, and a source of size 0 has target 0 and is not taken. A repeated row draws what its
     copy draws, as the draw comes from doc_id and text (null as a value of its own). An empty table gives no rows.
     """
-    size, source, source_size, target, taken = fresh(documents, "mix_size", "mix_source", "mix_source_size", "mix_target", "mix_copies")
-    own = documents.select(documents["source"].cast("string").alias("source"), size_of(documents["text"].cast("string")).alias("size"))
-    sizes = own.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, percent=percent).select(F.col("source").alias(source), F.col("source_size").alias(source_size), F.col("target").alias(target))
-    targets = few(saved(targets, "rates"), BROADCAST_SOURCES)
-    sized = documents.withColumn(size, size_of(documents["text"].cast("string")))
-    joined = sized.join(targets, sized["source"].cast("string").eqNullSafe(targets[source])).drop(source)
-    rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0)
-    # 52 bits of a digest as a number from 0 to 1, which SQL elsewhere can draw too.
-    said = F.concat_ws(":", F.lit(str(seed)), F.coalesce(joined["doc_id"].cast("long").cast("string"), F.lit("null")), F.coalesce(joined["text"].cast("string"), F.lit("")))
-    drawn = F.conv(F.substring(F.md5(said), 1, 13), 16, 10).cast("long") * F.lit(2.0**-52)
-    copies = F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn(taken, copies.cast("long")), [size, source_size, target, taken]
+    names = fresh(documents, "mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_step", "mix_bucket", "mix_hash", "mix_source", "mix_rate", "mix_cut")
+    size, source_size, target, taken, step, bucket, hashed, source, rate, cut = names
+    own = documents.select(documents["source"].cast("string").alias("source"), size_of(documents["text"].cast("string")).alias("size"), drawn(documents["doc_id"], documents["text"], seed).alias("hash"))
+    own = saved(own, "sizes")
+    targets = saved(source_targets(own.groupBy("source").agg(F.sum("size").alias("source_size")), percent=percent), "rates")
+    rates = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    buckets = max(LEAST_BUCKETS, -(-own.count() // BUCKET_ROWS))
+    keyed = own.withColumn("step", size_step(F.col("size"))).withColumn("bucket", F.col("hash") % buckets)
+    chosen = saved(cuts(keyed.select("source", "step", "bucket", "hash"), rates, seed), "cuts").withColumnsRenamed({"source": source, "step": step, "bucket": bucket, "cut": cut})
+    sized = documents.withColumns({size: size_of(documents["text"].cast("string")), hashed: drawn(documents["doc_id"], documents["text"], seed)})
+    known = rates.select(F.col("source").alias(source), F.col("source_size").alias(source_size), F.col("target").alias(target), F.col("rate").alias(rate))
+    joined = sized.join(few(known, BROADCAST_SOURCES), documents["source"].cast("string").eqNullSafe(known[source])).drop(source)
+    met = documents["source"].cast("string").eqNullSafe(chosen[source]) & (size_step(F.col(size)) == chosen[step]) & (F.col(hashed) % buckets == chosen[bucket])
+    joined = joined.join(few(chosen), met, "left").drop(source, step, bucket)
+    copies = F.floor(rate) + F.when(F.col(hashed) <= F.col(cut), 1).otherwise(0)
+    return joined.withColumn(taken, copies.cast("long")).drop(hashed, rate, cut), [size, source_size, target, taken]
 
 
 def mix_report(documents: DataFrame, seed: int = SEED) -> DataFrame:

@@ -20,9 +20,15 @@ SQL: dict[str, str] = {
   WINDOW before AS (ORDER BY fits, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
  l AS (SELECT *, (total - held) / free AS level FROM s),
  t AS (SELECT source, source_size, coalesce(least(room, weight * (SELECT level FROM l WHERE level <= fits ORDER BY fits, level LIMIT 1)), room) AS target FROM l),
- q AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE CAST(0 AS DOUBLE) END AS rate,
-  CAST(CAST('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1, 13) AS BIGINT) AS DOUBLE) * CAST({2.0**-52!r} AS DOUBLE) AS drawn FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
- SELECT doc_id, size, source_size, target, CAST(floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) * size AS taken FROM q""",
+ q AS (SELECT doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE CAST(0 AS DOUBLE) END AS rate,
+  CAST('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1, 13) AS BIGINT) AS h,
+  length(bin(size)) * 16 + (size >> CAST(greatest(length(bin(size)) - 4, 0) AS BIGINT)) AS step, (SELECT greatest(64, CAST(ceil(count(*) / 10000) AS BIGINT)) FROM d) AS buckets FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+ g AS (SELECT source, step, h % buckets AS bucket, count(*) AS n, any_value(rate - floor(rate)) AS part,
+  CAST(CAST('0x' || substr(md5('9:' || coalesce(source, 'null')), 1, 13) AS BIGINT) AS DOUBLE) * CAST({2.0**-52!r} AS DOUBLE) AS shift FROM q GROUP BY source, step, bucket),
+ p AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY source ORDER BY step, bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS before FROM g),
+ k AS (SELECT source, step, bucket, floor((before + n) * part + shift) - floor(before * part + shift) AS k FROM p),
+ o AS (SELECT q.*, k.k, rank() OVER (PARTITION BY q.source, q.step, k.bucket ORDER BY h) AS place FROM q JOIN k ON k.source IS NOT DISTINCT FROM q.source AND k.step = q.step AND k.bucket = q.h % q.buckets)
+ SELECT doc_id, size, source_size, target, CAST(floor(rate) + CASE WHEN place <= k THEN 1 ELSE 0 END AS BIGINT) * size AS taken FROM o""",
     "op7_minmax_near_dedup": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_TOKENS} AS w FROM documents),
  s AS (SELECT r, doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct([w[i] || chr(31) || w[i + 1] for i in range(1, len(w))]) END AS g FROM d),
  e AS (SELECT r, unnest(g) AS k FROM s),

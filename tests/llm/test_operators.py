@@ -767,6 +767,14 @@ def test_mixing_hits_its_targets(spark):
     assert all(abs(r.t / r.g - 1) < 0.05 for r in report)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_mixing_of_given_tables_is_near_its_targets(spark, sf):
+    """The words taken of a source miss its target by little more than its largest document."""
+    frame = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    report = mixing.mix_report(frame).join(frame.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.max("size").alias("most")).collect()
+    assert report and all(abs(r.t - r.g) <= 1.1 * r.most for r in report)
+
+
 def test_mixing_is_native(docs):
     plan = mixing.mix_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
