@@ -15,7 +15,7 @@ from emberwave.functions import messages
 from emberwave.operators import candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs
 from emberwave.plans import oracle, search, settings, views
 from emberwave.plans.shared import saved, shared_dir
-from emberwave.sources import discover, sigproc, textfiles
+from emberwave.sources import discover, sigproc, stores, textfiles
 from emberwave.sources import series as series_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,19 +47,15 @@ def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.series(spark, sf_dir).select(F.col("series_id").alias("t"), F.transform("x", lambda v: v.cast("float")).alias("spectrum"))
 
 
-def _write(spectra: DataFrame, path: str, mode: str, nbits: int = 32, **more) -> None:
-    options = {**_HEADER, "nbits": nbits, **more}
-    in_order = spectra.repartitionByRange(4, "t").sortWithinPartitions("t")
-    in_order.write.format("filterbank").options(**{k: str(v) for k, v in options.items()}).mode(mode).save(path)
+def _write(spectra: DataFrame, path: str, mode: str, nbits: int = 32, at: int | None = None) -> None:
+    sigproc.save(spectra, path, {**_HEADER, "nbits": nbits}, mode, at)
 
 
 @_query(f"WITH {_WHOLE} SELECT t, chan, CASE WHEN t BETWEEN 10 AND 19 THEN -x ELSE x END AS x FROM spectra WHERE t BETWEEN 5 AND 1000")
 def filterbank_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written in two parts, ten spectra put over by their own negatives, and a span of times read back."""
     sigproc.register(spark)
-    path, spectra = f"{shared_dir(spark, 'filterbank')}.fil", saved(_spectra(spark, sf_dir), "spectra")
-    place = spectra.withColumn("n", F.row_number().over(Window.orderBy("t")) - 1).drop("t").withColumnRenamed("n", "t")
-    place = saved(place.select("t", "spectrum"), "placed")
+    path, place = f"{shared_dir(spark, 'filterbank')}.fil", saved(_spectra(spark, sf_dir), "spectra")
     _write(place.where("t < 40"), path, "overwrite")
     _write(place.where("t >= 40"), path, "append")
     negative = place.where("t BETWEEN 10 AND 19").withColumn("spectrum", F.transform("spectrum", lambda v: -v))
@@ -433,17 +429,15 @@ def _injected(spark: SparkSession, folder: str) -> None:
         pulsed = search.with_pulse(noise, TSAMP, dm, 12.0, 8, height)
         spectra = pulsed.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("chan", "x"))).alias("s")).select("t", F.transform("s", lambda v: v["x"].cast("float")).alias("spectrum"))
         path = f"{folder}/downsampled_L1_SAP0_BEAM{beam}_32bit_ff.fil"
-        spectra.repartitionByRange(4, "t").sortWithinPartitions("t").write.format("filterbank").options(**{k: str(v) for k, v in header.items()}).mode("overwrite").save(path)
+        spectra.repartitionByRange(4, "t").write.format("filterbank").options(**{k: str(v) for k, v in header.items()}).mode("overwrite").save(path)
 
 
 _SEARCH = settings.Settings(rfi_block_size=512, sigma_low=5.0, sigma_high=5.0, bad_channel=-1, detection_threshold=7.0, cluster_gate=7.0, max_width_s=0.5, probability_gate=0.0, plan=(settings.Segment(30.0, 80.0, 1.0, 1),))
 
 
 def _folder(spark: SparkSession) -> str:
-    import os
-
     folder = shared_dir(spark, "beams")
-    os.makedirs(sigproc.local(folder), exist_ok=True)
+    stores.folder(folder)
     _injected(spark, folder)
     return folder
 

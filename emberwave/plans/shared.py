@@ -61,9 +61,13 @@ class Scratch:
     def result(self, frame: DataFrame, name: str) -> DataFrame:
         """``frame`` as a table that stays; all others are deleted."""
         out = saved(frame, name)
+        self.done()
+        return out
+
+    def done(self) -> None:
+        """Deletes all tables, where what was made of them is complete elsewhere."""
         self.paths.clear()
         _delete(self.spark, self.root)
-        return out
 
 
 def _delete(spark: SparkSession, path: str) -> None:

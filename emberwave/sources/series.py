@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberwave.functions.names import dm_of
-from emberwave.sources.sigproc import local
+from emberwave.plans.shared import saved
+from emberwave.sources import stores
 from emberwave.sources.textfiles import parse_sidecar
 
 # The sidecar's labels, in the order of its lines, and the fields of a header that fill them.
@@ -41,32 +41,30 @@ def sidecar(name: str, dm: float, bins: int, width: float, header: dict) -> str:
     return "".join(f" {label:<39}=  {form % values[field]}\n" for label, field, form in LABELS)
 
 
-def write_series(series: DataFrame, folder: str, base: str, tsamp: float, header: dict) -> DataFrame:
+def write_series(series: DataFrame, folder: str, base: str, tsamp: float, header: dict, factory: str | None = None) -> DataFrame:
     """Writes each trial (dm, downsample, x) as a pair of files named by its one-decimal dm; returns (file, bins).
 
+    The folder may be in any filesystem that ``stores`` opens.
+
     The tasks write, each the trials that it has; a trial that comes twice is written over by the same.
     Null samples are missing values, a null series is an empty one.
     """
-    place = local(folder)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(place, exist_ok=True)
+        stores.folder(folder, factory)
         for batch in batches:
             files, bins = [], []
             for row in batch.to_pylist():
                 x = np.array(row["x"] or [], np.float64).astype("<f4")
                 name = f"{base}_DM{row['dm']:.1f}"
-                with open(f"{place}/{name}.dat", "wb") as out:
+                with stores.written(f"{folder}/{name}.dat", factory) as out:
                     out.write(x.tobytes())
-                with open(f"{place}/{name}.inf", "w") as out:
-                    out.write(sidecar(name, row["dm"], len(x), tsamp * row["downsample"], header))
+                with stores.written(f"{folder}/{name}.inf", factory) as out:
+                    out.write(sidecar(name, row["dm"], len(x), tsamp * row["downsample"], header).encode())
                 files.append(f"{name}.dat")
                 bins.append(len(x))
             yield pa.RecordBatch.from_pydict({"file": pa.array(files, pa.string()), "bins": pa.array(bins, pa.int64())})
 
-    out = f"{folder}/manifest"
-    series.select("dm", "downsample", "x").mapInArrow(run, FILES).write.parquet(out)
-    return series.sparkSession.read.schema(FILES).parquet(out)
+    return saved(series.select("dm", "downsample", "x").mapInArrow(run, FILES), "manifest")
 
 
 def _floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

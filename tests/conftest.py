@@ -8,7 +8,7 @@ import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
-os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
+os.environ["PYTHONPATH"] = f"{ROOT}:{ROOT / 'tests'}:{os.environ.get('PYTHONPATH', '')}"
 
 
 @pytest.fixture(scope="session")

@@ -64,9 +64,9 @@ def test_many_files_and_gaps(spark, tmp_path):
     assert listed.where(discover.in_beam_folder(F.col("folder"), F.col("name"))).count() == 2
     path = str(tmp_path / "X" / "other.fil")
     more = spark.createDataFrame([(0, [1.0] * 4)], "t long, spectrum array<float>")
-    with pytest.raises(Exception, match="beyond the end"):
-        more.write.format("filterbank").option("at", "21").mode("append").save(path)
-    more.write.format("filterbank").option("at", "20").mode("append").save(path)
+    with pytest.raises(ValueError, match="beyond the end"):
+        sigproc.save(more, path, {}, at=21)
+    sigproc.save(more, path, {}, at=20)
     assert spark.read.format("filterbank").load(path).count() == 21
     facts = {r.key: r.value for r in sigproc.metadata(spark, path).collect()}
     assert facts["nspec"] == "21" and facts["folded"] == "false"

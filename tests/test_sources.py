@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import struct
 
 import numpy as np
@@ -46,6 +47,87 @@ def test_filterbank_clips_and_rejects(spark, tmp_path):
         sigproc.layout(str(bad))
 
 
+def _frame(spark, rows):
+    return spark.createDataFrame([(t, [float(v), -float(v)]) for t, v in rows], "t long, spectrum array<float>").repartition(3)
+
+
+def _held(spark, path, **how):
+    return [r.spectrum[0] for r in sigproc.read(spark, path, **how).orderBy("t").collect()]
+
+
+SMALL = {"nchans": 2, "fch1": 1.0, "foff": -1.0, "tsamp": 1.0, "source_name": "x"}
+
+
+def _all_modes(spark, path, **how):
+    """Written in order of t, whatever its gaps and ties; added to; put over inside, over the end, and at the end."""
+    sigproc.save(_frame(spark, [(5 * k, k) for k in range(3000)] + [(7, 0.5)]), path, SMALL, **how)
+    want = [0.0, 1.0, 0.5, *map(float, range(2, 3000))]
+    assert _held(spark, path, **how) == want
+    sigproc.save(_frame(spark, [(3, -1), (1, -2)]), path, {}, "append", **how)
+    want += [-2.0, -1.0]
+    assert _held(spark, path, **how) == want
+    sigproc.save(_frame(spark, [(k, 9) for k in range(4)]), path, {}, at=10, **how)
+    want[10:14] = [9.0] * 4
+    sigproc.save(_frame(spark, [(k, 8) for k in range(4)]), path, {}, at=3001, **how)
+    want[3001:] = [8.0] * 4
+    assert _held(spark, path, **how) == want
+    sigproc.save(_frame(spark, []), path, {}, "append", **how)
+    assert _held(spark, path, **how) == want and sigproc.layout(path, how.get("factory")).header["source_name"] == "x"
+    with pytest.raises(ValueError, match="beyond the end"):
+        sigproc.save(_frame(spark, [(0, 1)]), path, {}, at=4000, **how)
+    sigproc.save(_frame(spark, []), path, SMALL, **how)
+    assert _held(spark, path, **how) == []
+
+
+def test_filterbank_saved_in_place(spark, tmp_path):
+    _all_modes(spark, str(tmp_path / "a.fil"))
+    assert [x.name for x in tmp_path.iterdir()] == ["a.fil"]
+
+
+def test_filterbank_on_a_filesystem_that_only_its_factory_opens(spark, tmp_path):
+    import vault
+
+    path = f"vault:/{tmp_path}/~/beams/a.fil"
+    assert not os.path.exists(path)
+    (tmp_path / "beams").mkdir()
+    _all_modes(spark, path, factory=vault.FACTORY)
+    sigproc.save(_frame(spark, [(0, 1)]), path.replace("a.fil", "b.fil"), SMALL, factory=vault.FACTORY)
+    folder = path.removesuffix("/a.fil")
+    found = {(r.path, r.value) for r in sigproc.metadata(spark, folder, vault.FACTORY).where("key = 'nspec'").collect()}
+    assert found == {(path, "0"), (path.replace("a.fil", "b.fil"), "1")}
+    assert len(sigproc.paths(f"{folder}/*b.fil", vault.FACTORY)) == 1 and not sigproc.stores.known(path)
+    assert sorted(x.name for x in (tmp_path / "beams").iterdir()) == ["a.fil", "b.fil"]
+
+
+def test_filterbank_read_through_spark_where_arrow_has_no_filesystem(spark, tmp_path, monkeypatch):
+    sigproc.save(_frame(spark, [(k, k) for k in range(2500)]), str(tmp_path / "a.fil"), SMALL)
+    monkeypatch.setattr(sigproc.stores, "known", lambda *_: False)
+    found = sigproc.read(spark, str(tmp_path), with_path=True)
+    assert found.count() == 2500 and found.where("t = 2400").first().spectrum == [2400.0, -2400.0] and found.first().path.endswith("/a.fil")
+
+
+def test_killed_write_leaves_the_old_file(spark, tmp_path):
+    path = str(tmp_path / "a.fil")
+    sigproc.save(_frame(spark, [(k, k) for k in range(50)]), path, SMALL)
+    before = open(path, "rb").read()
+    # A task that fails, and a driver that dies before the commit.
+    with pytest.raises(Exception, match="channels"):
+        sigproc.save(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "t long, spectrum array<float>"), path, {}, "append")
+    writer = sigproc.FilterbankWriter({"path": path} | {k: str(v) for k, v in SMALL.items()})
+    writer.write([{"t": 0, "spectrum": [5.0, 5.0]}])
+    assert open(path, "rb").read() == before and _held(spark, path) == [float(k) for k in range(50)]
+    # Attempts that write the same rows again, out of order; places with a gap.
+    parts = [writer.write([{"t": t, "spectrum": [float(t), 0.0]} for t in rows]) for rows in ((3, 2), (0, 1), (0, 1))]
+    writer.commit(parts[:2])
+    assert _held(spark, path) == [0.0, 1.0, 2.0, 3.0]
+    sigproc.register(spark)
+    with pytest.raises(Exception, match="0 to n - 1"):
+        _frame(spark, [(0, 1), (2, 1)]).write.format("filterbank").options(**{k: str(v) for k, v in SMALL.items()}).mode("overwrite").save(path)
+    with pytest.raises(Exception, match="use sigproc.save"):
+        _frame(spark, [(0, 1)]).write.format("filterbank").options(**{k: str(v) for k, v in SMALL.items()}).mode("append").save(path)
+    assert _held(spark, path) == [0.0, 1.0, 2.0, 3.0] and [x.name for x in tmp_path.iterdir()] == ["a.fil"]
+
+
 def _fits(path, nsub=3, nchan=4, nsblk=8):
     def unit(cards, data=b""):
         text = "".join(f"{c:<80}" for c in [*cards, "END"])
