@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberwave.functions import messages
-from emberwave.operators import candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs
+from emberwave.operators import candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs, subints
 from emberwave.plans import oracle, search, settings, views
 from emberwave.plans.shared import saved, shared_dir
 from emberwave.sources import discover, sigproc, stores, textfiles
@@ -94,6 +94,44 @@ def time_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigproc.long_form(sigproc.time_slice(spark.read.format("filterbank").load(path), 0.5, 1.0, _HEADER["tsamp"]))
 
 
+# Sub-integrations.
+
+#: An embedding as the 64 bytes of a sub-integration of sixteen channels: 4 samples of 8 bits, or 16 of 2.
+_BYTES = """bytes AS (SELECT vec_id AS isub, i - 1 AS k, ((CAST(floor(CAST(embedding[CAST(i AS INTEGER)] AS DOUBLE) * 1000) AS BIGINT) % 256) + 256) % 256 AS b FROM embeddings, range(1, 65) r(i))"""
+_CHANNELS = """SELECT isub, s, c, CASE WHEN {mask} THEN (raw * (1 + CAST(c AS DOUBLE) / 4) + c) * (CASE WHEN c = 3 THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END) END AS x FROM raw"""
+
+
+def _averages(raw: str, groups: int, msamp: int, mask: str) -> str:
+    return f"""WITH {_BYTES}, raw AS ({raw}), scaled AS ({_CHANNELS.format(mask=mask)}), first AS (SELECT isub, s, c // 4 AS c, avg(x) AS x FROM scaled GROUP BY isub, s, c // 4)
+ SELECT isub * {groups} + s // {msamp} AS t, CAST(c AS BIGINT) AS chan, round(avg(x), 6) + 0 AS x FROM first GROUP BY isub, s // {msamp}, c, isub * {groups} + s // {msamp}"""
+
+
+def _subints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written table of sub-integrations with scales, offsets and weights of their channels."""
+    held = F.transform("x", lambda v: F.pmod(F.floor(v * 1000), F.lit(256)))
+    data = F.unhex(F.array_join(F.transform(held, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+    channels = [float(c) for c in range(16)]
+    arrays = {"dat_scl": [1 + c / 4 for c in channels], "dat_offs": channels, "dat_wts": [0.0 if c == 3 else 1.0 for c in channels]}
+    rows = views.series(spark, sf_dir).select(F.col("series_id").alias("isub"), data.alias("data"), *(F.array(*map(F.lit, v)).alias(k) for k, v in arrays.items()))
+    return saved(rows, "subints")
+
+
+def _long_spectra(spectra: DataFrame) -> DataFrame:
+    return _rounded(spectra.select("t", F.posexplode("spectrum").alias("chan", "x")).withColumn("chan", F.col("chan").cast("long")), 6, "x")
+
+
+@_query(_averages("SELECT isub, k * 4 // 16 + j // 16 AS s, (k * 4 + j) % 16 AS c, ((b >> CAST(6 - 2 * j AS BIGINT)) & 3) * 64 AS raw FROM bytes, range(0, 4) q(j)", 4, 4, "true"))
+def subints_of_2_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a written table of packed sub-integrations to averaged spectra, by column functions alone."""
+    return _long_spectra(subints.averaged_spectra(_subints(spark, sf_dir), 16, 16, 2, 4, 4))
+
+
+@_query(_averages("SELECT isub, k // 16 AS s, k % 16 AS c, b AS raw FROM bytes", 2, 2, "c % 16 <> 0"))
+def subints_without_dc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of samples of 8 bits, the channel that a subband begins with left out."""
+    return _long_spectra(subints.averaged_spectra(_subints(spark, sf_dir), 16, 4, 8, 4, 2, mask_dc=True))
+
+
 # Series and text.
 
 

@@ -2,7 +2,7 @@
 
 A FITS file is a chain of 2880-byte blocks: header cards of 80 characters, then data. Only what search
 files need is read: the primary header, and the columns DATA, DAT_OFFS, DAT_SCL, DAT_WTS and DAT_FREQ of
-the table SUBINT.
+the table SUBINT. Files lie in any filesystem that ``stores`` opens, and a task reads its rows by seeking.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from emberwave.sources.sigproc import local
+from emberwave.sources import stores
 
 BLOCK, CARD = 2880, 80
 # The FITS codes of column types and their big-endian forms.
@@ -58,8 +59,8 @@ class SearchFile:
     columns: dict[str, tuple[int, np.dtype, int]]
 
     @classmethod
-    def open(cls, path: str) -> SearchFile:
-        with open(path, "rb") as file:
+    def open(cls, path: str, factory: str | None = None) -> SearchFile:
+        with stores.opened(path, factory) as file:
             primary = cards(file)
             file.seek(data_size(primary), 1)
             while True:
@@ -108,27 +109,39 @@ def averaged(x: np.ndarray, mchan: int, msamp: int, mask_dc: bool = False) -> np
 
 @dataclass
 class Rows(InputPartition):
+    path: str
     start: int
     stop: int
 
 
+#: What a row holds beside its data: columns of the table, and the columns here.
+_LISTS = (("DAT_OFFS", "f4", pa.float32()), ("DAT_SCL", "f4", pa.float32()), ("DAT_WTS", "f4", pa.float32()), ("DAT_FREQ", "f8", pa.float64()))
+
+
 class SubintReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.path, self.step = local(options["path"]), int(options.get("rows_per_task", "64"))
+        self.path, self.step, self.factory = options["path"], int(options.get("rows_per_task", "64")), options.get("filesystem")
         self.first, self.last = int(options.get("first_subint", "0")), int(options.get("last_subint", "-1"))
+        self.with_path = options.get("with_path", "false") == "true"
 
     def partitions(self) -> list[Rows]:
-        n = SearchFile.open(self.path).table["NAXIS2"]
-        stop = n if self.last < 0 else min(n, self.last + 1)
-        return [Rows(a, min(a + self.step, stop)) for a in range(self.first, stop, self.step)] or [Rows(0, 0)]
+        found = []
+        for path in stores.paths(self.path, ".fits", self.factory):
+            n = SearchFile.open(path, self.factory).table["NAXIS2"]
+            stop = n if self.last < 0 else min(n, self.last + 1)
+            found += [Rows(path, a, min(a + self.step, stop)) for a in range(self.first, stop, self.step)]
+        return found or [Rows("", 0, 0)]
 
     def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
-        found = SearchFile.open(self.path)
-        with open(self.path, "rb") as file:
+        if not partition.path:
+            return
+        found = SearchFile.open(partition.path, self.factory)
+        with stores.opened(partition.path, self.factory) as file:
             for isub in range(partition.start, partition.stop):
                 row = found.row(file, isub)
-                lists = [pa.array([row[c].astype(k).tolist()], pa.list_(t)) for c, k, t in (("DAT_OFFS", "f4", pa.float32()), ("DAT_SCL", "f4", pa.float32()), ("DAT_WTS", "f4", pa.float32()), ("DAT_FREQ", "f8", pa.float64()))]
-                yield pa.RecordBatch.from_arrays([pa.array([isub], pa.int32()), pa.array([row["DATA"].tobytes()], pa.binary()), *lists], ["isub", "data", "dat_offs", "dat_scl", "dat_wts", "dat_freq"])
+                lists = {c.lower(): pa.array([row[c].astype(k)], pa.list_(t)) for c, k, t in _LISTS}
+                own = {"isub": pa.array([isub], pa.int32()), "data": pa.array([row["DATA"].tobytes()], pa.binary()), **lists}
+                yield pa.RecordBatch.from_pydict({"path": pa.array([partition.path]), **own} if self.with_path else own)
 
 
 class Subints(DataSource):
@@ -137,12 +150,37 @@ class Subints(DataSource):
         return "psrfits"
 
     def schema(self) -> str:
-        return SUBINTS
+        return f"path string, {SUBINTS}" if self.options.get("with_path", "false") == "true" else SUBINTS
 
     def reader(self, schema) -> SubintReader:
         return SubintReader(self.options)
 
 
+def read(spark: SparkSession, path: str, factory: str | None = None, with_path: bool = False) -> DataFrame:
+    """The sub-integrations of all files that ``path`` names."""
+    spark.dataSource.register(Subints)
+    options = {"with_path": str(with_path).lower()} | ({"filesystem": factory} if factory else {})
+    return spark.read.format("psrfits").options(**options).load(path)
+
+
+def header_cards(spark: SparkSession, path: str, factory: str | None = None) -> DataFrame:
+    """(path, unit, key, value) of the cards of all files that ``path`` names; unit is PRIMARY or SUBINT.
+
+    A task reads the headers of its files alone.
+    """
+    files = spark.createDataFrame([(x,) for x in stores.paths(path, ".fits", factory)], "path string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name in batch.column("path").to_pylist():
+                found = SearchFile.open(name, factory)
+                rows += [(name, unit, k, str(v)) for unit, held in (("PRIMARY", found.primary), ("SUBINT", found.table)) for k, v in held.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(4)], ["path", "unit", "key", "value"])
+
+    return files.repartition(max(1, min(200, files.count()))).mapInArrow(run, "path string, unit string, key string, value string")
+
+
 def window(detect_s: float, window_s: float, subint_s: float, n: int) -> tuple[int, int]:
     """First and last sub-integration of a time window, for the reader's options."""
     return max(0, int((detect_s - window_s) // subint_s)), min(n - 1, int((detect_s + window_s) // subint_s))

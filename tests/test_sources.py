@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberwave.functions import coords, names
-from emberwave.operators import candidates, catalogue, graph, runs
+from emberwave.operators import candidates, catalogue, graph, runs, subints
+from emberwave.plans import downsample
 from emberwave.sources import psrfits, sigproc, textfiles
 
 HEADER = {"telescope_id": 11, "source_name": "B0000+00", "src_raj": 123456.7, "src_dej": -12345.6, "tstart": 58000.5, "tsamp": 0.00786432, "fch1": 150.0, "foff": -0.5, "nchans": 4, "nifs": 1, "npuls": 2**40}
@@ -139,9 +140,9 @@ def _fits(path, nsub=3, nchan=4, nsblk=8):
     table = [
         "XTENSION= 'BINTABLE'", card("BITPIX", 8), card("NAXIS", 2), card("NAXIS1", len(rows) // nsub), card("NAXIS2", nsub), card("PCOUNT", 0), card("GCOUNT", 1), card("TFIELDS", 5),
         "TTYPE1  = 'DAT_FREQ'", f"TFORM1  = '{nchan}D'", "TTYPE2  = 'DAT_WTS '", f"TFORM2  = '{nchan}E'", "TTYPE3  = 'DAT_OFFS'", f"TFORM3  = '{nchan}E'", "TTYPE4  = 'DAT_SCL '", f"TFORM4  = '{nchan}E'", "TTYPE5  = 'DATA    '", f"TFORM5  = '{raw.shape[1]}B'",
-        "EXTNAME = 'SUBINT  '", card("NBITS", 2), card("NCHAN", nchan), card("NSBLK", nsblk), card("TBIN", 1e-3),
+        "EXTNAME = 'SUBINT  '", card("NBITS", 2), card("NCHAN", nchan), card("NSBLK", nsblk), card("TBIN", 1e-3), card("CHAN_BW", 0.0122),
     ]
-    path.write_bytes(unit([card("SIMPLE", True), card("BITPIX", 8), card("NAXIS", 0), card("OBSFREQ", 150.0), "SRC_NAME= 'it''s'"]) + unit(table, rows))
+    path.write_bytes(unit([card("SIMPLE", True), card("BITPIX", 8), card("NAXIS", 0), card("OBSFREQ", 150.0), "SRC_NAME= 'it''s'", "RA      = '12:34:56.5'", "DEC     = '-01:02:03.5'", "DATE-OBS= '2017-09-04T12:00:00'"]) + unit(table, rows))
     return raw
 
 
@@ -163,6 +164,41 @@ def test_psrfits(spark, tmp_path):
     assert psrfits.window(10.0, 2.0, 1.0, 11) == (8, 10)
 
 
+@pytest.mark.parametrize("dc", [False, True])
+def test_downsampling_equals_numpy(spark, tmp_path, dc):
+    """A search file to a filterbank: bytes, scales, both means, the order of channels and the header."""
+    path = str(tmp_path / "a.fits")
+    raw = _fits(tmp_path / "a.fits", nsub=5, nchan=32, nsblk=12)
+    downsample.downsample(spark, path, str(tmp_path / "a.fil"), 4, 3, dc)
+    found, x = psrfits.SearchFile.open(path), []
+    with open(path, "rb") as file:
+        for isub in range(5):
+            x.append(psrfits.averaged(psrfits.spectra(found.row(file, isub), 32, 2), 4, 3, dc)[:, ::-1])
+    got = [r.spectrum for r in sigproc.read(spark, str(tmp_path / "a.fil")).orderBy("t").collect()]
+    assert np.allclose(got, np.concatenate(x)) and len(raw) == 5
+    head = sigproc.layout(str(tmp_path / "a.fil")).header
+    bw = 0.1953125 / 16
+    assert (head["nchans"], head["foff"], head["fch1"], head["tstart"]) == (8, -4 * bw, 150.0 - bw * 16 + bw * 32, 58000.5)
+    assert (head["source_name"], head["src_raj"], head["src_dej"]) == ("it's", 123456.5, -10203.5) and head["tsamp"] == pytest.approx(round(3e-3 / 5.12e-6) * 5.12e-6)
+    plan = subints.averaged_spectra(spark.createDataFrame([], psrfits.SUBINTS), 32, 12, 2, 4, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    cards = {(r.unit, r.key): r.value for r in psrfits.header_cards(spark, str(tmp_path)).collect()}
+    assert cards["PRIMARY", "SRC_NAME"] == "it's" and cards["SUBINT", "NCHAN"] == "32"
+
+
+def test_samples_of_all_depths(spark):
+    values = np.array([0.0, -0.0, 1.5, -2.75, 3.4e38, 1e-45, -1e-40, np.inf, -np.inf, np.nan, 0.1], "f4")
+    data = values.astype(">f4").tobytes()
+    frame = spark.createDataFrame([(bytearray(data), bytearray(range(256)), bytearray())], "a binary, b binary, c binary")
+    row = frame.select(subints.samples(F.col("a"), -32).alias("a"), subints.samples(F.col("b"), 8).alias("b"), subints.samples(F.col("b"), 2).alias("p"), *(subints.samples(F.col("c"), n).alias(f"c{n}") for n in (8, 2, -32))).first()
+    assert np.array_equal(np.array(row.a, "f4"), values, equal_nan=True) and row.b == [float(k) for k in range(256)]
+    assert row.p == [float((k >> s & 3) << 6) for k in range(256) for s in (6, 4, 2, 0)] and row.c8 == row.c2 == row["c-32"] == []
+    with pytest.raises(ValueError, match="depth"):
+        subints.samples(F.col("a"), 16)
+    with pytest.raises(ValueError, match="divide"):
+        subints.averaged_spectra(frame, 4, 8, 8, 3, 4)
+
+
 def test_unpacking(spark):
     frame = spark.createDataFrame([(0b00011011,)], "byte int")
     from emberwave.operators import prep
