@@ -1,7 +1,7 @@
 """Preparing spectra: scaling, block averages, flat field, normalisation.
 
 Long spectra have a row per (beam, chan, t) with value x; null marks a missing sample. Array spectra
-have a row per (beam, chan) with x as an array.
+have a row per (beam, chan) with x as an array; block spectra have one per (beam, chan, block), a block of so many times.
 """
 
 from __future__ import annotations
@@ -86,6 +86,56 @@ def flat_fielded(spectrum: DataFrame, mean: DataFrame) -> DataFrame:
     return spectrum.join(mean, ["chan", "t"]).withColumn("x", F.try_divide("x", "mean_x")).drop("mean_x")
 
 
+def time_blocks(spectrum: DataFrame, length: int, *keys: str) -> DataFrame:
+    """(keys, block, x) of long spectra (keys, t, x): ``length`` samples a row, null where one is missing, the last block shorter."""
+    held = spectrum.select(*keys, F.expr(f"t div {length}").alias("block"), (F.col("t") % length).cast("int").alias("_k"), "x")
+    found = held.groupBy(*keys, "block").agg(F.map_from_entries(F.collect_list(F.struct("_k", "x"))).alias("_at"), F.max("_k").alias("_last"))
+    return found.select(*keys, "block", F.transform(F.sequence(F.lit(0), "_last"), lambda k: F.try_element_at("_at", k)).alias("x"))
+
+
+def from_blocks(blocks: DataFrame, length: int, *keys: str) -> DataFrame:
+    """Long spectra (keys, t, x) of block spectra; missing samples are rows of null."""
+    return blocks.select(*keys, "block", F.posexplode("x").alias("_k", "x")).select(*keys, (F.col("block") * length + F.col("_k")).cast("long").alias("t"), "x")
+
+
+def _added(a: Column, b: Column) -> Column:
+    """Sums of two arrays place by place; what one lacks does not count."""
+    return F.zip_with(a, b, lambda p, q: F.coalesce(p + q, p, q))
+
+
+def mean_beam_blocks(blocks: DataFrame, length: int, first: int = 13, last: int = 73, fill: bool = True) -> DataFrame:
+    """(chan, block, mean_x): the mean of the central beams as block spectra, short beams filled with their channel's mean.
+
+    As ``mean_beam``, with arrays: a group holds the blocks of the beams, which are few, at one channel and time. The fills
+    of beams that have ended come from the sum over earlier blocks and from the ends inside the block. Without ``fill``
+    the mean is of the beams that have a sample.
+    """
+    central = blocks.where(F.col("beam").between(first, last))
+    added = lambda column: F.aggregate(F.collect_list(column), F.array().cast("array<double>"), _added)
+    if not fill:
+        counted = central.withColumn("n", F.transform("x", lambda v: F.when(v.isNotNull(), F.lit(1.0))))
+        sums = counted.groupBy("chan", "block").agg(added(F.col("x")).alias("s"), added(F.col("n")).alias("n"))
+        return sums.select("chan", "block", F.zip_with("s", "n", lambda s, n: s / n).alias("mean_x"))
+    total = F.aggregate("x", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0)))
+    held = central.select("beam", "chan", "block", "x", total.alias("total"), F.size(F.filter("x", lambda v: v.isNotNull())).alias("n"), (F.col("block") * length + F.size("x")).alias("past"))
+    ends = held.groupBy("beam", "chan").agg(F.max("past").alias("past"), F.try_divide(F.sum("total"), F.sum("n")).alias("fill"))
+    n_beams = central.agg(F.countDistinct("beam").alias("n_beams"))
+    ended = ends.groupBy("chan", F.expr(f"past div {length}").alias("block")).agg(F.sum("fill").alias("fills"), F.collect_list(F.struct((F.col("past") % length).alias("at"), "fill")).alias("inside"))
+    sums = held.groupBy("chan", "block").agg(added(F.col("x")).alias("s"))
+    earlier = Window.partitionBy("chan").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    met = sums.join(ended, ["chan", "block"], "full_outer").withColumn("before", F.coalesce(F.sum("fills").over(earlier), F.lit(0.0))).where("s IS NOT NULL")
+    fills = lambda k: F.aggregate(F.coalesce("inside", F.array()), F.col("before"), lambda a, e: F.when(e["at"] <= k, a + F.coalesce(e["fill"], F.lit(0.0))).otherwise(a))
+    mean = F.transform("s", lambda v, k: (v + fills(k)) / F.col("n_beams"))
+    return met.join(F.broadcast(n_beams)).select("chan", "block", mean.alias("mean_x"))
+
+
+def flat_fielded_blocks(blocks: DataFrame, mean: DataFrame) -> DataFrame:
+    """Block spectra over the mean beam's, null where that is 0. Samples past its end are cut off; none leaves its array."""
+    met = blocks.join(mean, ["chan", "block"])
+    cut = F.least(F.size("x"), F.size("mean_x"))
+    return met.withColumn("x", F.zip_with(F.slice("x", F.lit(1), cut), F.slice("mean_x", F.lit(1), cut), F.try_divide)).drop("mean_x")
+
+
 def fitted_length(x: Column, n: int) -> Column:
     """An array cut or filled with its mean to ``n`` values."""
     mean = F.aggregate(x, F.lit(0.0), lambda a, b: a + b) / F.size(x)

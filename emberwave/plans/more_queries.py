@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberwave.functions import messages
-from emberwave.operators import candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs, subints
+from emberwave.operators import asof, candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs, subints
 from emberwave.plans import oracle, search, settings, views
 from emberwave.plans.shared import saved, shared_dir
 from emberwave.sources import discover, sigproc, stores, textfiles
@@ -367,8 +367,9 @@ def first_beams(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(f"WITH {oracle._SAMPLES}, b AS (SELECT chan % 4 AS beam, chan // 4 AS chan, t, x FROM samples), m AS (SELECT chan, t, avg(x) AS m FROM b GROUP BY chan, t) SELECT beam, b.chan, b.t, round(CASE WHEN m <> 0 THEN x / m END, 6) + 0 AS x FROM b JOIN m ON m.chan = b.chan AND m.t = b.t")
 def flatfield_unpadded(spark: SparkSession, sf_dir: str) -> DataFrame:
     beams = views.samples(spark, sf_dir).select((F.col("chan") % 4).alias("beam"), F.expr("chan div 4").alias("chan"), "t", "x")
-    mean = saved(prep.plain_mean_beam(beams), "mean")
-    return _rounded(prep.flat_fielded(beams, mean), 6, "x")
+    blocks = saved(prep.time_blocks(beams, 256, "beam", "chan"), "blocks")
+    flat = prep.flat_fielded_blocks(blocks, prep.mean_beam_blocks(blocks, 256, 0, 73, fill=False))
+    return _rounded(prep.from_blocks(flat, 256, "beam", "chan"), 6, "x")
 
 
 @_query(
@@ -501,3 +502,39 @@ def follow_up_of_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cands = spark.createDataFrame([(14, 60.7, 12.0, 8)], "beam int, dm double, time double, filter_width int")
     found = search.follow_up(cands, spectra, TSAMP)
     return found.select(F.col("other").cast("long").alias("other"), F.col("rank").cast("long").alias("rank"), (F.col("sn") > 7).alias("seen"))
+
+
+# Times and places.
+
+_SEEN = """seen AS (SELECT user_id % 73 AS beam, CAST(epoch_us(ts) // 1000 % 3600000 AS DOUBLE) / 1000 AS time, min(event_id) AS event, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2)"""
+
+
+@_query(
+    f"""WITH {oracle._CANDS}, {_SEEN}, b AS (SELECT c.*, s.time AS b_time, s.event AS b_event FROM cands c ASOF LEFT JOIN seen s ON s.beam = c.beam AND s.time <= c.time),
+ a AS (SELECT b.*, s.time AS a_time, s.event AS a_event FROM b ASOF LEFT JOIN seen s ON s.beam = b.beam AND s.time > b.time)
+ SELECT beam, time, sample, b_event AS last_event, a_event AS next_event, CASE WHEN b_time IS NULL OR a_time - time < time - b_time THEN a_event ELSE b_event END AS nearest_event FROM a"""
+)
+def events_of_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each candidate with the last, the next and the nearest event of its beam."""
+    seen = views.table(spark, sf_dir, "events").select((F.col("user_id") % 73).alias("beam"), (F.expr("unix_micros(CAST(ts AS TIMESTAMP)) div 1000 % 3600000").cast("double") / 1000).alias("time"), F.col("event_id").alias("event"))
+    seen = saved(seen.groupBy("beam", "time").agg(F.min("event").alias("event")), "seen")
+    cands = views.candidates(spark, sf_dir).select("beam", "time", "sample")
+    for direction in ("backward", "forward", "nearest"):
+        cands = asof.asof(cands, seen, "beam", direction=direction, prefix=f"{direction}_")
+    return cands.select("beam", "time", "sample", F.col("backward_event").alias("last_event"), F.col("forward_event").alias("next_event"), F.col("nearest_event"))
+
+
+#: Parts and suppliers all over the sphere, poles and both sides of 0 among them.
+_SKY = {"part": "p_partkey", "supplier": "s_suppkey"}
+_PLACE = "CAST(({key} * 7919) % 36000 AS DOUBLE) / 100 AS ra_deg, CAST(({key} * 104729) % 18001 AS DOUBLE) / 100 - 90 AS dec_deg"
+
+
+@_query(
+    f"""WITH s AS (SELECT p_partkey AS source, {_PLACE.format(key="p_partkey")} FROM part), c AS (SELECT s_suppkey AS centre, {_PLACE.format(key="s_suppkey")} FROM supplier),
+ met AS (SELECT centre, source, degrees(2 * asin(least(1, sqrt(power(sin(radians(s.dec_deg - c.dec_deg) / 2), 2) + cos(radians(c.dec_deg)) * cos(radians(s.dec_deg)) * power(sin(radians(s.ra_deg - c.ra_deg) / 2), 2))))) AS sep FROM c, s)
+ SELECT centre, source, round(sep, 5) + 0 AS sep_deg FROM met WHERE sep <= 5"""
+)
+def cone_match_of_the_sphere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts within five degrees of each supplier, as places all over the sphere."""
+    at = {name: views.table(spark, sf_dir, name).selectExpr(f"{key} AS {'source' if name == 'part' else 'centre'}", *(x.strip() for x in _PLACE.format(key=key).split(", CAST")[:1]), "CAST" + _PLACE.format(key=key).split(", CAST")[1]) for name, key in _SKY.items()}
+    return _rounded(catalogue.cone_match(at["supplier"], at["part"]).select("centre", "source", "sep_deg"), 5, "sep_deg")

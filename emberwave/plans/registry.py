@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from emberwave.functions import coords, names
 from emberwave.operators import candidates, catalogue, cluster, crossbeam, dedisperse, detrend, diag, matched, prep, rfi, runs
 from emberwave.plans import more_queries, oracle, settings, views
+from emberwave.plans.shared import saved
 
 FLAGSHIP = "labelled_detections"
 BLOCK = 50
@@ -188,8 +189,10 @@ def _beams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def flatfield(spark: SparkSession, sf_dir: str) -> DataFrame:
-    beams = _beams(spark, sf_dir)
-    return _rounded(prep.flat_fielded(beams, prep.mean_beam(beams)), 6, "x")
+    """In blocks of 256 times: what is divided are arrays."""
+    blocks = saved(prep.time_blocks(_beams(spark, sf_dir), 256, "beam", "chan"), "blocks")
+    flat = prep.flat_fielded_blocks(blocks, prep.mean_beam_blocks(blocks, 256))
+    return _rounded(prep.from_blocks(flat, 256, "beam", "chan"), 6, "x")
 
 
 @_query

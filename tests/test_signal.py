@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from emberwave.operators import cluster, crossbeam, cutouts, dedisperse, detrend, diag, matched, prep, rfi
+from emberwave.operators import asof, catalogue, cluster, crossbeam, cutouts, dedisperse, detrend, diag, matched, prep, rfi
 from emberwave.plans import settings
 
 TSAMP = 0.00786432
@@ -132,6 +132,57 @@ def test_flat_field_with_a_short_beam(spark):
     assert prep.flat_fielded(frame, prep.mean_beam(frame)).where("beam = 5").count() == 12
 
 
+@pytest.mark.parametrize("length", [1, 3, 4, 5, 100])
+def test_flat_field_of_blocks_equals_that_of_samples(spark, length):
+    """Beams that end inside a block, at its edge and blocks before the others, and missing samples."""
+    draw = np.random.default_rng(3)
+    ends = {13: 17, 14: 12, 15: 4, 16: 1, 73: 17, 5: 20}
+    rows = [(b, c, t, None if draw.random() < 0.1 else float(draw.uniform(1, 2))) for b, n in ends.items() for c in range(3) for t in range(n)]
+    frame = spark.createDataFrame(rows, "beam int, chan int, t long, x double")
+    blocks = prep.time_blocks(frame, length, "beam", "chan")
+    assert {tuple(r) for r in prep.from_blocks(blocks, length, "beam", "chan").select("beam", "chan", "t", "x").collect()} == set(rows)
+    for mean, of_blocks in ((prep.mean_beam(frame), prep.mean_beam_blocks(blocks, length)), (prep.plain_mean_beam(frame), prep.mean_beam_blocks(blocks, length, 0, 73, fill=False))):
+        want = {(r.beam, r.chan, r.t): r.x for r in prep.flat_fielded(frame, mean).collect()}
+        flat = prep.flat_fielded_blocks(blocks, of_blocks)
+        assert "posexplode" not in flat._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r.beam, r.chan, r.t): r.x for r in prep.from_blocks(flat, length, "beam", "chan").collect()}
+        assert got.keys() == want.keys() and all(got[k] == (want[k] and pytest.approx(want[k], rel=1e-12)) for k in want)
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+def test_asof_by_hand(spark, direction):
+    draw = np.random.default_rng(4)
+    left = [(None if k % 50 == 0 else int(draw.integers(0, 3)), None if k % 31 == 0 else float(draw.integers(0, 40)) / 2, k) for k in range(400)] + [(9, 1.0, 1000)]
+    right = [(None if k % 20 == 0 else int(draw.choice([0, 0, 0, 1, 7])), None if k % 37 == 0 else float(draw.integers(0, 30)) / 2 + 3, k) for k in range(120)]
+
+    def pick(key, t):
+        held = sorted((x for x in right if x[0] == key and x[1] is not None), key=lambda x: (x[1], x[2]))
+        last = next((x for x in reversed(held) if t is not None and x[1] <= t), None)
+        after = next((x for x in held if t is not None and x[1] > t), None)
+        if direction != "nearest":
+            return last if direction == "backward" else after
+        return last if last and (not after or t - last[1] <= after[1] - t) else after
+
+    a, b = spark.createDataFrame(left, "k int, time double, id int"), spark.createDataFrame(right, "k int, time double, id int")
+    got = {r.id: (r.r_time, r.r_id) for r in asof.asof(a.repartition(7), b.repartition(5), "k", direction=direction).collect()}
+    assert got == {i: (pick(k, t) or (None, None, None))[1:] for k, t, i in left}
+    assert asof.asof(a, b.limit(0), "k", direction=direction).where("r_id IS NULL").count() == 401 and asof.asof(a.limit(0), b, "k").count() == 0
+
+
+def test_cones_reach_over_poles_and_around(spark):
+    draw = np.random.default_rng(5)
+    z = draw.uniform(-1, 1, 3000)
+    places = [(k, float(draw.uniform(-360, 720)), float(np.degrees(np.arcsin(v)))) for k, v in enumerate(z)] + [(9000, 10.0, 90.0), (9001, 200.0, -90.0), (9002, 0.0, 0.0), (9003, 359.999, 0.0), (9004, 360.0, 5.0)]
+    frame = spark.createDataFrame(places, "centre int, ra_deg double, dec_deg double")
+    for radius in (5.0, 0.7, 40.0):
+        centres = frame.where("centre % 40 = 0 OR centre >= 9000")
+        got = {(r.centre, r.source) for r in catalogue.cone_match(centres, frame.withColumnRenamed("centre", "source"), radius).select("centre", "source").collect()}
+        ra, dec = np.radians([p[1] for p in places]), np.radians([p[2] for p in places])
+        v = np.c_[np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)]
+        want = {(places[i][0], places[j][0]) for i in range(len(places)) if places[i][0] % 40 == 0 or places[i][0] >= 9000 for j in np.flatnonzero(2 * np.arcsin(np.minimum(1, np.linalg.norm(v - v[i], axis=1) / 2)) <= np.radians(radius))}
+        assert len(got ^ want) <= len(want) // 10_000 and len(want) > 70
+
+
 def test_clusters_are_components(spark):
     draw = np.random.default_rng(6)
     points = [(1, float(round(d, 1)), 7.0, float(round(t, 1)), k, 1) for k, (d, t) in enumerate(draw.uniform((0, 0), (12, 60), (250, 2)))]
