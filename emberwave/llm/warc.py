@@ -46,8 +46,6 @@ _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title>", re.IGNORECASE | re.DOTALL)
 _LINK = re.compile(r"<a\s[^>]*?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", re.IGNORECASE)
 _META = re.compile(rb"<meta\s[^>]*?charset\s*=\s*[\"']?\s*([A-Za-z0-9_:.-]+)", re.IGNORECASE)
 _HEAD_END = re.compile(rb"\r?\n\r?\n")
-#: Bytes of a page in which a meta element may name its charset, as browsers look for it.
-META_BYTES = 1024
 _BOMS = ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16"))
 
 
@@ -91,19 +89,27 @@ def _unchunked(body: bytes) -> bytes:
 
 
 def _inflated(body: bytes, coding: str) -> bytes:
-    """A body without its content coding; what cannot be read of it stays as it is, or is cut where it ends."""
+    """A body without its content coding, of all its members; what cannot be read of it stays as it is, or is cut where it ends."""
     for window in {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(coding, ()):
-        try:
-            return zlib.decompressobj(window).decompress(body)
-        except zlib.error:
-            continue
+        parts, rest = [], body
+        while rest:
+            member = zlib.decompressobj(window)
+            try:
+                parts.append(member.decompress(rest))
+            except zlib.error:
+                break
+            # Members follow each other, with zeros between them at most; what is no member ends them.
+            rest = member.unused_data.lstrip(b"\0") if member.eof and window == 31 else b""
+        if parts:
+            return b"".join(parts)
     return body
 
 
 def decoded(headers: list[tuple[str, str]], body: bytes) -> tuple[str, str]:
     """The text of a body, out of its transfer and content codings, and the charset it was read by.
 
-    A byte order mark comes first, then the header's charset, then a meta element's; without any, or where
+    A byte order mark comes first, then the header's charset, then the first that a meta element names, wherever it
+    stands; without any, or where
     the name is unknown, the text is UTF-8, or Windows-1252 if it is none.
     """
     by_name = {n.lower(): v for n, v in headers}
@@ -112,7 +118,7 @@ def decoded(headers: list[tuple[str, str]], body: bytes) -> tuple[str, str]:
     for coding in reversed(by_name.get("content-encoding", "").lower().split(",")):
         body = _inflated(body, coding.strip())
     named = re.search(r"charset\s*=\s*[\"']?([^\s\"';,]+)", by_name.get("content-type", ""), re.IGNORECASE)
-    meta = _META.search(body[:META_BYTES])
+    meta = _META.search(body)
     said = [named and named[1], meta and meta[1].decode("ascii")]
     for name in [name for mark, name in _BOMS if body.startswith(mark)] + [x for x in said if x]:
         try:
