@@ -2,7 +2,8 @@
 
 Three patterns find assignments, access keys and long hexadecimal runs. Apart from them, every run of key
 characters, dots between them included, is coded with a public byte-pair vocabulary: prose and names take
-several characters a token, random strings fewer than two. Runs that are a known digest or identifier are
+several characters a token, random strings fewer than two. Where a run as a whole does not tell, each of its parts
+between separators is judged alone, so a key is found in a path or behind words too. Runs that are a known digest or identifier are
 excluded first; a run with the form of a name is one only if the words it is made of take several characters
 a token as well, and a digest by its length is none where an assignment's name says that it is a secret.
 The two findings are told side by side: a key that a pattern finds and whose token ratio is low has both spans.
@@ -30,12 +31,17 @@ _ASSIGN = re.compile("(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]+")
 _RUN = re.compile("[A-Za-z0-9+/_=-]+(?:\\.[A-Za-z0-9+/_=-]+)*")
+#: What stands between separators in a run, where there are any.
+_PART = re.compile("[A-Za-z0-9+]+")
 _LONG = {"access": re.compile("AKIA[A-Z0-9]{16}"), "hex": re.compile("[0-9a-f]{24}"), "random": re.compile("[A-Za-z0-9+/_=.-]{20}")}
 
 #: Hexadecimal digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGEST_DIGITS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DIGEST = re.compile("[0-9a-f]+|[0-9A-F]+")
+_INSIDE = re.compile(
+    f"(?<![A-Za-z0-9])(?:{_UUID.pattern}|" + "|".join(f"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGEST_DIGITS) + ")(?![A-Za-z0-9])"
+)
 _NUMBER = re.compile("[0-9+/_=.-]+")
 #: Names: parts of letters in one case or capitalised, or of a few digits, joined by separators or case.
 _NAME = re.compile(
@@ -95,8 +101,20 @@ def known(run: str, test: Test = Test(), named: bool = False) -> bool:
     return sum(map(len, words)) >= test.ratio * sum(_tokens(x, test) for x in words)
 
 
+def _is_random(run: str, test: Test, named: bool) -> bool:
+    return len(run) >= test.least and len(run) < test.ratio * _tokens(run, test) and not known(run, test, named)
+
+
+def _unknown(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """What is left of a run between the digests and UUIDs that are parts of it."""
+    for m in _INSIDE.finditer(text, start, end):
+        yield start, m.start()
+        start = m.end()
+    yield start, end
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], test: Test) -> list[tuple[int, int, int]]:
-    """Spans of random runs; ``base`` has the patterns' spans, of which assignments tell what is named a secret."""
+    """Spans of random runs, or else of the random parts of a run; ``base`` has the patterns' spans, of which assignments tell what is named a secret."""
     if not _LONG["random"].search(text):
         return []
     found = []
@@ -107,8 +125,13 @@ def random_spans(text: str, base: list[tuple[int, int, int]], test: Test) -> lis
         while at < len(named) and named[at][1] <= start:
             at += 1
         inside = at < len(named) and named[at][0] < end
-        if end - start >= test.least and end - start < test.ratio * _tokens(m.group(), test) and not known(m.group(), test, inside):
-            found.append((start, 3, end))
+        if end - start < test.least:
+            continue
+        for low, high in [(start, end)] if inside else _unknown(text, start, end):
+            if _is_random(text[low:high], test, inside):
+                found.append((low, 3, high))
+            else:
+                found += [(p.start(), 3, p.end()) for p in _PART.finditer(text, low, high) if p.end() - p.start() >= test.least and _is_random(p.group(), test, inside)]
     return found
 
 

@@ -95,7 +95,10 @@ def test_random_spans_by_hand(docs, rows):
         for m in re.finditer("[A-Za-z0-9+/_=-]+(?:\\.[A-Za-z0-9+/_=-]+)*", text):
             run = m[0]
             inside = any(s < m.end() and m.start() < e for s, e in named)
-            n += len(run) >= 20 and len(run) < 2.0 * len(coder.encode_ordinary(run)) and not secrets.known(run, secrets.Test(), inside)
+            random = lambda x: len(x) >= 20 and len(x) < 2.0 * len(coder.encode_ordinary(x)) and not secrets.known(x, secrets.Test(), inside)  # noqa: B023, E731
+            known = r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})(?![A-Za-z0-9])"
+            for piece in [run] if inside else re.split(known, run):
+                n += 1 if random(piece) else sum(map(random, re.findall("[A-Za-z0-9+]+", piece)))
         want[doc_id, n] += 1
     assert by_row(secrets.scan(docs), "doc_id", "n_random") == want and any(n for _, n in want)
 
@@ -122,6 +125,21 @@ def test_what_the_patterns_miss():
         assert len(secrets.random_spans(text, secrets.base_spans(text), test)) == n
 
 
+def test_keys_inside_longer_runs():
+    """A key in a path, in a URL's query, and behind words: its part is judged alone. Plain paths and names stay."""
+    import random
+    import string
+
+    draw, test = random.Random(8), secrets.Test()
+    key = lambda n: "".join(draw.choices(string.ascii_letters + string.digits, k=n))
+    forms = ("/srv/data/projects/keys/{}/index.html", "https://example.com/a/long/path/to/it?session={}&x=1", "some-long-words-before-{}", "other_long_words_before_it_{}_after", "home/user/.config/{}")
+    for form in forms:
+        texts = [f"see {form.format(key(24))} there" for _ in range(100)]
+        assert sum(bool(secrets.random_spans(x, [], test)) for x in texts) >= 97
+    plain = ["/usr/share/documentation/programming/index.html", "my_very_long_identifier_name_of_things", "/objects/d41d8cd98f00b204e9800998ecf8427e/raw", "urn/uuid/550e8400-e29b-41d4-a716-446655440000", "internationalization/getUserAccountInformation/implementation"]
+    assert not any(secrets.random_spans(x, [], test) for x in plain)
+
+
 def test_random_strings_and_names():
     import random
     import string
@@ -135,6 +153,21 @@ def test_random_strings_and_names():
         assert not secrets.random_spans(name, [], test)
 
 
+def test_bodies_of_many_members_and_late_charsets():
+    import gzip
+    import zlib as z
+
+    halves = [b"first half, ", "second h\u00e4lf".encode()]
+    gz = [("Content-Encoding", "gzip")]
+    whole = b"".join(map(gzip.compress, halves))
+    assert warc.decoded(gz, whole)[0] == warc.decoded(gz, whole + b"\0" * 20)[0] == warc.decoded(gz, whole + b"rubbish")[0] == "first half, second h\u00e4lf"
+    assert warc.decoded(gz, gzip.compress(halves[0]) + gzip.compress(halves[1])[:-9])[0].startswith("first half, ")
+    assert warc.decoded([("Content-Encoding", "deflate")], z.compress(halves[0]))[0] == "first half, "
+    assert warc.decoded(gz, b"plain")[0] == "plain" and warc.decoded(gz, b"")[0] == ""
+    late = ("<html><!--" + "x" * 5000 + "--><meta charset='koi8-r'><p>").encode() + "\u043f\u0440\u0438\u0432\u0435\u0442".encode("koi8-r")
+    assert warc.decoded([], late)[0].endswith("\u043f\u0440\u0438\u0432\u0435\u0442") and warc.decoded([], late)[1] == "koi8-r"
+
+
 def test_random_letters_of_one_case():
     import random
     import string
