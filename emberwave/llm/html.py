@@ -7,7 +7,9 @@ that copies of a page make no template. This comes first, and over the whole pag
 navigation, forms, scripts, adverts by class and the like, as where a host has few pages or their texts
 differ, goes by what HTML itself says of an element.
 
-Where a page names its content (article, main), text outside it is not content, and the prose inside it
+Where a page names its content (article, main), the one with the most prose of its own is taken, with articles of
+like size beside it or in it; cards that are links for the most part, or hold next to no prose against it, are none.
+Text outside it is not content, and the prose inside it
 (paragraphs, headings, quotations, code, and the lists and tables among them) is never taken for a template,
 whatever box it is in, as an article recurs too where several pages show it.
 
@@ -66,6 +68,14 @@ HINTS = frozenset(
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related recommended "
     "reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Words that say where or how such an element stands, and nothing about what it holds: comments-area, ad-slot, site-footer.
+STANDS = frozenset(
+    "area article bar block body bottom box container entry fixed global inner item items left links list main menu outer page panel post primary region right row secondary section site slot sticky top unit "
+    "user users view wrap wrapper zone".split()
+)
+#: A card is an article of which so much is link text, or that has so little prose against the page's largest. A named
+#: element that holds most of a page goes if what is left has so much of its prose.
+CARD_LINKS, CARD_PROSE, LEFT_PROSE = 1 / 3, 0.1, 0.1
 HEADERS = frozenset("header site-header page-header main-header".split())
 #: Starting one of these ends an open element of the second kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -74,14 +84,16 @@ CLOSES_P = BLOCK - {"br", "body", "html", "caption", "td", "th", "tr", "tbody",
 
 
 class Node:
-    __slots__ = ("around", "children", "content", "drop", "full", "hash", "hints", "holds", "names", "parent", "size", "tag")
+    __slots__ = ("around", "card", "children", "content", "drop", "full", "hash", "hints", "holds", "linked", "names", "parent", "prose", "size", "tag")
 
     def __init__(self, tag: str, hints: str = "", drop: bool = False, names: tuple[str, ...] = ()) -> None:
         self.tag, self.hints, self.drop, self.names, self.children, self.parent = tag, hints, drop, names, [], None
         #: Hash of the subtree, size of its text that may be shown, and of all its text.
         self.hash = self.size = self.full = 0
-        #: Whether it has prose in it, is named content, and is around some.
-        self.holds = self.content = self.around = False
+        #: Of the text that may be shown, that in paragraphs and headings, and that of links.
+        self.prose = self.linked = 0
+        #: Whether it has prose in it, is named content, is around some, and is an article that is a card.
+        self.holds = self.content = self.around = self.card = False
 
 
 def _node(tag: str, rest: str) -> Node:
@@ -98,8 +110,8 @@ def _node(tag: str, rest: str) -> Node:
 
 
 def _hinted(node: Node) -> bool:
-    """Whether one of an element's names, as a whole, says that it is none of the article."""
-    return any(words and HINTS.issuperset(words) for words in map(_TOKENS.findall, node.names))
+    """Whether one of an element's names says that it is none of the article, and at most where it stands besides."""
+    return any(not HINTS.isdisjoint(words) and all(x in HINTS or x in STANDS for x in words) for words in map(_TOKENS.findall, node.names))
 
 
 class _Open:
@@ -182,7 +194,7 @@ def _measure(root: Node) -> None:
     for node, done in _walk(root):
         if not done:
             continue
-        inner, shown, full = [], 0, 0
+        inner, shown, full, prose, linked = [], 0, 0, 0, 0
         for x in node.children:
             if isinstance(x, str):
                 inner.append(" ".join(x.split()))
@@ -190,8 +202,10 @@ def _measure(root: Node) -> None:
                 shown, full = shown + len(x.strip()), full + len(inner[-1])
             else:
                 inner.append(format(x.hash, "x"))
-                shown, full = shown + x.size, full + x.full
+                shown, full, prose, linked = shown + x.size, full + x.full, prose + x.prose, linked + x.linked
         node.size = 0 if node.drop else shown
+        node.prose = node.size if node.tag in PROSE else 0 if node.drop else prose
+        node.linked = node.size if node.tag == "a" else 0 if node.drop else linked
         node.full = 0 if node.tag in CODE else full
         node.hash = _hash("\x1e".join((node.tag, node.hints, "\x1f".join(inner))))
         if node.parent is not None and (node.holds or node.tag in PROSE):
@@ -204,7 +218,7 @@ def _beside(node: Node) -> bool:
 
 
 def _name_content(root: Node) -> bool:
-    """Marks the elements that a page names its content, and all elements around one."""
+    """Marks the elements that a page names its content, all elements around one, and articles that are cards."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
     beside = 0
     for node, done in _walk(root):
@@ -216,7 +230,23 @@ def _name_content(root: Node) -> bool:
         kind = "article" if node.tag == "article" else "main" if node.tag == "main" or "role=main" in node.hints else None
         if kind and not beside:
             found[kind].append(node)
-    chosen = found["article"] or found["main"]
+    articles, mains = found["article"], found["main"]
+    measure = (lambda x: x.prose) if any(x.prose for x in articles + mains) else lambda x: x.size
+    # What a main element holds beside its articles; of articles in articles the inner ones are part of the outer.
+    alone = {id(x): measure(x) for x in mains}
+    for x in articles:
+        above = x.parent
+        while above is not None and above.tag != "article" and id(above) not in alone:
+            above = above.parent
+        if above is not None and id(above) in alone:
+            alone[id(above)] -= measure(x)
+    most = max([0, *map(measure, articles)])
+    in_main = max(mains, key=lambda x: alone[id(x)], default=None)
+    whole_main = in_main is not None and alone[id(in_main)] >= most
+    least = max(most, alone[id(in_main)] if whole_main else 0)
+    for x in articles:
+        x.card = measure(x) < least and (x.linked >= CARD_LINKS * x.size or measure(x) < CARD_PROSE * least)
+    chosen = mains if whole_main else [x for x in articles if not x.card] or articles
     for node in chosen:
         node.content = True
         above = node.parent
@@ -226,6 +256,20 @@ def _name_content(root: Node) -> bool:
     return bool(chosen)
 
 
+def _left_prose(root: Node) -> int:
+    """The prose of a page outside all elements whose names say that they are none of the article."""
+    left = named = inner = 0
+    for node, done in _walk(root):
+        own, prose = _hinted(node) or node.drop, node.tag in PROSE
+        if done:
+            named, inner = named - own, inner - prose
+            continue
+        if prose and not own and not named and not inner:
+            left += node.prose
+        named, inner = named + own, inner + prose
+    return left
+
+
 def _hash(text: str) -> int:
     return xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -244,6 +288,7 @@ class Page:
         root = parse(html)
         _measure(root)
         content = _name_content(root)
+        left = 0 if content else _left_prose(root)
         buffers: tuple[list[str], list[str]] = ([], [])
         opened: list[tuple[int, bool, bool, bool, bool]] = []
         inside = dropped = prose = boxed = 0
@@ -271,9 +316,9 @@ class Page:
             if node.tag in CODE:
                 continue
             header = node.tag == "header" or not HEADERS.isdisjoint(node.names)
-            # A name drops no element that holds most of a page's text, unless the page names its content.
-            named_out = (_hinted(node) or header and not inside) and (content or 2 * node.size <= root.size)
-            out = (node.drop or named_out) and not node.around and not node.content
+            # A name drops no element that holds most of a page's text, unless the page names its content or has prose left.
+            named_out = (_hinted(node) or header and not inside) and (content or 2 * node.size <= root.size or left >= max(1, LEFT_PROSE * node.prose))
+            out = (node.drop or named_out or node.card) and not node.around and not node.content
             safe = content and (node.tag in PROSE or node.tag in LISTS and not boxed)
             # Inside named content prose is safe; what holds it or the content leaves no mark on what it holds.
             template = node is not root and node.full > 0 and not (node.content or node.around or (inside and (prose or safe or node.holds)))

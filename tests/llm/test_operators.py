@@ -153,6 +153,28 @@ def test_random_strings_and_names():
         assert not secrets.random_spans(name, [], test)
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<div><p>{story}</p></div><div class='comments'><p>{talk}</p><p>{talk}</p></div>", "{story}"),
+        ("<article><h1>Head</h1><p>{story}</p><div class='user-comments'><p>{talk}</p></div></article>", "Head {story}"),
+        ("<div><p>{story}</p></div><div class='ad-slot'><p>{talk}</p></div><div id='comments-area'><p>{talk}</p></div><div class='site-footer'><p>{talk}</p></div>", "{story}"),
+        ("<article><p>{story}</p></article><div class='more-stories'><article><h3><a href='/x'>Another story of today</a></h3><p>Short.</p></article></div>", "{story}"),
+        ("<main><p>{story}</p><article><h3><a href='/x'>A card</a></h3><p>Teaser.</p></article></main>", "{story}"),
+        ("<main><div class='lead'><p>{story}</p></div><article><p>{story}</p></article></main>", "{story} {story}"),
+        ("<main><h1>List</h1><article><p>{story}</p></article><article><p>{story}</p></article></main>", "{story} {story}"),
+        ("<div class='widget'><p>{story}</p></div>", "{story}"),
+        ("<div class='layout with-sidebar'><p>{story}</p></div>", "{story}"),
+        ("<article>no paragraphs here</article><article>nor here</article>", "no paragraphs here nor here"),
+    ],
+)
+def test_content_among_what_is_none(page, want):
+    words = {"story": "The council met on Monday and voted on the plan for the harbour. " * 6, "talk": "I do not think so at all and neither should you, my friend. " * 9}
+    found = html.Page(f"<html><body>{page.format(**words)}</body></html>")
+    got = " ".join(text for text, _, listed in found.blocks if not listed)
+    assert got.split() == want.format(**words).split()
+
+
 def test_bodies_of_many_members_and_late_charsets():
     import gzip
     import zlib as z
