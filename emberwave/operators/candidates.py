@@ -71,7 +71,7 @@ def collected(cands: DataFrame) -> DataFrame:
 
 
 def union_beams(lists: dict[int, DataFrame]) -> DataFrame | None:
-    """UNION ALL of lists by beam, the beam prepended; None without lists."""
+    """UNION ALL of lists by beam, the beam prepended; None without lists. Lists in files are read at once by ``textfiles.read_beams``."""
     out = None
     for beam, frame in sorted(lists.items()):
         one = frame.select(F.lit(beam).alias("beam"), *COLUMNS)
@@ -79,11 +79,6 @@ def union_beams(lists: dict[int, DataFrame]) -> DataFrame | None:
     return out
 
 
-def within_limit(cands: DataFrame, settings: Settings = Settings()) -> bool:
-    """Whether a beam has candidates, and no more than can be clustered; reads at most one row over."""
-    return 0 < cands.limit(settings.max_candidates + 1).count() <= settings.max_candidates
-
-
 def beam_summary(cands: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """By beam: candidates after top-k but before the gate, and the highest S/N past the gate, 0 if none."""
     rank = F.row_number().over(Window.partitionBy("beam", "dm").orderBy(*best_first()))

@@ -289,9 +289,14 @@ def group_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(frames.group_frequencies(channels, 4, "beam"), 8, "nu")
 
 
-@_query("WITH p(seg, low_dm, high_dm, ddm, downsample) AS (VALUES " + ", ".join(f"({k}, CAST({s.low_dm} AS DOUBLE), CAST({s.high_dm} AS DOUBLE), CAST({s.ddm} AS DOUBLE), {s.downsample})" for k, s in enumerate(settings.PLAN)) + ") SELECT * FROM p")
+@_query("WITH p(seg, low_dm, high_dm, ddm, downsample) AS (VALUES " + ", ".join(f"({k}, CAST({s.low_dm} AS DOUBLE), CAST({s.high_dm} AS DOUBLE), CAST({s.ddm} AS DOUBLE), {s.downsample})" for k, s in enumerate(settings.PLAN)) + f"), {oracle._CANDS} SELECT p.*, (SELECT count(*) FROM cands WHERE dm >= low_dm AND dm < high_dm) AS n_cands FROM p")
 def settings_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settings.plan_table(spark, settings.Settings.load(settings.Settings().dump()).plan)
+    """The plan of settings that were written and read, with how many candidates lie in each segment."""
+    plan = settings.plan_table(spark, settings.Settings.load(settings.Settings().dump()).plan)
+    # A segment is found by its number, which a CASE over the plan tells.
+    of = F.coalesce(*(F.when((F.col("dm") >= s.low_dm) & (F.col("dm") < s.high_dm), k) for k, s in enumerate(settings.PLAN)))
+    counts = views.candidates(spark, sf_dir).groupBy(of.alias("seg")).agg(F.count("*").alias("n_cands"))
+    return plan.join(counts, "seg", "left").fillna(0, ["n_cands"])
 
 
 # Figures.
@@ -349,12 +354,13 @@ def raw_beam_sn(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Candidates, beams and runs.
 
 
-@_query(f"WITH {oracle._CANDS} SELECT {oracle._COLS} FROM cands WHERE beam < 5")
+@_query(f"WITH {oracle._CANDS} SELECT beam, {_TEXT} FROM cands")
 def union_beams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lists of five beams, each read apart, under one another."""
-    own = views.candidates(spark, sf_dir)
-    lists = {b: own.where(F.col("beam") == b).drop("beam") for b in range(5)}
-    return candidates.union_beams(lists).withColumn("beam", F.col("beam").cast("long"))
+    """The lists of all beams, written as text in a folder each and read under one another in one scan."""
+    path = shared_dir(spark, "lists")
+    own = views.candidates(spark, sf_dir).withColumn("folder", F.format_string("B%03d", "beam"))
+    textfiles.candidate_lines(own, "folder").write.partitionBy("folder").text(path)
+    return textfiles.read_beams(spark, path)
 
 
 @_query("SELECT name, beam FROM (SELECT 'B' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS name, s_suppkey AS beam FROM supplier WHERE s_suppkey % 3 <> 0) q ORDER BY name LIMIT 75")
@@ -456,48 +462,56 @@ def dedisperse_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found.select("beam", F.posexplode("x").alias("t", "x")).withColumn("t", F.col("t").cast("long")), 4, "x")
 
 
-def _injected(spark: SparkSession, folder: str) -> None:
-    """Three beams of noise as filterbanks; beam 14 has a pulse at dm 60.7, beam 15 one at dm 40 of a known source."""
-    from emberwave.operators.rfi import hash_noise
+def _injected(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Three beams of noise as filterbanks; beam 14 has a pulse at dm 60.7, beam 15 one at dm 40 of a known source.
 
+    The noise is made of the events' values, and as long as there are events: two of them, far apart and of another
+    distance in each channel of each beam, are a radius and an angle, which gives normal deviates.
+    """
     sigproc.register(spark)
     header = {"fch1": 150.0, "foff": -1.0, "nchans": 32, "tsamp": TSAMP, "nbits": 32, "source_name": "field"}
-    times = spark.range(4096).select(F.col("id").alias("t"), F.explode(F.sequence(F.lit(0), F.lit(31))).alias("chan"))
+    values = saved(views.table(spark, sf_dir, "events").select(F.col("event_id").alias("place"), (F.col("value") / 50).alias("v")), "values")
+    n = values.count()
+    rows = spark.range(max(4096, n)).select(F.col("id").alias("t"), F.explode(F.sequence(F.lit(0), F.lit(31))).alias("chan"))
     for beam, dm, height in ((13, 0.0, 0.0), (14, 60.7, 9.0), (15, 40.0, 9.0)):
-        noise = times.withColumn("nu", F.lit(150.0) - F.col("chan")).withColumn("x", F.lit(100.0) + hash_noise(beam, "chan", "t"))
+        first, second = ((F.col("t") + F.col("chan") * a + beam * b) % n for a, b in ((7919, 104729), (15485863, 1299709)))
+        at = rows.withColumn("p", first).withColumn("q", second)
+        met = at.join(values.select(F.col("place").alias("p"), F.col("v").alias("e")), "p").join(values.select(F.col("place").alias("q"), F.col("v").alias("u")), "q")
+        normal = F.sqrt(F.col("e") * 2) * F.cos((1 - F.exp(-F.col("u"))) * 6.283185307179586)
+        noise = met.select("t", "chan", (F.lit(150.0) - F.col("chan")).alias("nu"), (F.lit(100.0) + normal).alias("x"))
         pulsed = search.with_pulse(noise, TSAMP, dm, 12.0, 8, height)
         spectra = pulsed.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("chan", "x"))).alias("s")).select("t", F.transform("s", lambda v: v["x"].cast("float")).alias("spectrum"))
         path = f"{folder}/downsampled_L1_SAP0_BEAM{beam}_32bit_ff.fil"
-        spectra.repartitionByRange(4, "t").write.format("filterbank").options(**{k: str(v) for k, v in header.items()}).mode("overwrite").save(path)
+        spectra.write.format("filterbank").options(**{k: str(v) for k, v in header.items()}).mode("overwrite").save(path)
 
 
 _SEARCH = settings.Settings(rfi_block_size=512, sigma_low=5.0, sigma_high=5.0, bad_channel=-1, detection_threshold=7.0, cluster_gate=7.0, max_width_s=0.5, probability_gate=0.0, plan=(settings.Segment(30.0, 80.0, 1.0, 1),))
 
 
-def _folder(spark: SparkSession) -> str:
+def _folder(spark: SparkSession, sf_dir: str) -> str:
     folder = shared_dir(spark, "beams")
     stores.folder(folder)
-    _injected(spark, folder)
+    _injected(spark, sf_dir, folder)
     return folder
 
 
 @_query(
-    """SELECT * FROM (VALUES (CAST(14 AS BIGINT), 'candidate', CAST(NULL AS VARCHAR), true, true), (CAST(15 AS BIGINT), 'known_pulsar', 'J0000+40', true, true)) v(beam, detection_type, psrj, dm_right, time_right)"""
+    """SELECT * FROM (VALUES (CAST(14 AS BIGINT), 'candidate', CAST(NULL AS VARCHAR), true, true), (CAST(15 AS BIGINT), 'known_pulsar', 'J0000+40', true, true)) v(beam, detection_type, psrj, dm_right, time_right) WHERE EXISTS (SELECT 1 FROM events)"""
 )
 def search_of_a_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From filterbank files to labelled detections: the best of each beam, and whether it is the pulse put in."""
     sources = spark.createDataFrame([("J0000+40", 40.0, 1)], "psrj string, dm double, ord long")
-    found = search.run_search(spark, _folder(spark), sources, shared_dir(spark, "search"), _SEARCH)
+    found = search.run_search(spark, _folder(spark, sf_dir), sources, shared_dir(spark, "search"), _SEARCH)
     best = found.withColumn("_rank", F.row_number().over(Window.partitionBy("beam").orderBy(*candidates.best_first()))).where("_rank = 1")
     put = F.when(F.col("beam") == 14, 60.7).otherwise(40.0)
     near = (F.abs(F.col("dm") - put) <= 1.5).alias("dm_right"), (F.abs(F.col("time") - 12.0) <= 8 * TSAMP).alias("time_right")
     return best.select(F.col("beam").cast("long").alias("beam"), "detection_type", "psrj", *near)
 
 
-@_query("SELECT * FROM (VALUES (CAST(14 AS BIGINT), CAST(1 AS BIGINT), true), (CAST(13 AS BIGINT), CAST(2 AS BIGINT), false), (CAST(15 AS BIGINT), CAST(3 AS BIGINT), false)) v(other, rank, seen)")
+@_query("SELECT * FROM (VALUES (CAST(14 AS BIGINT), CAST(1 AS BIGINT), true), (CAST(13 AS BIGINT), CAST(2 AS BIGINT), false), (CAST(15 AS BIGINT), CAST(3 AS BIGINT), false)) v(other, rank, seen) WHERE EXISTS (SELECT 1 FROM events)")
 def follow_up_of_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A candidate of beam 14 in all beams next to it: it is seen in its own alone."""
-    samples = search.beam_spectra(spark, _folder(spark)).drop("tsamp")
+    samples = search.beam_spectra(spark, _folder(spark, sf_dir)).drop("tsamp")
     spectra = saved(search.channel_arrays(prep.normalised(samples, "beam")), "spectra")
     cands = spark.createDataFrame([(14, 60.7, 12.0, 8)], "beam int, dm double, time double, filter_width int")
     found = search.follow_up(cands, spectra, TSAMP)

@@ -22,6 +22,7 @@ def _case(name: str, otherwise: str) -> str:
 
 
 _DDM, _DS = _case("ddm", "CAST(1 AS DOUBLE)"), _case("downsample", "1")
+_NAMED = f"{_CANDS}, named AS (SELECT printf('%.1f', dm) AS name, count(*) AS n FROM cands GROUP BY 1)"
 _TOP = f"top5 AS (SELECT {_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY dm ORDER BY {_ORDER}) AS k FROM cands) q WHERE k <= 5)"
 _GATED = f"gated AS (SELECT {_COLS} FROM top5 WHERE dm >= 10 AND sn > 7)"
 
@@ -107,9 +108,9 @@ def sql() -> dict[str, str]:
     name = "'downsampled_L' || o_orderkey || '_SAP' || o_orderkey % 3 || '_BEAM' || o_orderkey % 74 || '_32bit_ff.fil'"
     return {
         "plan_lookup": f"WITH {_CANDS} SELECT {_COLS}, {_DDM} AS ddm, {_DS} AS downsample, round(dm / ({_DDM}), 6) AS dm_scaled FROM cands",
-        "dm_grid_expand": f"WITH {_PLAN} SELECT seg, r.i, round(low_dm + r.i * ddm, 6) AS dm, downsample, printf('%.1f', low_dm + r.i * ddm) AS dm_name FROM plan, range(0, 2000) r(i) WHERE r.i < n",
-        "dm_trials_distinct": f"WITH {_PLAN}, grid AS (SELECT seg, r.i, downsample, printf('%.1f', low_dm + r.i * ddm) AS dm_name FROM plan, range(0, 2000) r(i) WHERE r.i < n) SELECT dm_name, seg, i, downsample FROM (SELECT *, row_number() OVER (PARTITION BY dm_name ORDER BY seg DESC, i DESC) AS k FROM grid) q WHERE k = 1",
-        "width_grid": f"WITH {_PLAN}, wide AS (SELECT seg, downsample, CAST(floor(600 / ({_D(_TSAMP)} * downsample)) AS INTEGER) AS m FROM plan) SELECT DISTINCT seg, downsample, CASE WHEN r.i = 15 THEN m ELSE CAST(floor(power(m, r.i / {_D(15)})) AS INTEGER) END AS width FROM wide, range(0, 16) r(i)",
+        "dm_grid_expand": f"WITH {_PLAN}, {_NAMED} SELECT seg, r.i, round(low_dm + r.i * ddm, 6) AS dm, downsample, printf('%.1f', low_dm + r.i * ddm) AS dm_name, coalesce((SELECT n FROM named WHERE name = printf('%.1f', low_dm + r.i * ddm)), 0) AS n_cands FROM plan, range(0, 2000) r(i) WHERE r.i < n",
+        "dm_trials_distinct": f"WITH {_PLAN}, {_NAMED}, grid AS (SELECT seg, r.i, downsample, printf('%.1f', low_dm + r.i * ddm) AS dm_name FROM plan, range(0, 2000) r(i) WHERE r.i < n) SELECT dm_name, seg, i, downsample, coalesce((SELECT n FROM named WHERE name = dm_name), 0) AS n_cands FROM (SELECT *, row_number() OVER (PARTITION BY dm_name ORDER BY seg DESC, i DESC) AS k FROM grid) q WHERE k = 1",
+        "width_grid": f"WITH {_PLAN}, {_CANDS}, widths AS (SELECT {_DS} AS downsample, filter_width AS width, count(*) AS n FROM cands GROUP BY 1, 2), wide AS (SELECT seg, downsample, CAST(floor(600 / ({_D(_TSAMP)} * downsample)) AS INTEGER) AS m FROM plan) SELECT seg, downsample, width, coalesce((SELECT n FROM widths v WHERE v.downsample = d.downsample AND v.width = d.width), 0) AS n_cands FROM (SELECT DISTINCT seg, downsample, CASE WHEN r.i = 15 THEN m ELSE CAST(floor(power(m, r.i / {_D(15)})) AS INTEGER) END AS width FROM wide, range(0, 16) r(i)) d",
         "topk_per_dm": f"WITH {_CANDS}, {_TOP} SELECT * FROM top5",
         "gate_main": f"WITH {_CANDS} SELECT * FROM cands WHERE dm >= 10 AND sn > 7",
         "gate_post": f"WITH {_CANDS} SELECT * FROM cands WHERE dm >= 3 AND sn > {_D(6.5)}",

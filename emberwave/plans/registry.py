@@ -48,17 +48,26 @@ def plan_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dm_grid_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settings.dm_grid(spark).select("seg", "i", F.round("dm", 6).alias("dm"), "downsample", "dm_name")
+    """Every trial, with the candidates that go by its name."""
+    return _counted_by_name(spark, sf_dir, settings.dm_grid(spark)).select("seg", "i", F.round("dm", 6).alias("dm"), "downsample", "dm_name", "n_cands")
+
+
+def _counted_by_name(spark: SparkSession, sf_dir: str, grid: DataFrame) -> DataFrame:
+    counts = views.candidates(spark, sf_dir).groupBy(F.format_string("%.1f", "dm").alias("dm_name")).agg(F.count("*").alias("n_cands"))
+    return grid.join(counts, "dm_name", "left").fillna(0, ["n_cands"])
 
 
 @_query
 def dm_trials_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settings.distinct_trials(settings.dm_grid(spark)).select("dm_name", "seg", "i", "downsample")
+    return _counted_by_name(spark, sf_dir, settings.distinct_trials(settings.dm_grid(spark))).select("dm_name", "seg", "i", "downsample", "n_cands")
 
 
 @_query
 def width_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settings.width_grid(settings.plan_table(spark).withColumn("tsamp", F.lit(TSAMP))).select("seg", "downsample", "width")
+    """The widths of each segment, with the candidates of that width whose dm lies in it."""
+    grid = settings.width_grid(settings.plan_table(spark).withColumn("tsamp", F.lit(TSAMP)))
+    widths = views.candidates(spark, sf_dir).groupBy(settings.of_plan("dm", "downsample").alias("downsample"), F.col("filter_width").cast("int").alias("width")).agg(F.count("*").alias("n_cands"))
+    return grid.join(widths, ["downsample", "width"], "left").fillna(0, ["n_cands"]).select("seg", "downsample", "width", "n_cands")
 
 
 @_query

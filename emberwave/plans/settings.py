@@ -63,7 +63,6 @@ class Settings:
     excluded_beam: int = 12
     classify_beams: int = 75
     nearest_beams: int = 73
-    max_candidates: int = 1_000_000
     plan: tuple[Segment, ...] = field(default=PLAN)
 
     def merged(self, config: dict) -> Settings:

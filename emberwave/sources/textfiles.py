@@ -41,6 +41,18 @@ def read_candidates(spark: SparkSession, path: str, with_beam: bool = False) ->
     return parse_candidates(spark.read.text(path), with_beam)
 
 
+def read_beams(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """The candidate lists of all beams below a folder in one scan; the beam is what ends the folder's name, as in B012.
+
+    A list in no such folder has a null beam.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path).select("value", "_metadata.file_path")
+    beam = F.regexp_extract("file_path", r"([0-9]+)/[^/]*$", 1).try_cast("long")
+    value = F.concat_ws(" ", F.coalesce(beam.cast("string"), F.lit("?")), F.trim(F.regexp_replace("value", "\r", "")))
+    kept = content_lines(lines).select(value.alias("value"))
+    return parse_candidates(kept, with_beam=True).withColumn("beam", F.col("beam").try_cast("long"))
+
+
 def read_clustered(spark: SparkSession, path: str) -> DataFrame:
     """A clustered list with a header row, names normalised; samples written as 123.0 are whole again."""
     frame = normalised_columns(spark.read.option("sep", "\t").option("header", True).csv(path))
@@ -49,9 +61,9 @@ def read_clustered(spark: SparkSession, path: str) -> DataFrame:
     return frame.withColumn("sample", F.col("sample").cast("long")).withColumn("filter_width", F.col("filter_width").cast("int"))
 
 
-def candidate_lines(cands: DataFrame) -> DataFrame:
-    """The text form, three decimals for dm and S/N, six for time; one column ``value``."""
-    return cands.select(F.format_string("%.3f  %.3f  %.6f  %d  %d", "dm", "sn", "time", "sample", "filter_width").alias("value"))
+def candidate_lines(cands: DataFrame, *more: str) -> DataFrame:
+    """The text form, three decimals for dm and S/N, six for time; one column ``value``, and those asked for."""
+    return cands.select(*more, F.format_string("%.3f  %.3f  %.6f  %d  %d", "dm", "sn", "time", "sample", "filter_width").alias("value"))
 
 
 def write_candidates(cands: DataFrame, path: str) -> None:

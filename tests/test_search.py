@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberwave.functions import messages
-from emberwave.operators import diag, frames, matched
+from emberwave.operators import diag, frames, matched, runs
 from emberwave.plans import search, settings
 from emberwave.plans.shared import Scratch, shared_dir
 from emberwave.sources import discover, series, sigproc
@@ -97,6 +97,43 @@ def test_a_failing_search_is_logged(spark, tmp_path):
     assert [(r.beam_id, r.outcome) for r in failed] == [("13", "error")] and failed[0].error_message
 
 
+def test_one_failing_beam_fails_alone(spark, tmp_path, monkeypatch):
+    """Two beams are searched though a third fails, and the log says which."""
+    for beam in (13, 14, 15):
+        _file(spark, tmp_path / f"L1_SAP0_BEAM{beam}_32bit.fil")
+    out, own = f"file://{tmp_path}/out", search.channel_arrays
+
+    def failing(samples):
+        if samples.where("beam = 14").count():
+            raise RuntimeError("no " + "x" * 2000)
+        return own(samples)
+
+    monkeypatch.setattr(search, "channel_arrays", failing)
+    sources = spark.createDataFrame([], "psrj string, dm double, ord long")
+    with pytest.raises(RuntimeError, match="no x"):
+        search.run_search(spark, str(tmp_path), sources, out, settings.Settings(rfi_block_size=5, plan=(settings.Segment(0.0, 1.0, 0.5, 1),)))
+    last = {r.beam_id: r for r in runs.latest(spark.read.parquet(f"{out}/events")).collect()}
+    assert {k: r.outcome for k, r in last.items()} == {"13": "classified", "14": "error", "15": "classified"} and len(last["14"].error_message) > 2000
+
+
+def test_mixed_sampling_times_are_refused(spark, tmp_path):
+    for beam, tsamp in ((13, 0.5), (14, 0.25)):
+        _file(spark, tmp_path / f"L1_SAP0_BEAM{beam}_32bit.fil", tsamp=tsamp)
+    with pytest.raises(ValueError, match="sampling times"):
+        search.run_search(spark, str(tmp_path), spark.createDataFrame([], "psrj string, dm double, ord long"), f"file://{tmp_path}/out")
+
+
+def test_the_command_says_how_it_went(spark, tmp_path, capsys):
+    from emberwave.__main__ import main
+
+    _file(spark, tmp_path / "L1_SAP0_BEAM13_32bit.fil", n=64)
+    (tmp_path / "settings.json").write_text(settings.Settings(rfi_block_size=8, plan=(settings.Segment(0.0, 1.0, 0.5, 1),)).dump())
+    (tmp_path / "sources.csv").write_text("psrj,dm,ord\nJ0,0.5,1\n")
+    arguments = [str(tmp_path), f"file://{tmp_path}/out", "--settings", str(tmp_path / "settings.json")]
+    assert main([*arguments, "--sources", str(tmp_path / "sources.csv")]) == 0 and main(arguments) == 0
+    assert main([str(tmp_path / "none.fil"), f"file://{tmp_path}/out"]) == 1 and "failed" in capsys.readouterr().err
+
+
 def test_layout_of_no_beams(spark):
     none = spark.createDataFrame([], "beam long, x_arcmin double, y_arcmin double, level double")
     row = frames.beam_layout(none).first()
