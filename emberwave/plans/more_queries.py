@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberwave.functions import messages
-from emberwave.operators import asof, candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs, subints
+from emberwave.operators import asof, candidates, catalogue, crossbeam, cutouts, dedisperse, frames, prep, runs, sliding, subints
 from emberwave.plans import oracle, search, settings, views
 from emberwave.plans.shared import saved, shared_dir
 from emberwave.sources import discover, sigproc, stores, textfiles
 from emberwave.sources import series as series_files
+from emberwave.streaming import arrivals, notices
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -552,3 +553,42 @@ def cone_match_of_the_sphere(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All parts within five degrees of each supplier, as places all over the sphere."""
     at = {name: views.table(spark, sf_dir, name).selectExpr(f"{key} AS {'source' if name == 'part' else 'centre'}", *(x.strip() for x in _PLACE.format(key=key).split(", CAST")[:1]), "CAST" + _PLACE.format(key=key).split(", CAST")[1]) for name, key in _SKY.items()}
     return _rounded(catalogue.cone_match(at["supplier"], at["part"]).select("centre", "source", "sep_deg"), 5, "sep_deg")
+
+
+@_query(
+    """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS below, CASE WHEN event_id % 3 = 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS deep,
+ CASE WHEN event_id % 5 = 0 THEN 'late' WHEN event_id % 5 = 1 THEN 'unknown error' END AS error FROM events"""
+)
+def answers_walked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of answers that differ in what they hold: the events' properties, plain, in other objects or in lists, with errors or none."""
+    key = F.col("event_id")
+    inner = F.when(key % 3 == 0, F.concat(F.lit('{"data": {"id": '), "props", F.lit("}}"))).when(key % 3 == 1, F.concat(F.lit('{"data": ['), "props", F.lit("]}"))).otherwise(F.lit("no json"))
+    errors = F.when(key % 5 == 0, F.lit('{"errors": [{"message": "late"}, {}]}')).when(key % 5 == 1, F.lit('{"errors": [{"code": 3}]}')).when(key % 5 == 2, F.lit('{"errors": []}'))
+    rows = views.table(spark, sf_dir, "events").select("event_id", "props", inner.alias("inner"), errors.alias("errors"))
+    return rows.select(
+        "event_id",
+        textfiles.walked("props", "k", kind="long").alias("k"),
+        textfiles.walked("props", "k", "deeper").alias("below"),
+        textfiles.walked("inner", "data", "id", "k", kind="long").alias("deep"),
+        textfiles.first_error("errors").alias("error"),
+    )
+
+
+@_query(f"WITH {oracle._CANDS} SELECT printf('DM=%.2f S/N=%.2f beam %d', dm, sn, beam) AS value, count(*) AS n FROM cands WHERE dm >= 10 AND sn > 9.5 GROUP BY 1")
+def notices_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest candidates of files that arrive, a message each, from the ledger of what was sent."""
+    folder, ledger = shared_dir(spark, "arrivals"), shared_dir(spark, "ledger")
+    views.candidates(spark, sf_dir).withColumn("arrived", F.lit("2020-01-01").cast("timestamp")).repartition(3).write.parquet(folder)
+    strong = candidates.gate(arrivals.read_arrivals(spark, folder, 1), 10.0, 9.5)
+    lines = strong.select(F.format_string("DM=%.2f S/N=%.2f beam %d", "dm", "sn", "beam").alias("value"))
+    notices.start(lines, lambda value: None, ledger, shared_dir(spark, "notices")).awaitTermination()
+    return notices.sent(spark, ledger).groupBy("value").agg(F.count("*").alias("n"))
+
+
+@_query(
+    f"""WITH {oracle._SAMPLES}, cents AS (SELECT chan, t, round(x * 100) AS x FROM samples) SELECT chan, t, 3 AS half, avg(x) OVER (PARTITION BY chan ORDER BY t ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS x FROM cents
+ UNION ALL SELECT chan, t, 20, avg(x) OVER (PARTITION BY chan ORDER BY t ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) FROM cents"""
+)
+def boxcar_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of windows of 7 and 41 samples, in blocks of 64; whole numbers, whose sums are exact."""
+    return sliding.boxcars(views.samples(spark, sf_dir).withColumn("x", F.round(F.col("x") * 100)), [3, 20], "chan", block=64)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberwave.operators.candidates import normalised_columns
@@ -121,3 +121,24 @@ def staged_since(requests: DataFrame, now: str, hours: int = 24) -> DataFrame:
     """Requests of the last ``hours`` before ``now``; one whose time cannot be read is none of them."""
     at = F.to_timestamp(F.regexp_replace("when", "T", " "))
     return requests.where(at.isNotNull() & (at >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(hours)} HOURS")))
+
+
+def walked(json: Column | str, *keys: str, kind: str = "string") -> Column:
+    """What stands under some keys, one in another, of a JSON text, whatever its fields are.
+
+    Null where a step is no object or has no such key, where the value is no ``kind`` and where the text is no JSON. What is
+    itself an object or a list is its JSON text as a string.
+    """
+    found = F.try_parse_json(F.col(json) if isinstance(json, str) else json)
+    if not keys:
+        return F.to_json(found) if kind == "string" else F.try_variant_get(found, "$", kind)
+    if any("'" in k and '"' in k for k in keys):
+        raise ValueError(f"a key with both kinds of quotes: {keys}")
+    path = "$" + "".join(f'["{k}"]' if "'" in k else f"['{k}']" for k in keys)
+    return F.try_variant_get(found, path, kind)
+
+
+def first_error(json: Column | str) -> Column:
+    """The message of the first error that an answer reports, ``unknown error`` where it has none; null without errors."""
+    errors = F.try_variant_get(F.try_parse_json(F.col(json) if isinstance(json, str) else json), "$.errors", "array<variant>")
+    return F.when(F.size(errors) > 0, F.coalesce(F.try_variant_get(F.get(errors, 0), "$.message", "string"), F.lit("unknown error")))

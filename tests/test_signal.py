@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from emberwave.operators import asof, catalogue, cluster, crossbeam, cutouts, dedisperse, detrend, diag, matched, prep, rfi
+from emberwave.operators import asof, catalogue, cluster, crossbeam, cutouts, dedisperse, detrend, diag, matched, prep, rfi, sliding
 from emberwave.plans import settings
 
 TSAMP = 0.00786432
@@ -248,3 +248,21 @@ def test_cut_outs_from_blocks_equal_those_of_the_whole_beam(spark, monkeypatch):
     for _, dm, _, t, _, w in rows[:-1]:
         assert got[0, t, w].probs == pytest.approx(looks(*cutouts.images(x[order], NU[order], TSAMP, dm, t, w)), rel=1e-9, abs=1e-9)
     assert got[9, 1.0, 4].probs == [] and not got[9, 1.0, 4].is_candidate
+
+
+@pytest.mark.parametrize("block", [4, 7, 1000])
+def test_boxcars_by_hand(spark, block):
+    draw = np.random.default_rng(6)
+    data = {k: [None if draw.random() < 0.2 else float(v) for v in draw.normal(size=n)] for k, n in (("a", 23), ("b", 1), ("c", 8), (None, 14))}
+    frame = spark.createDataFrame([(k, t, v) for k, x in data.items() if k for t, v in enumerate(x)], "k string, t long, x double").repartition(3)
+    halves = [0, 1, 3]
+    got = {(r.k, r.half, r.t): r.x for r in sliding.boxcars(frame, halves, "k", block=block).collect()}
+    want = {}
+    for k, x in data.items():
+        for half in halves if k else []:
+            for t in range(len(x)):
+                held = [v for v in x[max(0, t - half) : t + half + 1] if v is not None]
+                want[k, half, t] = np.mean(held) if held else None
+    assert got.keys() == want.keys() and all(got[k] == (None if want[k] is None else pytest.approx(want[k], abs=1e-12)) for k in want)
+    with pytest.raises(ValueError, match="reach"):
+        sliding.boxcars(frame, [block], "k", block=block)

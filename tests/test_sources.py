@@ -235,6 +235,18 @@ def test_sidecars_addresses_and_answers(spark):
     assert textfiles.staging_progress(answers, "success").first().n_surls == 1 and textfiles.staging_progress(answers, "success", equal=False).count() == 1
 
 
+def test_walks_over_any_keys(spark):
+    rows = ['{"a": {"b": {"it\'s": 1, "o": [1, {"x": null}]}}}', '{"a": [1]}', '{"a": 3}', '[{"a": {"b": 1}}]', "nothing", "", None, '{"a": {"b": null}}', '{"errors": "none"}']
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(rows)], "k int, v string")
+    found = frame.select("k", textfiles.walked("v", "a", "b", "it's", kind="int").alias("n"), textfiles.walked("v", "a", "b", "o").alias("o"), textfiles.walked("v", "a").alias("a"), textfiles.walked("v").alias("whole"), textfiles.first_error("v").alias("e")).collect()
+    by = {r.k: r for r in found}
+    assert [by[k].n for k in range(9)] == [1] + [None] * 8
+    assert by[0].o == '[1,{"x":null}]' and by[1].a == "[1]" and by[2].a == "3" and by[3].a is by[4].a is by[5].a is by[6].a is None
+    assert by[2].whole == '{"a":3}' and by[4].whole is None and all(r.e is None for r in found)
+    with pytest.raises(ValueError, match="quotes"):
+        textfiles.walked("v", "'\"")
+
+
 def test_angles(spark):
     row = spark.range(1).select(
         coords.packed_dec_text(F.lit(-12345.6)).alias("dec"), coords.packed_dec_text(F.lit(-45.6)).alias("small"), coords.text_degrees(F.lit("-00:30:00"), False).alias("half"),
