@@ -238,6 +238,8 @@ def test_grids(spark):
 
 def test_cut_outs_from_blocks_equal_those_of_the_whole_beam(spark, monkeypatch):
     monkeypatch.setattr(cutouts, "BLOCK", 300)
+    monkeypatch.setattr(cutouts, "CHANNELS", 3)
+    monkeypatch.setattr(cutouts, "BLOCKS", 2)
     x = pulse(n=4096)
     frame = beams(spark, x)
     rows = [(0, 60.7, 9.0, t, 0, w) for t in (0.0, 0.5, 12.0, 32.0) for w in (2, 8)] + [(9, 60.7, 9.0, 1.0, 0, 4)]
