@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberwave.operators.diag import quantiles
+from emberwave.plans.shared import saved
 
 #: Raw clock in seconds and subband width in MHz of the survey.
 RAW_TSAMP, SUBBAND_MHZ = 5.12e-6, 0.1953125
@@ -143,7 +144,11 @@ def fitted_length(x: Column, n: int) -> Column:
 
 
 def normalised(spectrum: DataFrame, *keys: str) -> DataFrame:
-    """x over the exact median of each key's whole spectrum, less 1; keys are beams, so their medians are few."""
+    """x over the exact median of each key's whole spectrum, less 1; keys are beams, so their medians are few.
+
+    The spectrum is written once, as its ends, its counts, its ranks and the division each read it.
+    """
+    spectrum = saved(spectrum, "spectrum")
     medians = quantiles(spectrum, "x", [0.5], *keys).select(*keys, F.col("value").alias("_m"))
     joined = spectrum.join(F.broadcast(medians), list(keys)) if keys else spectrum.join(F.broadcast(medians))
     return joined.withColumn("x", F.col("x") / F.col("_m") - 1).drop("_m")

@@ -592,3 +592,17 @@ def notices_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def boxcar_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means of windows of 7 and 41 samples, in blocks of 64; whole numbers, whose sums are exact."""
     return sliding.boxcars(views.samples(spark, sf_dir).withColumn("x", F.round(F.col("x") * 100)), [3, 20], "chan", block=64)
+
+
+_POLE = sliding.butterworth_poles(1.0, 0.05, 1)[0].real
+
+
+@_query(
+    f"""WITH {oracle._SERIES}, d AS (SELECT series_id, t, x - coalesce(lag(x) OVER (PARTITION BY series_id ORDER BY t), 0) AS d FROM series)
+ SELECT a.series_id, a.t, round(sum(b.d * power(CAST({_POLE!r} AS DOUBLE), a.t - b.t)), 6) + 0 AS x FROM d a JOIN d b ON b.series_id = a.series_id AND b.t <= a.t GROUP BY a.series_id, a.t"""
+)
+def recursive_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recursion along each embedding, in blocks of 7 samples whose states are handed on from block to block."""
+    series = views.series(spark, sf_dir).select("series_id", F.posexplode("x").alias("t", "re")).withColumn("t", F.col("t").cast("long")).withColumn("im", F.lit(0.0))
+    drive = sliding.steps(series, "series_id", block=7, first=False)
+    return _rounded(sliding.recursed(drive, complex(_POLE), "series_id", block=7).select("series_id", "t", F.col("re").alias("x")), 6, "x")

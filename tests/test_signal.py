@@ -268,3 +268,17 @@ def test_boxcars_by_hand(spark, block):
     assert got.keys() == want.keys() and all(got[k] == (None if want[k] is None else pytest.approx(want[k], abs=1e-12)) for k in want)
     with pytest.raises(ValueError, match="reach"):
         sliding.boxcars(frame, [block], "k", block=block)
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_high_pass_in_blocks_equals_that_of_whole_series(spark, block):
+    draw = np.random.default_rng(7)
+    data = {k: np.cumsum(draw.normal(size=n)) + 10 for k, n in ((1, 300), (2, 90), (3, 5), (4, 1))}
+    frame = spark.createDataFrame([(k, t, float(v)) for k, x in data.items() for t, v in enumerate(x)], "k int, t long, x double").repartition(3)
+    for cutoff, order in ((2.0, 3), (0.2, 1)):
+        found = sliding.high_passed(frame, 0.05, "k", cutoff_hz=cutoff, order=order, block=block)
+        got = {(r.k, r.t): r.x for r in found.collect()}
+        assert len(got) == sum(map(len, data.values()))
+        for k, x in data.items():
+            assert np.allclose([got[k, t] for t in range(len(x))], matched.high_passed(x, 0.05, cutoff, order), atol=1e-9), (k, cutoff)
+    assert not {"Python", "Arrow"} & set(found._jdf.queryExecution().executedPlan().toString().split())
