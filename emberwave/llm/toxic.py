@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +30,9 @@ from emberwave.llm.common import Scratch, slices
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_toxic long, spans string"
 _TOKEN = re.compile(r"[^\W_]+")
 #: Lengths of the beginnings of words that are counted, and the longest word that is counted as a whole.
-PREFIXES, WHOLE = (3, 4, 5, 6, 7, 8), 32
-#: Text bytes whose features are counted at once.
-COUNTED_BYTES = 8_000_000
+PREFIXES, WHOLE = (3, 4, 5, 6, 7), 16
+#: Bytes of compressed words whose features are counted at once.
+COUNTED_BYTES = 2_000_000
 #: Steps of strength, by the logarithm of how many times as frequent a feature is in toxic documents.
 STEPS, STEP = 6, 0.7
 #: Letters behind a beginning: none, one or two, more.
@@ -84,12 +85,22 @@ def features(word: str) -> list[str]:
     return ([f"={word}"] if len(word) <= WHOLE else []) + [f"^{word[:k]}" for k in PREFIXES if len(word) > k]
 
 
-def _counted(texts: list[str], toxic: np.ndarray) -> pa.RecordBatch:
-    """Of each feature of some texts, the number of toxic and of other texts that hold it."""
+def word_sets(texts: list[str]) -> list[bytes]:
+    """The distinct tokens of each text, compressed: what leaves the texts to meet the labels."""
     ids, starts, words = tokens(texts)
-    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
-    pairs = np.unique(owner * max(len(words), 1) + ids)
-    owner, ids = np.divmod(pairs, max(len(words), 1))
+    lower = pa.array(words, pa.string()).dictionary_encode()
+    ids, words = lower.indices.to_numpy(zero_copy_only=False)[ids] if words else ids, lower.dictionary.to_pylist()
+    pack = zstandard.ZstdCompressor(level=3)
+    return [pack.compress(" ".join([words[k] for k in np.unique(ids[a:b]).tolist()]).encode()) for a, b in zip(starts, starts[1:], strict=False)]
+
+
+def _counted(sets: list[bytes], toxic: np.ndarray) -> pa.RecordBatch:
+    """Of each feature of some texts, the number of toxic and of other texts that hold it."""
+    unpack = zstandard.ZstdDecompressor()
+    texts = [unpack.decompress(x).decode().split() for x in sets]
+    coded = pa.array([w for x in texts for w in x], pa.string()).dictionary_encode()
+    ids, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
     known: dict[str, int] = {}
     own = [np.array([known.setdefault(f, len(known)) for f in features(w)], np.int64) for w in words]
     sizes = np.array([len(x) for x in own], np.int64)
@@ -105,13 +116,13 @@ def _counted(texts: list[str], toxic: np.ndarray) -> pa.RecordBatch:
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
-    """(feature, n1, n0) over all ``rows`` (text, toxic)."""
+    """(feature, n1, n0) over all ``rows`` (words, toxic), the words as ``word_sets`` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, most=COUNTED_BYTES):
-            yield _counted(part.column("text").to_pylist(), part.column("toxic").to_numpy(zero_copy_only=False).astype(bool))
+        for part in slices(batches, "words", COUNTED_BYTES):
+            yield _counted(part.column("words").to_pylist(), part.column("toxic").to_numpy(zero_copy_only=False).astype(bool))
 
-    return rows.select("text", "toxic").mapInArrow(run, "feature string, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    return rows.select("words", "toxic").mapInArrow(run, "feature string, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
 def _evidence(n1: np.ndarray, n0: np.ndarray, rows: tuple[int, int], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -253,25 +264,36 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def labelled(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """Rows to learn from (doc_id, text, toxic), and their ids (doc_id, toxic).
+    """Rows to learn from (doc_id, words, toxic), and their ids (doc_id, toxic).
 
     Ids whose crc32 leaves 0 are held out; of several labels of an id one that says 1 counts, and none is no label.
+    Only the distinct words of a text travel to its label, compressed, and at every size by a shuffle of both.
     """
     key = labels["doc_id"].cast("long")
-    known = labels.where(key.isNotNull() & labels["toxic"].isNotNull()).groupBy(key.alias("doc_id")).agg(F.bool_or(labels["toxic"] == 1).alias("toxic"))
-    known = known.where(F.crc32(F.col("doc_id").cast("string")) % settings.held_out_of != 0)
-    texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), F.coalesce(documents["text"].cast("string"), F.lit("")).alias("text"))
-    texts = texts.where(F.crc32(F.col("doc_id").cast("string")) % settings.held_out_of != 0)
-    return texts.join(known, "doc_id"), known
+    learned = F.crc32(F.col("doc_id").cast("string")) % settings.held_out_of != 0
+    known = labels.where(key.isNotNull() & labels["toxic"].isNotNull()).groupBy(key.alias("doc_id")).agg(F.bool_or(labels["toxic"] == 1).alias("toxic")).where(learned)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "words": pa.array(word_sets(part.column("text").to_pylist()), pa.binary())})
+
+    words = _texts(documents).where(learned).mapInArrow(run, "doc_id long, words binary")
+    return words.join(known.hint("merge"), "doc_id"), known
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(documents["doc_id"].cast("long").alias("doc_id"), F.coalesce(documents["text"].cast("string"), F.lit("")).alias("text"))
 
 
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Evidence from all labelled rows that are not held out, the field and the curve from a sample of them."""
     scratch = Scratch(documents.sparkSession, "toxic")
     rows, known = labelled(documents, labels, settings)
+    rows = scratch.saved(rows.select("words", "toxic"), "words")
     told = rows.agg(F.count_if("toxic").alias("n1"), F.count_if(~F.col("toxic")).alias("n0")).first()
     model = Model({}, (told.n1, told.n0), settings, prior=(told.n1 + 1) / (told.n1 + told.n0 + 2))
     if not (told.n1 and told.n0):
+        scratch.done()
         return model
     # Only what is frequent enough in toxic documents leaves the count; the test of chance follows on those.
     share = (F.col("n1") + 0.5) / (told.n1 + 1) / ((F.col("n0") + 0.5) / (told.n0 + 1))
@@ -282,8 +304,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     kept = scratch.saved(kept, "features")
     model.counts = {r.feature: (r.n1, r.n0) for r in kept.orderBy(F.desc("likely"), "feature").limit(settings.features).collect()}
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample)
-    texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), F.coalesce(documents["text"].cast("string"), F.lit("")).alias("text"))
-    sampled = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.bool_or("toxic").alias("toxic"))
+    sampled = _texts(documents).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.bool_or("toxic").alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -295,7 +316,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
     # Texts stay where they are; a byte for each token of the sample comes to the driver.
     sample = sorted(sampled.mapInArrow(run, "doc_id long, toxic boolean, codes binary").collect(), key=lambda r: r.doc_id)
-    scratch.result(kept.limit(0), "fitted")
+    scratch.done()
     if sample:
         coded = [np.frombuffer(r.codes, np.uint8).astype(np.int64) for r in sample]
         y = np.array([r.toxic for r in sample], float)

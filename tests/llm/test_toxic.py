@@ -64,7 +64,8 @@ def test_counts_by_hand(spark):
         words = {w.lower() for w in re.findall(r"[^\W_]+", text)}
         for f in {f for w in words for f in toxic.features(w)}:
             want[f, y] += 1
-    found = toxic.feature_counts(spark.createDataFrame(rows, "text string, toxic boolean").repartition(2))
+    packed = [(bytearray(toxic.word_sets([text])[0]), y) for text, y in rows]
+    found = toxic.feature_counts(spark.createDataFrame(packed, "words binary, toxic boolean").repartition(2))
     got = {(r.feature, y): n for r in found.collect() for y, n in ((True, r.n1), (False, r.n0)) if n}
     assert got == dict(want) and ("=" + "x" * 40, False) not in got
 
