@@ -185,10 +185,29 @@ class Segment:
                     starts = starts[(at < len(there)) & (there[np.minimum(at, len(there) - 1)] <= starts + slop)]
                 if not len(starts):
                     break
+            if slop and len(starts):
+                starts = starts[self._apart(wanted.places[w, : wanted.lengths[w]], starts, slop)]
             if len(starts):
                 # A posting of the rarest term is a real word; its text is the match's, wherever the start would be.
                 yield w, starts + (int(ranked[0]) << 48)
 
+    def _apart(self, places: np.ndarray, starts: np.ndarray, slop: int) -> np.ndarray:
+        """Whether each word of a window has a posting of its own near its place, where the window repeats words.
+
+        Places of one word in order have windows of the same width in order, so each takes the first posting that is left.
+        """
+        fine = np.ones(len(starts), bool)
+        for term in np.unique(places[places >= 0]).tolist():
+            offsets = np.flatnonzero(places == term)
+            if len(offsets) < 2:
+                continue
+            there, used = self.postings(term), np.full(len(starts), -1, np.int64)
+            for offset in offsets.tolist():
+                at = np.searchsorted(there, np.maximum(starts + offset - slop, used + 1))
+                used = there[np.minimum(at, len(there) - 1)]
+                fine &= (at < len(there)) & (used <= starts + offset + slop)
+        return fine
+
     def text_of(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.firsts, positions, "right") - 1
 
@@ -338,7 +357,7 @@ def find_matches(index: DataFrame, benchmark: DataFrame, size: int = WINDOW, slo
     """doc_id, item_id, window, position (word of the text) and kind of every match, block by block.
 
     ``slop`` 0 gives exact phrases. Above it, each word may lie up to ``slop`` positions from its place
-    (at most half the gap between texts); a match is ``exact`` where it needs none. A match belongs to the text
+    (at most half the gap between texts), and words that are alike are different ones in the text; a match is ``exact`` where it needs none. A match belongs to the text
     that holds its rarest word; its position is where the window would begin, not before the text does.
     Items and texts that are null or empty match nothing; repeated rows and items each give their matches.
     """
@@ -360,6 +379,15 @@ def find_matches(index: DataFrame, benchmark: DataFrame, size: int = WINDOW, slo
     return out if out is not None else index.sparkSession.createDataFrame([], MATCHES)
 
 
+def near_report(index: DataFrame, benchmark: DataFrame, size: int = WINDOW, slop: int = 1) -> DataFrame:
+    """doc_id, item_id, n_exact and n_near: how many windows of an item a document holds exactly, and how many nearly alone.
+
+    A row for each document and item that match at all. Nulls and repeats as in ``find_matches``.
+    """
+    found = find_matches(index, benchmark, size, slop).groupBy("doc_id", "item_id", "window").agg(F.bool_or(F.col("kind") == "exact").alias("exact"))
+    return found.groupBy("doc_id", "item_id").agg(F.count_if("exact").alias("n_exact"), F.count_if(~F.col("exact")).alias("n_near"))
+
+
 def _matches(row: dict, wanted: Windows, slop: int) -> Iterator[pa.RecordBatch]:
     segment = Segment(row, wanted)
     exact = {w: split_match(coded)[0] for w, coded in segment.search(wanted)}

@@ -32,6 +32,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity half of op4: windows of which each word lies at its place or the next to it."""
+    return decontam.near_report(decontam.stored_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"), size=10, slop=1)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ _QUERIES = (
     op11_toxic_spans,
     op12_prefix_trie,
     op13_filter_audit,
+    benchmark_proximity,
 )
 
 

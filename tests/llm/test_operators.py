@@ -404,24 +404,39 @@ def test_proximity_in_one_segment(spark, slop):
     draw = np.random.default_rng(9)
     texts = ["zzz a a a", "b a c d e f g h i j", "", None, "a b c d e f g h i j", "x " * 70 + "a b c e d f g h i j"]
     texts += [" ".join("abcdefghij"[k] for k in draw.permutation(10)) for _ in range(60)]
-    items = [("q", "a b c d e f g h i j"), ("r", "d e f")]
+    texts += ["a b c zz", "a a b c", "b a a c", *(" ".join("aab c"[k] for k in draw.integers(0, 5, 8)) for _ in range(40))]
+    items = [("q", "a b c d e f g h i j"), ("r", "d e f"), ("s", "a a b c"), ("t", "b a b a")]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     bench = spark.createDataFrame(items, "item_id string, text string")
     index = decontam.stored_index(docs)
     assert index.count() == 1
-    want = collections.Counter()
+
+    def placed(w, p, at):
+        """Whether the words of p have different places in w, each within slop of its own, by trying all."""
+        ways = [{at + j + s for s in range(-slop, slop + 1) if 0 <= at + j + s < len(w) and w[at + j + s] == x} for j, x in enumerate(p)]
+        reached = [frozenset()]
+        for way in ways:
+            reached = list({used | {k} for used in reached for k in way - used})
+        return bool(reached)
+
+    want, windows = collections.Counter(), collections.Counter()
     for doc_id, text in enumerate(texts):
         w = (text or "").split()
         for item, phrase in items:
             p = phrase.split()
             counts = [sum((t or "").split().count(x) for t in texts) for x in p]
             rare = min(range(len(p)), key=lambda k: counts[k])
+            kinds = []
             for at in (k - rare for k, x in enumerate(w) if x == p[rare]):
-                if all(any(0 <= at + j + s < len(w) and w[at + j + s] == x for s in range(-slop, slop + 1)) for j, x in enumerate(p)):
+                if placed(w, p, at):
                     same = all(0 <= at + j < len(w) and w[at + j] == x for j, x in enumerate(p))
-                    want[(doc_id, item, max(at, 0), "exact" if same else "near")] += 1
+                    kinds.append("exact" if same else "near")
+                    want[(doc_id, item, max(at, 0), kinds[-1])] += 1
+            if kinds:
+                windows[(doc_id, item, int("exact" in kinds), int("exact" not in kinds))] += 1
     got = by_row(decontam.find_matches(index, bench, slop=slop), "doc_id", "item_id", "position", "kind")
     assert got == want and sum(want.values()) > 0
+    assert by_row(decontam.near_report(index, bench, slop=slop), "doc_id", "item_id", "n_exact", "n_near") == windows
 
 
 def test_blocks_hold_bounded_windows(spark, monkeypatch):
