@@ -606,3 +606,32 @@ def recursive_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = views.series(spark, sf_dir).select("series_id", F.posexplode("x").alias("t", "re")).withColumn("t", F.col("t").cast("long")).withColumn("im", F.lit(0.0))
     drive = sliding.steps(series, "series_id", block=7, first=False)
     return _rounded(sliding.recursed(drive, complex(_POLE), "series_id", block=7).select("series_id", "t", F.col("re").alias("x")), 6, "x")
+
+
+@_query(f"WITH {oracle._SAMPLES} SELECT 15 - chan AS chan, t, x, 150 - CAST(0.0625 AS DOUBLE) * chan AS nu, t * CAST(0.5 AS DOUBLE) AS time FROM samples")
+def spectrum_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequency and time of each sample, channels from low to high frequency."""
+    held = views.samples(spark, sf_dir).withColumn("fch1", F.lit(150.0)).withColumn("foff", F.lit(-0.0625)).withColumn("tsamp", F.lit(0.5))
+    return prep.flipped(prep.with_axes(held), 16).select("chan", "t", "x", "nu", "time")
+
+
+@_query(
+    f"""WITH {oracle._SERIES}, means AS (SELECT series_id, avg(x) AS m FROM series GROUP BY series_id), places AS (SELECT series_id, m, unnest(range(0, CASE WHEN series_id % 2 = 0 THEN 80 ELSE 40 END)) AS t FROM means)
+ SELECT p.series_id, p.t, round(coalesce(s.x, p.m), 6) + 0 AS x FROM places p LEFT JOIN series s ON s.series_id = p.series_id AND s.t = p.t"""
+)
+def fitted_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series cut to 40 samples or filled with their mean to 80."""
+    series = views.series(spark, sf_dir)
+    fitted = F.when(F.col("series_id") % 2 == 0, prep.fitted_length(F.col("x"), 80)).otherwise(prep.fitted_length(F.col("x"), 40))
+    return _rounded(series.select("series_id", F.posexplode(fitted).alias("t", "x")).withColumn("t", F.col("t").cast("long")), 6, "x")
+
+
+@_query(
+    f"""WITH {oracle._CANDS}, best AS (SELECT *, row_number() OVER (PARTITION BY beam ORDER BY {oracle._ORDER}) AS k FROM cands)
+ SELECT beam, time, dm, sn, beam % 7 AS cluster, false AS representative FROM cands UNION ALL SELECT beam, time, dm, sn, beam % 7, true FROM best WHERE k = 1"""
+)
+def scatter_of_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidates with their clusters, and the best of each beam once more as its representative."""
+    held = views.candidates(spark, sf_dir).withColumn("cluster", F.col("beam") % 7)
+    rank = F.row_number().over(Window.partitionBy("beam").orderBy(*candidates.best_first()))
+    return frames.cluster_scatter(held, held.withColumn("k", rank).where("k = 1"), "beam")

@@ -282,3 +282,13 @@ def test_high_pass_in_blocks_equals_that_of_whole_series(spark, block):
         for k, x in data.items():
             assert np.allclose([got[k, t] for t in range(len(x))], matched.high_passed(x, 0.05, cutoff, order), atol=1e-9), (k, cutoff)
     assert not {"Python", "Arrow"} & set(found._jdf.queryExecution().executedPlan().toString().split())
+
+
+@pytest.mark.parametrize("length", [600, 601, 64])
+def test_dedispersion_of_a_given_length(spark, length):
+    x = pulse(n=601)
+    frame = beams(spark, x)
+    grid = spark.createDataFrame([(60.7, 1)], "dm double, downsample int")
+    got = dedisperse.dedisperse(frame.where("beam = 0"), grid, TSAMP, "beam", length=length).first().x
+    spectrum = (np.fft.rfft(x, axis=1) * np.exp(2j * np.pi * np.fft.rfftfreq(601, TSAMP) * dedisperse.delays(60.7, NU, NU.max())[:, None])).sum(axis=0)
+    assert np.allclose(got, np.fft.irfft(spectrum, length))
