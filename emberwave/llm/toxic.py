@@ -33,6 +33,8 @@ _TOKEN = re.compile(r"[^\W_]+")
 PREFIXES, WHOLE = (3, 4, 5, 6, 7), 16
 #: Bytes of compressed words whose features are counted at once.
 COUNTED_BYTES = 2_000_000
+#: Words whose observations a task remembers.
+SEEN_WORDS = 500_000
 #: Steps of strength, by the logarithm of how many times as frequent a feature is in toxic documents.
 STEPS, STEP = 6, 0.7
 #: Letters behind a beginning: none, one or two, more.
@@ -329,10 +331,20 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     return model
 
 
-def scored(texts: list[str], model: Model) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
-    """The scores of texts, and the spans of their toxic tokens as code points, neighbours in one span."""
+def scored(texts: list[str], model: Model, seen: dict[str, int] | None = None) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
+    """The scores of texts, and the spans of their toxic tokens as code points, neighbours in one span.
+
+    ``seen`` remembers what words are observed as; it is emptied when it has very many.
+    """
+    seen = {} if seen is None else seen
     ids, starts, words = tokens(texts)
-    p = marginals(codes_of(words, model)[ids], starts, model.emit, model.move)
+    new = list({w for w in words if w not in seen})
+    if len(seen) + len(new) > SEEN_WORDS:
+        seen.clear()
+        new = list(set(words))
+    seen.update(zip(new, codes_of(new, model).tolist(), strict=True))
+    codes = np.array([seen[w] for w in words], np.int64)
+    p = marginals(codes[ids], starts, model.emit, model.move)
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
     bad = p >= 0.5
     for k in np.unique(np.searchsorted(starts, np.flatnonzero(bad), "right") - 1).tolist():
@@ -358,8 +370,9 @@ def toxicity(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
         for part in slices(batches):
-            score, spans = scored(part.column("text").to_pylist(), shared.value)
+            score, spans = scored(part.column("text").to_pylist(), shared.value, seen)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": part.column("doc_id"),
