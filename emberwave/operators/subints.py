@@ -11,6 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: as a lambda's argument it is not put into the lambdas that read it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def byte_values(data: Column) -> Column:
     """The bytes of a binary column as an array of whole numbers from 0 to 255: each is one character of Latin-1."""
     characters = F.split(F.decode(data, "ISO-8859-1"), "")
@@ -36,14 +41,15 @@ def samples(data: Column, nbits: int) -> Column:
         return F.flatten(F.transform(held, lambda b: F.array(*(F.shiftleft(F.shiftright(b, 6 - 2 * k).bitwiseAND(3), 6).cast("double") for k in range(4)))))
     if nbits == -32:
         index = F.sequence(F.lit(0), (F.length(data) / 4 - 1).cast("int"))
-        return F.when(F.length(data) >= 4, F.transform(index, lambda i: _float_of([F.get(held, 4 * i + k) for k in range(4)]))).otherwise(F.array().cast("array<double>"))
+        floats = _once(held, lambda h: F.transform(index, lambda i: _float_of([F.get(h, 4 * i + k) for k in range(4)])))
+        return F.when(F.length(data) >= 4, floats).otherwise(F.array().cast("array<double>"))
     raise ValueError(f"unsupported bit depth: {nbits}")
 
 
 def _mean(values: Column) -> Column:
     """The mean of what is there; null of nothing."""
     held = F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v))
-    return F.try_divide(F.aggregate(held, F.lit(0.0), lambda a, v: a + v), F.size(held))
+    return _once(held, lambda h: F.try_divide(F.aggregate(h, F.lit(0.0), lambda a, v: a + v), F.size(h)))
 
 
 def averaged_spectra(subints: DataFrame, nchan: int, nsblk: int, nbits: int, mchan: int, msamp: int, *keys: str, scaled: bool = True, mask_dc: bool = False) -> DataFrame:
@@ -55,16 +61,19 @@ def averaged_spectra(subints: DataFrame, nchan: int, nsblk: int, nbits: int, mch
     if nsblk % msamp or nchan % mchan:
         raise ValueError(f"{nsblk} samples of {nchan} channels do not divide into groups of {msamp} by {mchan}")
     groups, new = nsblk // msamp, nchan // mchan
-    decoded = subints.withColumn("_x", samples(F.col("data"), nbits))
-    cut = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.slice("_x", g * (msamp * nchan) + 1, msamp * nchan))
-    rows = decoded.select(*keys, "isub", *(["dat_scl", "dat_offs", "dat_wts"] if scaled else []), F.posexplode(cut).alias("_g", "_x"))
+    cut = _once(samples(F.col("data"), nbits), lambda x: F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.slice(x, g * (msamp * nchan) + 1, msamp * nchan)))
+    rows = subints.select(*keys, "isub", *(["dat_scl", "dat_offs", "dat_wts"] if scaled else []), F.posexplode(cut).alias("_g", "_x"))
 
     def value(v: Column, i: Column) -> Column:
         channel = i % nchan
         out = (v * F.get("dat_scl", channel) + F.get("dat_offs", channel)) * F.get("dat_wts", channel) if scaled else v
         return F.when(channel % 16 != 0, out) if mask_dc else out
 
-    rows = rows.withColumn("_x", F.transform("_x", value))
-    rows = rows.withColumn("_x", F.transform(F.sequence(F.lit(0), F.lit(msamp * new - 1)), lambda k: _mean(F.slice("_x", k * mchan + 1, mchan))))
-    spectrum = F.transform(F.sequence(F.lit(0), F.lit(new - 1)), lambda c: _mean(F.transform(F.sequence(F.lit(0), F.lit(msamp - 1)), lambda s: F.get("_x", s * new + c))))
+    def over_channels(x: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(msamp * new - 1)), lambda k: _mean(F.slice(x, k * mchan + 1, mchan)))
+
+    def over_samples(x: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(new - 1)), lambda c: _mean(F.transform(F.sequence(F.lit(0), F.lit(msamp - 1)), lambda s: F.get(x, s * new + c))))
+
+    spectrum = _once(_once(F.transform("_x", value), over_channels), over_samples)
     return rows.select(*keys, (F.col("isub").cast("long") * groups + F.col("_g")).alias("t"), spectrum.alias("spectrum"))
