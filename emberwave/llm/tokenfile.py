@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,10 @@ SAMPLE = 512
 #: Bytes of each of the two generations of pieces and ids that a worker remembers, a piece counted with what Python
 #: adds to it; longer pieces are coded each time they come and kept by none.
 CACHE_BYTES, PIECE_CHARS, PIECE_BYTES = 100_000_000, 256, 200
-#: Pieces that the library gets as one line.
-LINE = 256
+#: Pieces that the library gets as one line, and text bytes that are cut into pieces at once.
+LINE, CUT_BYTES = 64, 8_000_000
+#: The pre-tokenizer with GPT-2's pattern, which has no match with a letter before something else.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 #: Ids that a reader holds at once.
 READ_IDS = 4_000_000
 
@@ -102,13 +105,31 @@ class EliasFano:
         return ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(0, self.n)
 
 
+#: White space of any library, for character classes of Python and of Arrow.
+_WHITE = "\t-\r\x1c-\x20\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A space between two characters of which neither is white space: byte-level pre-tokenizers always cut there.
-_GAP = re.compile("(?<=[^\\s\x1c-\x1f᠎]) (?=[^\\s\x1c-\x1f᠎])")
-_ODD = re.compile("[\\s\x1c-\x1f᠎]")
+_GAP = re.compile(f"(?<=[^{_WHITE}])(?= [^{_WHITE}])")
+#: Any other space.
+_ODD = f"[{_WHITE}] | [{_WHITE}]|\\A | \\z"
+#: Bytes by what they are: a space 1, a letter 2, ASCII that is neither 3, else 0.
+_CLASS = np.array([(b == 32) + 2 * chr(b).isalpha() + 3 * (b != 32 and not chr(b).isalpha()) if b < 128 else 0 for b in range(256)], np.uint8)
+
+
+def _behind_letters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Those of the places ``at`` behind a letter up to U+023F."""
+    at = at[at > 0]
+    last, lead = data[at - 1], data[np.maximum(at - 2, 0)]
+    # Two bytes from C3 80 to C8 BF are letters but for the signs of multiplication and division.
+    two = (last >> 6 == 2) & (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+    return at[(_CLASS[last] == 2) | two]
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, which sees each distinct piece between such spaces once."""
+    """Ids of texts by the tokenizers library, which sees each distinct piece of them once.
+
+    Texts are cut before such spaces and, where the pre-tokenizer is known to cut there, behind words that something
+    else than a letter follows, so that a word is coded once whatever stands behind it. Arrow finds the distinct pieces.
+    """
 
     def __init__(self, file: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -119,6 +140,10 @@ class Encoder:
         # The byte-level form of a space is U+0120.
         self.spaced = np.zeros(self.library.get_vocab_size(), bool)
         self.spaced[[i for token, i in self.library.get_vocab().items() if token.startswith("\u0120")]] = True
+        self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        before = json.loads(self.library.pre_tokenizer.__getstate__()) if self.library.pre_tokenizer else {}
+        self.cuts_words = self.library.normalizer is None and before == BYTE_LEVEL
+        #: Pieces that begin texts or stand behind words; pieces that begin with a space, of this generation and the last.
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -132,48 +157,81 @@ class Encoder:
             self.first[piece] = ids.tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces behind a space. Pieces without a space inside are coded as lines of many: a
+        """Ids of pieces that begin with a space. Those without another are coded as lines of many: a
         token that begins with a space begins a piece there."""
-        plain = [x for x in pieces if " " not in x]
+        plain = [x for x in pieces if x.rfind(" ") == 0]
         lines = [plain[k : k + LINE] for k in range(0, len(plain), LINE)]
-        for line, ids in zip(lines, self._ids([" " + " ".join(x) for x in lines]), strict=True):
+        for line, ids in zip(lines, self._ids(["".join(x) for x in lines]), strict=True):
             data, size = ids.tobytes(), self.kind.itemsize
             cuts = (np.flatnonzero(self.spaced[ids]) * size).tolist() + [len(data)]
             if len(cuts) == len(line) + 1:
                 self.rest.update(zip(line, map(data.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
         left = [x for x in pieces if x not in self.rest]
-        for piece, ids in zip(left, self._ids([" " + x for x in left]), strict=True):
+        for piece, ids in zip(left, self._ids(left), strict=True):
             self.rest[piece] = ids.tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _cut(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of texts without odd spaces or added tokens, and the first piece of each text."""
+        column = column.cast(pa.large_string())
+        _, ends, held = column.buffers()
+        ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(held or b"", np.uint8)[ends[0] : ends[-1]]
+        kinds, starts = _CLASS[data], ends - ends[0]
+        cuts = kinds == 1
+        if self.cuts_words:
+            cuts[_behind_letters(data, np.flatnonzero(kinds == 3))] = True
+        cuts[starts[:-1][starts[:-1] < starts[1:]]] = True
+        begins = np.append(np.flatnonzero(cuts), len(data))
+        pieces = pa.LargeStringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(data))
+        return pieces, np.searchsorted(begins, starts)
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        coded = list(map(self.rest.get, pieces))
+        new, new_first = {}, {}
+        for k in [k for k, x in enumerate(coded) if x is None]:
+            piece = pieces[k]
+            if not piece.startswith(" "):
+                coded[k] = self.first.get(piece)
+            elif piece in self.old:
+                coded[k] = self.rest[piece] = self.old[piece]
+            if coded[k] is None:
+                (new if piece.startswith(" ") else new_first)[piece] = k
+        self._learn(list(new))
+        self._learn_firsts(list(new_first))
+        for known, learned in ((self.rest, new), (self.first, new_first)):
+            for piece, k in learned.items():
+                coded[k] = known[piece]
+                if len(piece) > PIECE_CHARS:
+                    del known[piece]
+        self.chars += 3 * sum(len(x) for x in new if len(x) <= PIECE_CHARS)
+        return coded
+
+    def _coded(self, pieces: pa.Array, starts: np.ndarray) -> Iterator[bytes]:
+        """Ids of texts from their pieces and the first piece of each text."""
+        found = pieces.dictionary_encode()
+        coded = self._known(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, ends, held = pa.array(coded, pa.large_binary()).take(found.indices).buffers()
+        cuts, data = np.frombuffer(ends, np.int64)[starts].tolist(), memoryview(held or b"")
+        return (bytes(data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         # A piece has few bytes more than characters, and ids of two or four bytes each.
         if len(self.rest) * PIECE_BYTES + self.chars > CACHE_BYTES:
             self.old, self.rest, self.chars = self.rest, {}, 0
         if len(self.first) * 2 * PIECE_BYTES > CACHE_BYTES:
             self.first.clear()
-        rest, split, new_first, new_rest = self.rest, [], set(), set()
-        for text in texts:
-            parts = text.split(" ")
-            head = parts[0]
-            new = {x for x in parts[1:] if x not in rest}
-            # Pieces met before were judged then; one with white space at an end is never kept.
-            if not head or _ODD.match(head[-1]) or any(not x or _ODD.match(x) or _ODD.match(x[-1]) for x in new):
-                parts = _GAP.split(text)
-                new = {x for x in parts[1:] if x not in rest}
-            new_rest |= new
-            new_first.add(parts[0])
-            split.append(parts)
-        for x in new_rest & self.old.keys():
-            rest[x] = self.old[x]
-        self._learn_firsts(list(new_first - self.first.keys()))
-        learned = new_rest - rest.keys()
-        self._learn(list(learned))
-        coded = [self.first[x[0]] + b"".join(map(rest.__getitem__, x[1:])) for x in split]
-        for known, new in ((self.first, new_first), (rest, learned)):
-            for x in [x for x in new if len(x) > PIECE_CHARS]:
-                known.pop(x, None)
-        self.chars += 3 * sum(len(x) for x in learned if len(x) <= PIECE_CHARS)
-        return coded
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, _ODD)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(column, token))
+        plain, odd = np.flatnonzero(pc.invert(odd)), np.flatnonzero(odd)
+        coded = dict(zip(plain.tolist(), self._coded(*self._cut(column.take(pa.array(plain)))), strict=True))
+        if len(odd):
+            cut = [_GAP.split(x) if x else [] for x in column.take(pa.array(odd)).to_pylist()]
+            starts = np.cumsum([0, *map(len, cut)])
+            coded.update(zip(odd.tolist(), self._coded(pa.array(chain.from_iterable(cut), pa.large_string()), starts), strict=True))
+        return [coded[k] for k in range(len(column))]
 
 
 def open_path(path: str):
@@ -195,7 +253,7 @@ def _write_shards(path: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        parts = slices(batches)
+        parts = slices(batches, most=CUT_BYTES)
         first = next(parts, None)
         if first is None:
             return
@@ -207,7 +265,7 @@ def _write_shards(path: str, tokenizer: str, end_id: int):
         lengths, ids = [], []
         with place.open_output_stream(f"{folder}/{name}") as out:
             for part in chain([first], parts):
-                coded = encoder.encode(part.column("text").fill_null("").to_pylist())
+                coded = encoder.encode(part.column("text").fill_null(""))
                 for x in coded:
                     out.write(x + end)
                 lengths += [len(x) // encoder.kind.itemsize + 1 for x in coded]

@@ -318,6 +318,38 @@ def test_long_pieces_are_coded_and_not_kept(monkeypatch):
         assert all(len(x) <= tokenfile.PIECE_CHARS for x in held) and len(held) < 40
 
 
+def test_a_word_is_coded_once_whatever_stands_behind_it():
+    import public_tokenizers
+
+    encoder, given = tokenfile.Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    library = encoder.library
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **more)
+
+    encoder.library = Counted()
+    texts = [["so alphabeth gammarays étoilée."], ["of alphabeth, gammarays!! then étoilée.\nAnd alphabeth's alphabeth7", "of gammarays| étoilée"]]
+    for own in texts:
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(own)] == [x.ids for x in library.encode_batch_fast(own, add_special_tokens=False)]
+    for word in ("alphabeth", "gammarays", "étoilée"):
+        assert " ".join(given).count(word) == 1
+
+
+def test_pieces_of_odd_texts():
+    import public_tokenizers
+
+    encoder = tokenfile.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    draw = np.random.default_rng(3)
+    white = [" ", " ", " ", "\n", "\t", "\r\n", "\xa0", "\x85", "\x1c", "\u3000", "\u180e", "\u200b"]
+    signs = ["a", "Word", "é", "ß", "×", "÷", "ɏ", "ȿ", "ɐ", "e\u0301", "Ж", "中文", "ª", "²", "½", "١", "42", "'", "'s", "n't", ".", "!!", "<|endoftext|>", "<|", "endoftext", "\x00", "\x7f", "🙂"]
+    for chars, between in ((white + signs, ""), (signs, " ")):
+        texts = [between.join(draw.choice(chars, n)) for n in draw.integers(0, 20, 2000)]
+        want = [x.ids for x in encoder.library.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == want
+
+
 def test_elias_fano():
     draw = np.random.default_rng(1)
     for n, top in ((0, 0), (1, 0), (5, 3), (2000, 10), (3000, 10**9), (1000, 2**62)):
