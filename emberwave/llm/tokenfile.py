@@ -31,11 +31,11 @@ from emberwave.llm.common import shared_dir, slices
 
 MAGIC = b"EWTOKEN1"
 SAMPLE = 512
-#: Bytes of each of the two generations of pieces and ids that a worker remembers, a piece counted with what Python
+#: Bytes of each of the two generations of pieces and ids that a task remembers, a piece counted with what Python
 #: adds to it; longer pieces are coded each time they come and kept by none.
-CACHE_BYTES, PIECE_CHARS, PIECE_BYTES = 100_000_000, 256, 200
-#: Pieces that the library gets as one line, and text bytes that are cut into pieces at once.
-LINE, CUT_BYTES = 64, 8_000_000
+CACHE_BYTES, PIECE_CHARS, PIECE_BYTES = 40_000_000, 256, 200
+#: Pieces that the library gets as one line, texts that it gets at once, and text bytes that are cut into pieces at once.
+LINE, BATCH, CUT_BYTES = 64, 128, 6_000_000
 #: The pre-tokenizer with GPT-2's pattern, which has no match with a letter before something else.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 #: Ids that a reader holds at once.
@@ -149,8 +149,15 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.chars = 0
 
+    def forget(self) -> None:
+        """Gives the memory of pieces back, as a worker outlives its tasks and waits beside those of other stages."""
+        self.first, self.rest, self.old, self.chars = {}, {}, {}, 0
+        pa.default_memory_pool().release_unused()
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, self.kind) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        # What the library returns takes some hundred bytes a token.
+        coded = (self.library.encode_batch_fast(texts[k : k + BATCH], add_special_tokens=False) for k in range(0, len(texts), BATCH))
+        return [np.array(x.ids, self.kind) for x in chain.from_iterable(coded)]
 
     def _learn_firsts(self, pieces: list[str]) -> None:
         for piece, ids in zip(pieces, self._ids(pieces), strict=True):
@@ -243,7 +250,7 @@ def open_path(path: str):
 
 @lru_cache(maxsize=2)
 def encoder_of(file: str) -> Encoder:
-    """One encoder for all tasks of a worker, so that its pieces stay known."""
+    """One encoder for all tasks of a worker, so that its vocabulary is read once."""
     return Encoder(file)
 
 
@@ -270,6 +277,7 @@ def _write_shards(path: str, tokenizer: str, end_id: int):
                     out.write(x + end)
                 lengths += [len(x) // encoder.kind.itemsize + 1 for x in coded]
                 ids += part.column("doc_id").to_pylist()
+            encoder.forget()
             none = sum(x is None for x in ids)
             least = ids[none] if none < len(ids) else 0
             ends = EliasFano.of(np.cumsum(lengths, dtype=np.uint64)).tobytes()

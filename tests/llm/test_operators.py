@@ -337,6 +337,32 @@ def test_a_word_is_coded_once_whatever_stands_behind_it():
         assert " ".join(given).count(word) == 1
 
 
+def test_a_worker_keeps_no_pieces_between_tasks(monkeypatch, tmp_path):
+    import public_tokenizers
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(TaskContext, "get", lambda: TaskContext())
+    monkeypatch.setattr(TaskContext, "partitionId", lambda self: 0)
+    encoder, given = tokenfile.encoder_of(public_tokenizers.path("byte_bpe_50k.json")), []
+    library = encoder.library
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            given.append(len(texts))
+            return library.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(encoder, "library", Counted())
+    texts = [f"{k}.w{k} u{k}, v{k}" for k in range(20_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    [row] = [x.to_pylist()[0] for x in tokenfile._write_shards(str(tmp_path), "byte_bpe_50k.json", 2)(iter([batch]))]
+    assert (row["n_docs"], sum(given) > 1000, max(given) <= 128) == (20_000, True, True)
+    assert not encoder.first and not encoder.rest and not encoder.old
+    shard = tokenfile.ShardFile(f"{tmp_path}/{row['name']}")
+    want = [library.encode(x, add_special_tokens=False).ids + [2] for x in texts]
+    assert [shard.ids(*shard.span(k)).tolist() for k in (0, 7, 19_999)] == [want[k] for k in (0, 7, 19_999)]
+
+
 def test_pieces_of_odd_texts():
     import public_tokenizers
 
