@@ -20,8 +20,14 @@ def asof(left: DataFrame, right: DataFrame, *by: str, at: str = "time", directio
     the earlier one of two as near. Of rows of ``right`` at one time the last in order of its other columns counts as
     the last, the first as the next. Null keys are keys of their own; a null time on the left meets nothing.
     """
-    if direction not in ("backward", "forward", "nearest"):
-        raise ValueError(f"unknown direction: {direction}")
+    return asof_each(left, right, *by, at=at, prefixes={direction: prefix})
+
+
+def asof_each(left: DataFrame, right: DataFrame, *by: str, prefixes: dict[str, str], at: str = "time") -> DataFrame:
+    """``asof`` in several directions at once, with a prefix for each: both sides are sorted together only once."""
+    for direction in prefixes:
+        if direction not in ("backward", "forward", "nearest"):
+            raise ValueError(f"unknown direction: {direction}")
     keys = list(by)
     own = [c for c in left.columns if c not in (*keys, at)]
     theirs = [c for c in right.columns if c not in (*keys, at)]
@@ -32,9 +38,11 @@ def asof(left: DataFrame, right: DataFrame, *by: str, at: str = "time", directio
     order = [*keys, "_at", "_side", "_row"]
     # A right row stands before the left rows of its time, so that backward finds it and forward does not.
     parts = saved(both.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "parts")
-    within = Window.partitionBy(*keys, "_part").orderBy("_at", "_side", "_row")
-    behind, ahead = within.rowsBetween(Window.unboundedPreceding, 0), within.rowsBetween(0, Window.unboundedFollowing)
-    found = parts.select("*", F.last("_row", ignorenulls=True).over(behind).alias("_last"), F.first("_row", ignorenulls=True).over(ahead).alias("_next")).where("_side = 1")
+    # What comes next is the last one in the opposite order: a frame that ends with the part would be gone over anew for each row.
+    within, ends_at = Window.partitionBy(*keys, "_part"), (Window.unboundedPreceding, 0)
+    behind = within.orderBy("_at", "_side", "_row").rowsBetween(*ends_at)
+    ahead = within.orderBy(F.desc("_at"), F.desc("_side"), F.desc("_row")).rowsBetween(*ends_at)
+    found = parts.select("*", F.last("_row", ignorenulls=True).over(behind).alias("_last"), F.last("_row", ignorenulls=True).over(ahead).alias("_next")).where("_side = 1")
     # A row for each key and part, its first and last row of the right side.
     ends = parts.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.max("_row").alias("_final"))
     over = Window.partitionBy(*keys).orderBy("_part")
@@ -48,9 +56,8 @@ def asof(left: DataFrame, right: DataFrame, *by: str, at: str = "time", directio
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     met = found.join(carried, same).withColumn("_last", F.coalesce("_last", "_before")).withColumn("_next", F.coalesce("_next", "_after"))
-    chosen = _chosen(direction, at)
-    picked = met.withColumn("_got", F.when(F.col("_at").isNotNull(), chosen))
-    return picked.select(*keys, F.col("_at").alias(at), *(F.col("_own")[c].alias(c) for c in own), *(F.col("_got")[c].alias(f"{prefix}{c}") for c in (at, *theirs)))
+    picked = met.select("*", *(F.when(F.col("_at").isNotNull(), _chosen(d, at)).alias(f"_got_{d}") for d in prefixes))
+    return picked.select(*keys, F.col("_at").alias(at), *(F.col("_own")[c].alias(c) for c in own), *(F.col(f"_got_{d}")[c].alias(f"{prefix}{c}") for d, prefix in prefixes.items() for c in (at, *theirs)))
 
 
 def _chosen(direction: str, at: str) -> Column:
